@@ -60,4 +60,7 @@ def survey_view_sql() -> str:
 
 def with_survey(sql: str) -> str:
     """Prefix an oracle query with the survey view as a CTE."""
-    return f"WITH survey_view AS ({survey_view_sql()})\n{sql}"
+    body = sql.lstrip()
+    if body[:5].upper() == "WITH ":
+        body = ", " + body[5:]
+    return f"WITH survey_view AS ({survey_view_sql()})\n{body}"

@@ -392,3 +392,86 @@ def q_rendered_table(spark, d):
 @query("quantitative_export", with_survey(f"SELECT id, edad, {_P} FROM survey_view"))
 def q_quantitative_export(spark, d):
     return P.select_present(survey_view(spark, d), ["id", "edad"] + LIKERT + ["Cluster"])
+
+
+# ============================================================ U1, N1-N5 text
+from ..functions.lexicon import NEGATIVE_TEST, POSITIVE_TEST, STOP_WORDS_ES  # noqa: E402
+from ..functions.text import polarity_sql  # noqa: E402
+from ..operators import text as N  # noqa: E402
+
+_OPEN = _cols(OPEN)
+
+
+@query("corpus_union", with_survey(
+    f"SELECT id, field, text FROM survey_view UNPIVOT (text FOR field IN ({_OPEN}))"))
+def q_corpus_union(spark, d):
+    return N.corpus(survey_view(spark, d), OPEN, ["id"])
+
+
+@query("sentiment_rows", with_survey(
+    "SELECT id, " + ", ".join(f"round({polarity_sql(c)}, 6) AS {c}_polaridad" for c in OPEN)
+    + ", round((" + " + ".join(polarity_sql(c) for c in OPEN) + f") / {len(OPEN)}, 6) AS sentimiento_promedio "
+    "FROM survey_view"))
+def q_sentiment_rows(spark, d):
+    return R6(N.sentiment_rows(survey_view(spark, d), OPEN, keep=["id"]))
+
+
+@query("sentiment_by_group", with_survey(
+    "SELECT signo, round(avg(s), 6) AS polaridad_media, count(*) AS n FROM (SELECT signo, ("
+    + " + ".join(polarity_sql(c) for c in OPEN) + f") / {len(OPEN)} AS s FROM survey_view) "
+    "WHERE signo IS NOT NULL GROUP BY signo"))
+def q_sentiment_by_group(spark, d):
+    scored = N.sentiment_rows(survey_view(spark, d), OPEN, keep=["signo"])
+    return R6(N.sentiment_by_group(scored, "signo"))
+
+
+_PT, _NT = list(POSITIVE_TEST), list(NEGATIVE_TEST)
+
+
+@query("sentiment_documents",
+       f"SELECT doc_id, lang, round({polarity_sql('text', _PT, _NT)}, 6) AS text_polaridad FROM documents")
+def q_sentiment_documents(spark, d):
+    docs = table(spark, d, "documents")
+    return R6(N.sentiment_rows(docs, ["text"], keep=["doc_id", "lang"], positive=_PT, negative=_NT)
+              .drop("sentimiento_promedio"))
+
+
+@query("sentiment_by_lang",
+       f"SELECT lang, round(avg({polarity_sql('text', _PT, _NT)}), 6) AS polaridad_media, count(*) AS n "
+       "FROM documents WHERE lang IS NOT NULL GROUP BY lang")
+def q_sentiment_by_lang(spark, d):
+    scored = N.sentiment_rows(table(spark, d, "documents"), ["text"], keep=["lang"], positive=_PT, negative=_NT)
+    return R6(N.sentiment_by_group(scored, "lang"))
+
+
+def _tfidf_sql(docs_sql: str, k: int = 10, stop=STOP_WORDS_ES) -> str:
+    sw = ", ".join(f"'{w}'" for w in stop)
+    stop_clause = f"WHERE term NOT IN ({sw})" if stop else ""
+    return f"""WITH docs AS ({docs_sql}),
+nd AS (SELECT count(*) AS n FROM docs),
+toks AS (SELECT doc, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM docs),
+tf AS (SELECT doc, term, count(*) AS tf FROM toks {stop_clause} GROUP BY doc, term),
+vocab AS (SELECT term FROM tf GROUP BY term ORDER BY sum(tf) DESC, term LIMIT {k}),
+tfv AS (SELECT tf.* FROM tf JOIN vocab USING (term)),
+dfq AS (SELECT term, count(*) AS df FROM tfv GROUP BY term),
+w AS (SELECT doc, term, tf * (ln((1 + nd.n) / (1 + df)) + 1) AS w FROM tfv JOIN dfq USING (term), nd),
+wn AS (SELECT term, w / sqrt(sum(w * w) OVER (PARTITION BY doc)) AS wn FROM w)
+SELECT term, round(sum(wn), 6) AS tfidf FROM wn GROUP BY term"""
+
+
+@query("tfidf_terms", with_survey(_tfidf_sql(
+    f"SELECT id || ':' || field AS doc, text FROM survey_view UNPIVOT (text FOR field IN ({_OPEN}))")))
+def q_tfidf_terms(spark, d):
+    return R6(N.tfidf_terms(survey_view(spark, d), OPEN, ["id"], max_features=10))
+
+
+@query("tfidf_documents", _tfidf_sql("SELECT CAST(doc_id AS VARCHAR) AS doc, text FROM documents "
+                                     "WHERE text IS NOT NULL", k=10, stop=()))
+def q_tfidf_documents(spark, d):
+    return R6(N.tfidf_terms(table(spark, d, "documents"), ["text"], ["doc_id"], max_features=10, stop_words=()))
+
+
+@query("tfidf_conversations", _tfidf_sql(
+    "SELECT conv_id || ':' || turn AS doc, text FROM conversations WHERE text IS NOT NULL", k=10))
+def q_tfidf_conversations(spark, d):
+    return R6(N.tfidf_terms(table(spark, d, "conversations"), ["text"], ["conv_id", "turn"], max_features=10))
