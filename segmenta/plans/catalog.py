@@ -475,3 +475,111 @@ def q_tfidf_documents(spark, d):
     "SELECT conv_id || ':' || turn AS doc, text FROM conversations WHERE text IS NOT NULL", k=10))
 def q_tfidf_conversations(spark, d):
     return R6(N.tfidf_terms(table(spark, d, "conversations"), ["text"], ["conv_id", "turn"], max_features=10))
+
+
+# ============================================================ M1, M2, M9, M15, M8
+from ..operators import evaluate as EV  # noqa: E402
+from ..operators import scaling as SC  # noqa: E402
+from ..operators.cluster import assign as AS  # noqa: E402
+
+
+def _minmax_sql(src: str, keys: list[str], cols: list[str]) -> str:
+    b = ", ".join(f"CAST(min({c}) AS DOUBLE) AS {c}__lo, CAST(max({c}) AS DOUBLE) AS {c}__hi" for c in cols)
+    sel = ", ".join(
+        f"CASE WHEN b.{c}__lo IS NULL THEN {c} WHEN b.{c}__hi = b.{c}__lo THEN 0.0 WHEN {c} IS NULL THEN 0.0 "
+        f"ELSE (CAST({c} AS DOUBLE) - b.{c}__lo) / (b.{c}__hi - b.{c}__lo) END AS {c}" for c in cols)
+    return f"SELECT {', '.join(keys)}, {sel} FROM ({src}) s, (SELECT {b} FROM ({src})) b"
+
+
+_PART_XY = ["p_size", "p_retailprice"]
+_PART_SRC = "SELECT p_partkey, p_size, p_retailprice FROM part"
+# Fixed test centroids in min-max units of (p_size, p_retailprice).
+_CENTROIDS = [(0.2, 0.2), (0.5, 0.8), (0.8, 0.3)]
+
+
+def _part_minmax(spark, d):
+    part = table(spark, d, "part").select("p_partkey", *_PART_XY)
+    return SC.minmax(part, _PART_XY)
+
+
+@query("minmax_survey", with_survey(
+    "SELECT id, " + ", ".join(f"round({c}, 6) AS {c}" for c in LIKERT) + " FROM ("
+    + _minmax_sql("SELECT * FROM survey_view", ["id"], LIKERT) + ")"))
+def q_minmax_survey(spark, d):
+    return R6(SC.minmax(survey_view(spark, d).select("id", *LIKERT), LIKERT))
+
+
+@query("minmax_part", "SELECT p_partkey, round(p_size, 6) AS p_size, round(p_retailprice, 6) AS p_retailprice FROM ("
+       + _minmax_sql(_PART_SRC, ["p_partkey"], _PART_XY) + ")")
+def q_minmax_part(spark, d):
+    return R6(_part_minmax(spark, d))
+
+
+_STD = ["l_quantity", "l_discount", "l_tax"]
+
+
+@query("standardise", "WITH m AS (SELECT " + ", ".join(
+    f"avg({c}) AS {c}__mu, CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS {c}__sd" for c in _STD)
+    + " FROM lineitem) SELECT l_orderkey, l_linenumber, " + ", ".join(
+    f"round((CAST({c} AS DOUBLE) - m.{c}__mu) / m.{c}__sd, 6) AS {c}" for c in _STD) + " FROM lineitem, m")
+def q_standardise(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *_STD)
+    return R6(SC.standardise(li, _STD))
+
+
+def _dist_sql(cols, cents):
+    ds = []
+    for c in cents:
+        ds.append(" + ".join(f"(CAST({f} AS DOUBLE) - {float(v)!r}) * (CAST({f} AS DOUBLE) - {float(v)!r})"
+                             for f, v in zip(cols, c)))
+    return ds
+
+
+def _assign_sql(src, key, cols, cents):
+    ds = _dist_sql(cols, cents)
+    dl = ", ".join(f"{e} AS d{i}" for i, e in enumerate(ds))
+    least = "least(" + ", ".join(f"d{i}" for i in range(len(ds))) + ")"
+    case = "CASE " + " ".join(f"WHEN d{i} = {least} THEN {i}" for i in range(len(ds))) + " END"
+    return f"SELECT {key}, {', '.join(cols)}, {case} AS Cluster, {least} AS d2 FROM (SELECT *, {dl} FROM ({src}))"
+
+
+_PART_MM_SQL = _minmax_sql(_PART_SRC, ["p_partkey"], _PART_XY)
+
+
+@query("assign_nearest", f"SELECT p_partkey, CAST(Cluster AS INTEGER) AS Cluster, round(d2, 6) AS d2 FROM ("
+       + _assign_sql(_PART_MM_SQL, "p_partkey", _PART_XY, _CENTROIDS) + ")")
+def q_assign_nearest(spark, d):
+    out = AS.assign_nearest(_part_minmax(spark, d), _PART_XY, _CENTROIDS, distance_col="d2")
+    return R6(out.select("p_partkey", "Cluster", "d2"))
+
+
+@query("inertia_given_centroids", "SELECT round(sum(d2), 6) AS inertia FROM ("
+       + _assign_sql(_PART_MM_SQL, "p_partkey", _PART_XY, _CENTROIDS) + ")")
+def q_inertia_given_centroids(spark, d):
+    return R6(AS.inertia(_part_minmax(spark, d), _PART_XY, _CENTROIDS))
+
+
+def _silhouette_sql(points_sql: str, cols: list[str]) -> str:
+    dist = "sqrt(" + " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in cols) + ")"
+    keys = ", ".join(f"a.{c}" for c in cols)
+    return f"""WITH pts AS (SELECT {', '.join(cols)}, label, count(*) AS w FROM ({points_sql}) GROUP BY ALL),
+sizes AS (SELECT label, sum(w) AS n FROM pts GROUP BY label),
+s AS (SELECT {keys}, a.label AS own, a.w AS w, b.label AS other, sum(b.w * {dist}) AS sd
+      FROM pts a, pts b GROUP BY {keys}, a.label, a.w, b.label),
+p AS (SELECT s.*, z.n AS n_other, zo.n AS n_own FROM s JOIN sizes z ON z.label = s.other
+      JOIN sizes zo ON zo.label = s.own),
+per AS (SELECT {', '.join(cols)}, own, w, n_own,
+          max(CASE WHEN other = own THEN sd / greatest(n_own - 1, 1) END) AS a,
+          min(CASE WHEN other <> own THEN sd / n_other END) AS b FROM p GROUP BY ALL),
+sc AS (SELECT w, CASE WHEN n_own > 1 AND greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0.0 END AS s
+       FROM per)
+SELECT 'silhouette_exact' AS metric,
+       round(CASE WHEN (SELECT count(*) FROM sizes) > 1 THEN sum(s * w) / sum(w) ELSE 0.0 END, 6) AS value FROM sc"""
+
+
+@query("silhouette_exact", _silhouette_sql(
+    "SELECT p_size, p_retailprice, Cluster AS label FROM ("
+    + _assign_sql(_PART_MM_SQL, "p_partkey", _PART_XY, _CENTROIDS) + ")", _PART_XY))
+def q_silhouette_exact(spark, d):
+    labelled = AS.assign_nearest(_part_minmax(spark, d), _PART_XY, _CENTROIDS)
+    return R6(EV.silhouette(labelled, _PART_XY, "Cluster", mode="exact"))
