@@ -583,3 +583,52 @@ SELECT 'silhouette_exact' AS metric,
 def q_silhouette_exact(spark, d):
     labelled = AS.assign_nearest(_part_minmax(spark, d), _PART_XY, _CENTROIDS)
     return R6(EV.silhouette(labelled, _PART_XY, "Cluster", mode="exact"))
+
+
+# ============================================================ M4 DBSCAN, A28
+from ..operators.cluster import dbscan as DB  # noqa: E402
+
+_DB_EPS, _DB_MIN = 0.025, 4
+
+
+def _dbscan_sql(points_sql: str, key: str, cols: list[str], eps: float, min_samples: int) -> str:
+    dist = "sqrt(" + " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in cols) + ")"
+    on = " AND ".join(f"p.{c} = v.{c}" for c in cols)
+    return f"""WITH RECURSIVE pts AS ({points_sql}),
+vec AS (SELECT {', '.join(cols)}, count(*) AS w, min({key}) AS vid FROM pts GROUP BY {', '.join(cols)}),
+pairs AS (SELECT a.vid AS i, b.vid AS j, b.w AS wj FROM vec a JOIN vec b ON {dist} <= {eps!r}),
+core AS (SELECT i AS vid FROM pairs GROUP BY i HAVING sum(wj) >= {min_samples}),
+cedges AS (SELECT p.i, p.j FROM pairs p JOIN core c1 ON c1.vid = p.i JOIN core c2 ON c2.vid = p.j WHERE p.i <> p.j),
+cc(vid, lab) AS (SELECT vid, vid FROM core UNION SELECT e.j, cc.lab FROM cc JOIN cedges e ON e.i = cc.vid),
+comp AS (SELECT vid, min(lab) AS comp FROM cc GROUP BY vid),
+num AS (SELECT comp, CAST(dense_rank() OVER (ORDER BY comp) - 1 AS INTEGER) AS cl FROM (SELECT DISTINCT comp FROM comp)),
+corelab AS (SELECT c.vid, n.cl FROM comp c JOIN num n USING (comp)),
+border AS (SELECT p.i AS vid, min(l.cl) AS cl FROM pairs p JOIN corelab l ON l.vid = p.j
+           WHERE p.i NOT IN (SELECT vid FROM core) GROUP BY p.i),
+lab AS (SELECT vid, cl FROM corelab UNION ALL SELECT vid, cl FROM border)
+SELECT p.{key}, CAST(coalesce(l.cl, -1) AS INTEGER) AS Cluster
+FROM pts p JOIN vec v ON {on} LEFT JOIN lab l ON l.vid = v.vid"""
+
+
+_DB_SQL = _dbscan_sql(_PART_MM_SQL, "p_partkey", _PART_XY, _DB_EPS, _DB_MIN)
+
+
+def _part_dbscan(spark, d):
+    return DB.dbscan(_part_minmax(spark, d), _PART_XY, eps=_DB_EPS, min_samples=_DB_MIN, key="p_partkey")
+
+
+@query("dbscan_labels", _DB_SQL)
+def q_dbscan_labels(spark, d):
+    return _part_dbscan(spark, d)
+
+
+@query("noise_count", "SELECT count_if(Cluster = -1) AS noise_points FROM (" + _DB_SQL.replace(
+    "WITH RECURSIVE", "WITH RECURSIVE", 1) + ")")
+def q_noise_count(spark, d):
+    return X.noise_count(_part_dbscan(spark, d))
+
+
+@query("dbscan_cluster_sizes", "SELECT Cluster AS cluster, count(*) AS n, "
+       "round(count(*) * 100.0 / sum(count(*)) OVER (), 1) AS share FROM (" + _DB_SQL + ") GROUP BY Cluster")
+def q_dbscan_cluster_sizes(spark, d):
+    return X.cluster_sizes_shares(_part_dbscan(spark, d), "Cluster")
