@@ -632,3 +632,129 @@ def q_noise_count(spark, d):
        "round(count(*) * 100.0 / sum(count(*)) OVER (), 1) AS share FROM (" + _DB_SQL + ") GROUP BY Cluster")
 def q_dbscan_cluster_sizes(spark, d):
     return X.cluster_sizes_shares(_part_dbscan(spark, d), "Cluster")
+
+
+# ============================================================ M3, M5, M6, M7, M12-M14, M17, M18 (rows-only)
+import uuid  # noqa: E402
+
+from ..operators import pca as PC  # noqa: E402
+from ..operators import registry as RG  # noqa: E402
+from ..operators.cluster import agglomerative as AG  # noqa: E402
+from ..operators.cluster import gmm as GM  # noqa: E402
+from ..operators.cluster import kmeans as KM  # noqa: E402
+from ..session import checkpoint_dir  # noqa: E402
+
+
+def _survey_minmax(spark, d):
+    return SC.minmax(survey_view(spark, d).select("id", *LIKERT), LIKERT)
+
+
+@query("kmeans_fit")
+def q_kmeans_fit(spark, d):
+    labelled, _ = KM.kmeans(_survey_minmax(spark, d), LIKERT, k=4, seed=42)
+    return labelled.select("id", "Cluster")
+
+
+@query("kmeans_restarts")
+def q_kmeans_restarts(spark, d):
+    """G1: standardised features, 10 seeded restarts, lowest cost kept."""
+    part = table(spark, d, "part").select("p_partkey", *_PART_XY)
+    labelled, _ = KM.kmeans(SC.standardise(part, _PART_XY), _PART_XY, k=4, seed=42, restarts=10)
+    return labelled.select("p_partkey", "Cluster")
+
+
+@query("kmeans_centroids")
+def q_kmeans_centroids(spark, d):
+    """Centres in original units (rounded to 2) with the fit's inertia."""
+    part = table(spark, d, "part").select("p_partkey", *_PART_XY)
+    scaler = SC.standard_fit(part, _PART_XY)
+    res = KM.kmeans_fit(scaler.transform(part), _PART_XY, k=4, seed=42, restarts=10)
+    rows = [(i, *[round(v, 2) for v in c], round(res.cost, 2))
+            for i, c in enumerate(scaler.inverse(_PART_XY, res.centroids))]
+    return spark.createDataFrame(rows, "cluster int, p_size double, p_retailprice double, inertia double")
+
+
+@query("gmm_fit")
+def q_gmm_fit(spark, d):
+    part = _part_minmax(spark, d)
+    res = GM.gmm_fit(part, _PART_XY, k=4, seed=42, restarts=3)
+    return res.transform(part).select("p_partkey", "Cluster")
+
+
+@query("gmm_metrics")
+def q_gmm_metrics(spark, d):
+    res = GM.gmm_fit(_part_minmax(spark, d), _PART_XY, k=4, seed=42, restarts=3)
+    return spark.createDataFrame([("BIC", res.bic), ("AIC", res.aic), ("log_likelihood", res.log_likelihood)],
+                                 "metric string, value double")
+
+
+@query("pca_scores")
+def q_pca_scores(spark, d):
+    scores, _ = PC.pca(survey_view(spark, d), LIKERT, n_components=3, keep=["id", "signo", "genero", "edad"])
+    return scores
+
+
+@query("pca_variance")
+def q_pca_variance(spark, d):
+    _, res = PC.pca(survey_view(spark, d), LIKERT, n_components=3)
+    return res.variance_table(spark)
+
+
+@query("covariance_matrix", "SELECT a.col_a, a.col_b, round(a.cov, 6) AS cov FROM (" + " UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, covar_samp(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS cov "
+    "FROM lineitem" for a in _STD for b in _STD) + ") a")
+def q_covariance_matrix(spark, d):
+    return R6(PC.covariance_matrix(table(spark, d, "lineitem"), _STD))
+
+
+_SUP_XY = ["s_acctbal", "s_nationkey"]
+_SUP_MM_SQL = _minmax_sql("SELECT s_suppkey, s_acctbal, s_nationkey FROM supplier", ["s_suppkey"], _SUP_XY)
+_SL_CUT = 0.05
+
+
+def _sup_minmax(spark, d):
+    return SC.minmax(table(spark, d, "supplier").select("s_suppkey", *_SUP_XY), _SUP_XY)
+
+
+@query("single_linkage", _dbscan_sql(_SUP_MM_SQL, "s_suppkey", _SUP_XY, _SL_CUT, 1))
+def q_single_linkage(spark, d):
+    return AG.single_linkage_cut(_sup_minmax(spark, d), _SUP_XY, _SL_CUT, key="s_suppkey")
+
+
+def _survey_std(spark, d):
+    m = P.numeric_matrix(survey_view(spark, d), LIKERT, key="id")
+    return SC.standardise(m, LIKERT)
+
+
+@query("ward_labels")
+def q_ward_labels(spark, d):
+    labelled, _ = AG.agglomerative(_survey_std(spark, d), LIKERT, n_clusters=4, linkage="ward")
+    return labelled.select("id", "Cluster")
+
+
+@query("ward_merges")
+def q_ward_merges(spark, d):
+    res = AG.agglomerative_fit(_survey_std(spark, d), LIKERT, n_clusters=4, linkage="ward")
+    return res.merge_table(spark, last=19)
+
+
+@query("average_linkage_labels")
+def q_average_linkage_labels(spark, d):
+    labelled, _ = AG.agglomerative(_sup_minmax(spark, d), _SUP_XY, n_clusters=4, linkage="average")
+    return labelled.select("s_suppkey", "Cluster")
+
+
+@query("train_batch")
+def q_train_batch(spark, d):
+    return RG.train_batch(survey_view(spark, d), LIKERT, key="id")
+
+
+@query("model_roundtrip")
+def q_model_roundtrip(spark, d):
+    """M17 + M15: fit on scaled part, save, load, classify the raw rows with the saved scaler."""
+    part = table(spark, d, "part").select("p_partkey", *_PART_XY)
+    scaler = SC.standard_fit(part, _PART_XY)
+    res = KM.kmeans_fit(scaler.transform(part), _PART_XY, k=4, seed=42)
+    path = f"{checkpoint_dir(spark)}/models/{uuid.uuid4().hex}"
+    RG.save_model(spark, res, "kmeans", path, _PART_XY, scaler=scaler)
+    return RG.classify(spark, path, part).select("p_partkey", "Cluster")
