@@ -758,3 +758,87 @@ def q_model_roundtrip(spark, d):
     path = f"{checkpoint_dir(spark)}/models/{uuid.uuid4().hex}"
     RG.save_model(spark, res, "kmeans", path, _PART_XY, scaler=scaler)
     return RG.classify(spark, path, part).select("p_partkey", "Cluster")
+
+
+# ============================================================ S10-S15, P1, P15, streaming
+from ..fixtures import survey_select_list  # noqa: E402
+from ..schema import quality_table  # noqa: E402
+from ..sources import files as FS  # noqa: E402
+from ..sources import pages as PG  # noqa: E402
+from ..streaming import scoring as ST  # noqa: E402
+
+_POL_SQL = "(" + " + ".join(polarity_sql(c) for c in OPEN) + f") / {len(OPEN)}"
+
+
+@query("qualitative_export", with_survey(
+    f"SELECT id, genero, signo, {_OPEN}, round({_POL_SQL}, 6) AS Polaridad_Sentimiento_Promedio FROM survey_view"))
+def q_qualitative_export(spark, d):
+    sv = survey_view(spark, d)
+    scored = N.sentiment_rows(sv, OPEN, keep=sv.columns).withColumnRenamed(
+        "sentimiento_promedio", "Polaridad_Sentimiento_Promedio")
+    return R6(FS.qualitative_export(scored))
+
+
+@query("record_cards", with_survey(
+    f"SELECT id, signo, p1a, p2a, round({_POL_SQL}, 6) AS Polaridad_Sentimiento_Promedio FROM survey_view "
+    "ORDER BY id LIMIT 15"))
+def q_record_cards(spark, d):
+    sv = survey_view(spark, d)
+    scored = N.sentiment_rows(sv, OPEN, keep=["id", "signo", "p1a", "p2a"]).withColumnRenamed(
+        "sentimiento_promedio", "Polaridad_Sentimiento_Promedio")
+    return R6(P.head_by(scored, "id", 15, ["id", "signo", "p1a", "p2a", "Polaridad_Sentimiento_Promedio"]))
+
+
+@query("dict_rows_export", with_survey(
+    "SELECT coalesce(CAST(id AS VARCHAR), '') AS id, coalesce(signo, '') AS signo, coalesce(p1a, '') AS p1a, "
+    "'' AS elemento, coalesce(CAST(p3 AS VARCHAR), '') AS p3 FROM survey_view"))
+def q_dict_rows_export(spark, d):
+    return FS.dict_rows_export(survey_view(spark, d), ["id", "signo", "p1a", "elemento", "p3"])
+
+
+@query("load_profile", with_survey(
+    "SELECT count(*) AS total_registros, [" + ", ".join(
+        f"'{c}'" for c in ["id", "edad", "genero", "signo"] + LIKERT + OPEN) + "] AS columnas FROM survey_view"))
+def q_load_profile(spark, d):
+    return FS.load_profile(survey_view(spark, d))
+
+
+@query("quality_table", with_survey(" UNION ALL ".join(
+    [f"SELECT '{c}' AS \"column\", count_if({c} IS NULL) AS nulls, "
+     f"count_if({c} IS NOT NULL AND TRY_CAST(CAST({c} AS VARCHAR) AS DOUBLE) IS NULL) AS invalid FROM survey_view"
+     for c in ["edad"] + LIKERT]
+    + [f"SELECT '{c}' AS \"column\", count_if({c} IS NULL) AS nulls, "
+       f"count_if({c} IS NOT NULL AND trim({c}) = '') AS invalid FROM survey_view" for c in OPEN])))
+def q_quality_table(spark, d):
+    return quality_table(survey_view(spark, d), ["edad"] + LIKERT, OPEN)
+
+
+_SCRIPT_RE = r"(?s)<script>\s*var\s+(\w+)\s*=\s*(.*?);"
+
+
+@query("page_script_vars", f"""
+SELECT page_id, unnest(regexp_extract_all(html, '{_SCRIPT_RE}', 1)) AS name,
+       unnest(regexp_extract_all(html, '{_SCRIPT_RE}', 2)) AS value FROM pages""")
+def q_page_script_vars(spark, d):
+    return PG.script_vars(table(spark, d, "pages"))
+
+
+@query("page_form_questions")
+def q_page_form_questions(spark, d):
+    return PG.form_questions(table(spark, d, "pages"))
+
+
+@query("stream_scoring")
+def q_stream_scoring(spark, d):
+    """Customer files as a stream -> survey rows -> min-max + nearest centre + polarity + theme means."""
+    cust = table(spark, d, "customer")
+    mm = SC.minmax_fit(survey_view(spark, d), LIKERT)
+    centroids = [[0.25] * len(LIKERT), [0.5] * len(LIKERT), [0.75] * len(LIKERT)]
+    stream = (spark.readStream.schema(cust.schema).option("pathGlobFilter", "customer.parquet")
+              .parquet(d.rstrip("/") + "/"))
+    scored = ST.score(stream.selectExpr(*survey_select_list()), LIKERT, centroids, scaler=mm, text_cols=OPEN,
+                      keep=["id"])
+    base = f"{checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
+    q = ST.start_scoring(scored, f"{base}/out", f"{base}/chk", trigger_once=True)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
