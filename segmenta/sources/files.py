@@ -47,6 +47,19 @@ def read_survey_csv(spark: SparkSession, path: str, schema: T.StructType = SURVE
             .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
 
 
+def malformed_rows(df: DataFrame) -> DataFrame:
+    """Rows the CSV parser could not type, with their raw text (reads one data column along,
+    as Spark refuses a scan that needs only the corrupt-record column)."""
+    first = next(c for c in df.columns if c != CORRUPT)
+    return df.where(F.col(CORRUPT).isNotNull()).select(first, CORRUPT)
+
+
+def malformed_count(df: DataFrame) -> int:
+    """Number of malformed rows, in one aggregate that also reads a data column."""
+    first = next(c for c in df.columns if c != CORRUPT)
+    return df.agg(F.count_if(F.col(CORRUPT).isNotNull()).alias("bad"), F.count(first).alias("_")).first()["bad"]
+
+
 def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
     """Every column as a string (no inference); parse later per value with ``try_cast``."""
     check_upload(path)

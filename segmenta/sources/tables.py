@@ -58,7 +58,11 @@ def append_survey(spark: SparkSession, table: str, df: DataFrame) -> int:
 
 def truncate(spark: SparkSession, table: str) -> None:
     """Remove all rows; the next append restarts ids at 1 (max(id) is null)."""
-    spark.sql(f"TRUNCATE TABLE {table}")
+    try:
+        spark.sql(f"TRUNCATE TABLE {table}")
+    except Exception:  # external (LOCATION) tables refuse TRUNCATE: overwrite with no rows
+        empty = spark.createDataFrame([], spark.table(table).schema)
+        empty.write.insertInto(table, overwrite=True)
 
 
 def scan(spark: SparkSession, table: str) -> DataFrame:
