@@ -37,7 +37,55 @@ def strip_non_ascii(c: str | Column) -> Column:
 
 
 def _arr(words) -> Column:
-    return F.array(*[F.lit(w) for w in words])
+    return F.lit(list(words))  # one array literal
+
+
+def _sql_str(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def polarity_sql_expr(text_col: str, positive=POSITIVE_ES, negative=NEGATIVE_ES) -> str:
+    """Spark SQL text of the N1 polarity of a text column (one call into the JVM to build).
+
+    Two higher-order ``aggregate`` passes over the token array, each finishing
+    with the ratio or null: exact hits first, then — only for texts without an
+    exact hit, as ``coalesce`` is lazy — the substring hits.  (Measured faster
+    than whole-token regex alternations, notably on long documents.)
+    """
+    col = "`" + text_col.replace("`", "``") + "`"
+    toks = f"regexp_extract_all(lower({col}), {_sql_str(WORD)}, 0)"
+    pos = "array(" + ", ".join(_sql_str(w) for w in positive) + ")"
+    neg = "array(" + ", ".join(_sql_str(w) for w in negative) + ")"
+    ratio = "acc -> CASE WHEN acc.p + acc.n > 0 THEN CAST(acc.p - acc.n AS DOUBLE) / (acc.p + acc.n) END"
+    exact = (f"aggregate({toks}, named_struct('p', 0, 'n', 0), (acc, w) -> named_struct("
+             f"'p', acc.p + CAST(array_contains({pos}, w) AS INT), "
+             f"'n', acc.n + CAST(array_contains({neg}, w) AS INT)), {ratio})")
+    partial = (f"aggregate({toks}, named_struct('p', 0, 'n', 0), (acc, w) -> named_struct("
+               f"'p', acc.p + size(filter({pos}, e -> contains(w, e))), "
+               f"'n', acc.n + size(filter({neg}, e -> contains(w, e)))), {ratio})")
+    return f"coalesce({exact}, {partial}, 0.0D)"
+
+
+def polarity_text(text_col: str, positive=POSITIVE_ES, negative=NEGATIVE_ES) -> Column:
+    """N1 polarity of a named text column, as one native expression."""
+    return F.expr(polarity_sql_expr(text_col, positive, negative))
+
+
+def _polarity_columns(tk: Column, positive, negative) -> Column:
+    pos, neg = _arr(positive), _arr(negative)
+    zero = F.struct(F.lit(0).alias("p"), F.lit(0).alias("n"))
+
+    def ratio(acc):
+        tot = acc["p"] + acc["n"]
+        return F.when(tot > 0, (acc["p"] - acc["n"]) / tot)
+
+    exact = F.aggregate(tk, zero, lambda acc, w: F.struct(
+        (acc["p"] + F.array_contains(pos, w).cast("int")).alias("p"),
+        (acc["n"] + F.array_contains(neg, w).cast("int")).alias("n")), ratio)
+    partial = F.aggregate(tk, zero, lambda acc, w: F.struct(
+        (acc["p"] + F.size(F.filter(pos, lambda e: w.contains(e)))).alias("p"),
+        (acc["n"] + F.size(F.filter(neg, lambda e: w.contains(e)))).alias("n")), ratio)
+    return F.coalesce(exact.cast("double"), partial.cast("double"), F.lit(0.0))
 
 
 def polarity(c: str | Column, positive=POSITIVE_ES, negative=NEGATIVE_ES) -> Column:
@@ -46,26 +94,11 @@ def polarity(c: str | Column, positive=POSITIVE_ES, negative=NEGATIVE_ES) -> Col
     Exact word hits give (pos - neg) / (pos + neg).  With no exact hit, every
     (word, entry) pair where the entry is a substring of the word counts a half
     hit on its side, and the same ratio is taken.  Null / blank / no words / no
-    hit give 0.0.  One pass over the token array accumulates all four counts.
+    hit give 0.0.
     """
-    pos, neg = _arr(positive), _arr(negative)
-    zero = F.struct(F.lit(0).alias("p"), F.lit(0).alias("n"), F.lit(0).alias("sp"), F.lit(0).alias("sn"))
-
-    def step(acc, w):
-        return F.struct(
-            (acc["p"] + F.array_contains(pos, w).cast("int")).alias("p"),
-            (acc["n"] + F.array_contains(neg, w).cast("int")).alias("n"),
-            (acc["sp"] + F.size(F.filter(pos, lambda e: w.contains(e)))).alias("sp"),
-            (acc["sn"] + F.size(F.filter(neg, lambda e: w.contains(e)))).alias("sn"),
-        )
-
-    s = F.aggregate(tokens(c), zero, step)
-    exact = s["p"] + s["n"]
-    sub = s["sp"] + s["sn"]
-    val = (F.when(exact > 0, (s["p"] - s["n"]) / exact)
-           .when(sub > 0, (s["sp"] - s["sn"]) / sub)
-           .otherwise(F.lit(0.0)))
-    return F.coalesce(val.cast("double"), F.lit(0.0))
+    if isinstance(c, str):
+        return polarity_text(c, positive, negative)
+    return _polarity_columns(tokens(c), positive, negative)
 
 
 def polarity_sql(col: str, positive=POSITIVE_ES, negative=NEGATIVE_ES) -> str:

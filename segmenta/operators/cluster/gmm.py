@@ -53,8 +53,12 @@ class GMMResult:
 
 
 def gmm_fit(df: DataFrame, features: list[str], k: int = 3, seed: int = 42, restarts: int = 3,
-            max_iter: int = 100, tol: float = 0.01) -> GMMResult:
-    """Full-covariance mixture; keeps the start with the highest log-likelihood."""
+            max_iter: int = 100, tol_per_row: float = 1e-3) -> GMMResult:
+    """Full-covariance mixture; keeps the start with the highest log-likelihood.
+
+    Stops when the mean per-row log-likelihood changes by less than ``tol_per_row``
+    (the reference library's rule); MLlib's ``tol`` is on the total, so it is scaled by n.
+    """
     data = assemble(df.dropna(subset=features), features).select(FEATURES)
     check_enough_rows(data, k)
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
@@ -63,7 +67,8 @@ def gmm_fit(df: DataFrame, features: list[str], k: int = 3, seed: int = 42, rest
         best = None
         for r in range(max(1, restarts)):
             s = seed + r
-            model = GaussianMixture(k=k, seed=s, maxIter=max_iter, tol=tol, featuresCol=FEATURES).fit(data)
+            model = GaussianMixture(k=k, seed=s, maxIter=max_iter, tol=tol_per_row * n,
+                                    featuresCol=FEATURES).fit(data)
             ll = float(model.summary.logLikelihood)
             if not np.isfinite(ll):
                 continue

@@ -6,8 +6,6 @@ over the already-aggregated rows, never windows over raw rows.
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,31 +36,36 @@ def cluster_profile_long(df: DataFrame, features: list[str], cluster_col: str =
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pairwise-complete Pearson correlation of every ordered pair (col_a, col_b, corr).
 
-    One aggregate for all d(d-1)/2 pairs.  For a pair, each side is masked by the
-    other's presence; the ratio uses ``try_divide`` so a constant column gives null
-    (``corr`` itself raises DIVIDE_BY_ZERO under ANSI).  Diagonal: 1, or null when
-    the column is constant or empty.
+    One generator emits a (pair, x, y) row per unordered pair (diagonal included)
+    where both values are present; a keyed aggregate with a handful of buffer
+    fields (whole-stage codegen, partial aggregation map-side) then gives
+    covar_pop / (sd_x * sd_y) per pair.  ``try_divide`` maps a constant column to
+    null (``corr`` raises DIVIDE_BY_ZERO under ANSI).  Diagonal: 1, or null for a
+    constant or empty column.
     """
     cols = present(df, cols)
     x = {c: F.col(c).cast("double") for c in cols}
-    aggs = []
-    for i, j in itertools.combinations(range(len(cols)), 2):
-        a, b = cols[i], cols[j]
-        xa = F.when(x[b].isNotNull(), x[a])
-        xb = F.when(x[a].isNotNull(), x[b])
-        aggs.append(F.try_divide(F.covar_pop(xa, xb), F.stddev_pop(xa) * F.stddev_pop(xb)).alias(f"c{i}_{j}"))
-    for i, c in enumerate(cols):
-        aggs.append(F.stddev_pop(x[c]).alias(f"s{i}"))
-    wide = df.agg(*aggs)
-    rows = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if i == j:
-                v = F.when(F.col(f"s{i}") > 0, F.lit(1.0))
-            else:
-                v = F.col(f"c{min(i, j)}_{max(i, j)}")
-            rows.append({"col_a": F.lit(a), "col_b": F.lit(b), "corr": v.cast("double")})
-    return stack_rows(wide, rows)
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    gen = F.inline(F.array(*[F.struct(F.lit(k).alias("pair"), x[cols[i]].alias("x"), x[cols[j]].alias("y"))
+                             for k, (i, j) in enumerate(pairs)]))
+    stats = (df.select(gen).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+             .groupBy("pair").agg(F.covar_pop("x", "y").alias("cov"), F.stddev_pop("x").alias("sx"),
+                                  F.stddev_pop("y").alias("sy")))
+    names_a = F.array(*[F.lit(cols[i]) for i, _ in pairs])
+    names_b = F.array(*[F.lit(cols[j]) for _, j in pairs])
+    diag = F.array(*[F.lit(i == j) for i, j in pairs])
+    a, b, is_diag = (F.element_at(names_a, F.col("pair") + 1), F.element_at(names_b, F.col("pair") + 1),
+                     F.element_at(diag, F.col("pair") + 1))
+    value = F.when(is_diag, F.when(F.col("sx") > 0, F.lit(1.0))).otherwise(
+        F.try_divide(F.col("cov"), F.col("sx") * F.col("sy")))
+    cells = stats.select(a.alias("a"), b.alias("b"), is_diag.alias("d"), value.alias("corr"))
+    both = F.when(F.col("d"), F.array(F.struct(F.col("a").alias("col_a"), F.col("b").alias("col_b")))) \
+        .otherwise(F.array(F.struct(F.col("a").alias("col_a"), F.col("b").alias("col_b")),
+                           F.struct(F.col("b").alias("col_a"), F.col("a").alias("col_b"))))
+    found = cells.select(F.explode(both).alias("k"), "corr").select("k.col_a", "k.col_b", "corr")
+    # pairs with no complete row at all still appear, with a null correlation
+    full = df.sparkSession.createDataFrame([(a_, b_) for a_ in cols for b_ in cols], "col_a string, col_b string")
+    return full.join(found, ["col_a", "col_b"], "left").select("col_a", "col_b", F.col("corr").cast("double"))
 
 
 def cluster_sizes_shares(df: DataFrame, cluster_col: str = "Cluster", digits: int = 1) -> DataFrame:

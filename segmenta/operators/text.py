@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.lexicon import NEGATIVE_ES, POSITIVE_ES, STOP_WORDS_ES
-from ..functions.text import polarity, tokens
+from ..functions.text import polarity_text, tokens
 from ._util import present
 
 
@@ -31,8 +31,8 @@ def sentiment_rows(df: DataFrame, text_cols: list[str], keep: list[str] | None =
     cols = present(df, text_cols)
     if not cols:
         raise ValueError("sentiment_rows: none of the text columns is present")
-    pol = [polarity(c, positive, negative).alias(f"{c}_polaridad") for c in cols]
-    out = df.select(*(keep or []), *pol)
+    keep = keep or []
+    out = df.select(*keep, *[polarity_text(c, positive, negative).alias(f"{c}_polaridad") for c in cols])
     mean = sum((F.col(f"{c}_polaridad") for c in cols), F.lit(0.0)) / len(cols)
     return out.withColumn("sentimiento_promedio", mean)
 
