@@ -32,3 +32,15 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
 def order_by_position(df: DataFrame, col: str, names: list[str]) -> DataFrame:
     """Sort a small result by the position of ``col`` in ``names``."""
     return df.orderBy(F.array_position(F.array(*[F.lit(n) for n in names]), F.col(col)))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a frame whose scan yields fewer partitions than the cluster has cores.
+
+    Only for CPU-heavy per-row work (tokenising long texts) over small files:
+    large inputs already have many more splits than cores, so nothing changes.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

@@ -22,6 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ...session import materialize
 from .assign import assign_nearest
 from .components import connected_components, dense_numbering
 from .dbscan import neighbour_pairs
@@ -34,7 +35,7 @@ def single_linkage_cut(df: DataFrame, features: list[str], distance: float, key:
                        label_col: str = "Cluster") -> DataFrame:
     """Exact single-linkage labels at cut ``distance``: (key, label)."""
     pts = df.select(key, *[F.col(f).cast("double").alias(f) for f in features]).dropna(subset=features)
-    vec = pts.groupBy(*features).agg(F.count(F.lit(1)).alias("w"), F.min(key).alias("vid")).checkpoint()
+    vec = materialize(pts.groupBy(*features).agg(F.count(F.lit(1)).alias("w"), F.min(key).alias("vid")), "vec")
     pairs = neighbour_pairs(vec, features, distance)
     edges = pairs.where(F.col("i") != F.col("j")).select(F.col("i").alias("src"), F.col("j").alias("dst"))
     comps = connected_components(vec.select(F.col("vid").alias("id")), edges)

@@ -1,7 +1,7 @@
 """Connected components of an edge table, and dense numbering of keys, as DataFrame jobs.
 
-Every round's output is cut from its lineage with a reliable ``checkpoint()`` into
-the session's checkpoint folder, so a lost executor recomputes at most one round.
+Every round's output is cut from its lineage by writing it as Parquet into the
+session's checkpoint folder (``session.materialize``), so a lost executor recomputes at most one round.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import time
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ...session import checkpoint_dir
+from ...session import checkpoint_dir, materialize
 
 
 def _both_ways(e: DataFrame) -> DataFrame:
@@ -48,14 +48,15 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
 
     Alternating large-star / small-star rounds (Kiveris et al., 2014: O(log^2 n)
     rounds) until the edge set is a star around each component minimum.  Each
-    round's edge table is cut from its lineage with a reliable ``checkpoint()``.
+    round's edge table is cut from its lineage (written to the checkpoint folder).
     """
     checkpoint_dir(vertices.sparkSession)
     e = (edges.select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b"))
-         .where(F.col("a") != F.col("b")).distinct().checkpoint())
+         .where(F.col("a") != F.col("b")).distinct())
+    e = materialize(e, "cc-edges")
     sig = _signature(e)
     for r in range(max_rounds):
-        e = _small_star(_large_star(e)).checkpoint()
+        e = materialize(_small_star(_large_star(e)), "cc-edges")
         new = _signature(e)
         if os.environ.get("SEGMENTA_DEBUG"):
             print("cc round", r, new, time.time(), flush=True)
@@ -79,8 +80,8 @@ def dense_numbering(keys: DataFrame, key: str, out: str, partitions: int | None
     spark = keys.sparkSession
     checkpoint_dir(spark)
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (keys.select(key).distinct().repartitionByRange(parts, key)
-              .withColumn("__pid", F.spark_partition_id()).checkpoint())
+    ranged = materialize(keys.select(key).distinct().repartitionByRange(parts, key)
+                         .withColumn("__pid", F.spark_partition_id()), "numbering")
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select("__pid", (F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n")).alias("__off"))
     rank = F.row_number().over(Window.partitionBy("__pid").orderBy(key)) - 1

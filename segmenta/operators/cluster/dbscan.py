@@ -20,10 +20,10 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ...session import materialize
 from .components import connected_components, dense_numbering
 
 
@@ -57,27 +57,22 @@ def dbscan(df: DataFrame, features: list[str], eps: float = 0.5, min_samples: in
         raise ValueError("dbscan: eps must be > 0 and min_samples >= 1")
     pts = df.select(key, *[F.col(f).cast("double").alias(f) for f in features]).dropna(subset=features)
     vec = pts.groupBy(*features).agg(F.count(F.lit(1)).alias("w"), F.min(key).alias("vid"))
-    vec = vec.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        pairs = neighbour_pairs(vec, features, eps, grid_dims).persist(StorageLevel.MEMORY_AND_DISK)
-        core = pairs.groupBy("i").agg(F.sum("wj").alias("nw")).where(F.col("nw") >= min_samples) \
-            .select(F.col("i").alias("id"))
-        edges = (pairs.where(F.col("i") != F.col("j"))
-                 .join(core.withColumnRenamed("id", "i"), "i")
-                 .join(core.withColumnRenamed("id", "j"), "j")
-                 .select(F.col("i").alias("src"), F.col("j").alias("dst")))
-        comps = connected_components(core, edges)
-        numbers = dense_numbering(comps, "comp", "cl")
-        core_lab = comps.join(numbers, "comp").select(F.col("id").alias("vid"), "cl")
-        border = (pairs.join(core_lab.withColumnRenamed("vid", "j"), "j")
-                  .join(core_lab.select(F.col("vid").alias("i")), "i", "left_anti")
-                  .groupBy(F.col("i").alias("vid")).agg(F.min("cl").alias("cl")))
-        labels = core_lab.unionByName(border)
-        out = (pts.join(vec.select(*features, "vid"), features)
-               .join(labels, "vid", "left")
-               .select(key, F.coalesce(F.col("cl"), F.lit(-1)).cast("int").alias(label_col)))
-        return out.checkpoint()
-    finally:
-        vec.unpersist()
-        if "pairs" in locals():
-            pairs.unpersist()
+    vec = materialize(vec, "dbscan-vectors")
+    pairs = materialize(neighbour_pairs(vec, features, eps, grid_dims), "dbscan-pairs")
+    core = pairs.groupBy("i").agg(F.sum("wj").alias("nw")).where(F.col("nw") >= min_samples) \
+        .select(F.col("i").alias("id"))
+    edges = (pairs.where(F.col("i") != F.col("j"))
+             .join(core.withColumnRenamed("id", "i"), "i")
+             .join(core.withColumnRenamed("id", "j"), "j")
+             .select(F.col("i").alias("src"), F.col("j").alias("dst")))
+    comps = connected_components(core, edges)
+    numbers = dense_numbering(comps, "comp", "cl")
+    core_lab = comps.join(numbers, "comp").select(F.col("id").alias("vid"), "cl")
+    border = (pairs.join(core_lab.withColumnRenamed("vid", "j"), "j")
+              .join(core_lab.select(F.col("vid").alias("i")), "i", "left_anti")
+              .groupBy(F.col("i").alias("vid")).agg(F.min("cl").alias("cl")))
+    labels = core_lab.unionByName(border)
+    out = (pts.join(vec.select(*features, "vid"), features)
+           .join(labels, "vid", "left")
+           .select(key, F.coalesce(F.col("cl"), F.lit(-1)).cast("int").alias(label_col)))
+    return materialize(out, "dbscan-labels")

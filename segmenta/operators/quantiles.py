@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, materialize
 from ._util import present
 
 
@@ -38,12 +38,16 @@ def value_counts_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
 def quantiles_long(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75),
                    partitions: int | None = None) -> DataFrame:
     """(column, p, value) for every column with at least one value."""
-    spark = df.sparkSession
+    return quantiles_from_counts(value_counts_numeric(df, cols), probs, partitions)
+
+
+def quantiles_from_counts(counts: DataFrame, probs=(0.25, 0.5, 0.75), partitions: int | None = None) -> DataFrame:
+    """Quantiles from a (column, value, n) table."""
+    spark = counts.sparkSession
     checkpoint_dir(spark)
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = value_counts_numeric(df, cols)
-    ranged = (counts.repartitionByRange(parts, "column", "value")
-              .withColumn("pid", F.spark_partition_id()).checkpoint())
+    ranged = materialize(counts.repartitionByRange(parts, "column", "value")
+                         .withColumn("pid", F.spark_partition_id()), "ranged")
     per_part = ranged.groupBy("pid", "column").agg(F.sum("n").alias("pn"))
     offsets = per_part.select(
         "pid", "column",

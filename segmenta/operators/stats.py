@@ -151,32 +151,44 @@ def _numeric_frame(df: DataFrame, cols: list[str]) -> DataFrame:
 def numeric_summary(df: DataFrame, cols: list[str], digits: int = 2) -> DataFrame:
     """A15 (with A8-A14): n, mean, median, population variance/sd, min, max, range, quartiles.
 
-    Values are parsed per value (blank/unparsable skipped); columns with no value are
-    omitted.  The modes of A10 are returned by :func:`multi_mode` as rows (a column
-    can have unboundedly many modes, so they are never collected into one array);
-    ``mode_count`` here says how many there are (null: no representative mode).
-    Quartiles are exact linear-interpolation percentiles.
+    Values are parsed per value (blank/unparsable skipped); columns with no value
+    are omitted.  One scan: the input becomes a (column, value, n) table
+    (map-side combined, then checkpointed), and everything else is computed
+    from it — moments in two small passes (mean, then centred squares), exact
+    quartiles by ranks (``quantiles``), modes (A10) by frequency.  The modes
+    themselves are rows of :func:`multi_mode` (a column can have unboundedly many);
+    ``mode_count`` says how many there are (null: no representative mode).
     """
+    from ..session import checkpoint_dir, materialize
+    from .quantiles import quantiles_from_counts, value_counts_numeric
+
     cols = present(df, cols)
-    num = _numeric_frame(df, cols)
-    aggs = []
-    for c in cols:
-        aggs += [
-            F.count(c).alias(f"{c}__n"), F.avg(c).alias(f"{c}__mean"),
-            var_pop_or_zero(c).alias(f"{c}__var"), std_pop_or_zero(c).alias(f"{c}__sd"),
-            F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max"),
-            F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"{c}__q"),
-        ]
+    checkpoint_dir(df.sparkSession)
+    counts = materialize(value_counts_numeric(df, cols), "value-counts")
+    m1 = counts.groupBy("column").agg(
+        F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean"),
+        F.min("value").alias("min"), F.max("value").alias("max"))
+    m2 = (counts.join(F.broadcast(m1.select("column", F.col("mean").alias("mu"))), "column")
+          .groupBy("column").agg(F.sum(F.col("n") * (F.col("value") - F.col("mu")) ** 2).alias("ss")))
+    q = (quantiles_from_counts(counts, (0.25, 0.5, 0.75))
+         .groupBy("column").agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(f"q{k}")
+                                  for k, p in ((1, 0.25), (2, 0.5), (3, 0.75))]))
+    modes = _modes_from_counts(counts).groupBy("column").agg(F.count(F.lit(1)).alias("mode_count"))
+    var = F.when(F.col("n") < 2, F.lit(0.0)).otherwise(F.col("ss") / F.col("n"))
     rd = lambda x: F.round(x, digits)
-    long = stack_rows(num.agg(*aggs), [
-        {"column": F.lit(c), "n": F.col(f"{c}__n"), "mean": rd(F.col(f"{c}__mean")),
-         "median": rd(F.col(f"{c}__q")[1]), "variance": rd(F.col(f"{c}__var")),
-         "std_dev": rd(F.col(f"{c}__sd")), "min": F.col(f"{c}__min"), "max": F.col(f"{c}__max"),
-         "range": F.col(f"{c}__max") - F.col(f"{c}__min"),
-         "q1": rd(F.col(f"{c}__q")[0]), "q2": rd(F.col(f"{c}__q")[1]), "q3": rd(F.col(f"{c}__q")[2])}
-        for c in cols]).where(F.col("n") > 0)
-    modes = multi_mode(df, cols).groupBy("column").agg(F.count(F.lit(1)).alias("mode_count"))
-    return order_by_position(long.join(modes, "column", "left"), "column", cols)
+    out = (m1.join(m2, "column").join(q, "column").join(modes, "column", "left")
+           .select("column", "n", rd(F.col("mean")).alias("mean"), rd(F.col("q2")).alias("median"),
+                   rd(var).alias("variance"), rd(F.sqrt(var)).alias("std_dev"), "min", "max",
+                   (F.col("max") - F.col("min")).alias("range"), rd(F.col("q1")).alias("q1"),
+                   rd(F.col("q2")).alias("q2"), rd(F.col("q3")).alias("q3"), "mode_count"))
+    return order_by_position(out, "column", cols)
+
+
+def _modes_from_counts(counts: DataFrame) -> DataFrame:
+    bounds = counts.groupBy("column").agg(F.max("n").alias("max_n"), F.min("n").alias("min_n"))
+    return (counts.join(F.broadcast(bounds), "column")
+            .where((F.col("n") == F.col("max_n")) & (F.col("max_n") > F.col("min_n")))
+            .select("column", F.col("value").alias("mode")))
 
 
 def value_counts_long(df: DataFrame, cols: list[str], numeric: bool = True) -> DataFrame:
@@ -196,12 +208,7 @@ def multi_mode(df: DataFrame, cols: list[str]) -> DataFrame:
     no representative mode and yields no row.  The per-column max/min frequency
     table has one row per column and is joined back by column name.
     """
-    counts = value_counts_long(df, cols)
-    bounds = counts.groupBy("column").agg(F.max("n").alias("max_n"), F.min("n").alias("min_n"))
-    return (counts.join(F.broadcast(bounds), "column")
-            .where((F.col("n") == F.col("max_n")) & (F.col("max_n") > F.col("min_n")))
-            .select("column", F.col("value").alias("mode"))
-            .orderBy("column", "mode"))
+    return _modes_from_counts(value_counts_long(df, cols)).orderBy("column", "mode")
 
 
 def median(c: str | Column) -> Column:
@@ -255,14 +262,19 @@ def eda_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
     num = _numeric_frame(df, cols)
     aggs = []
     for c in cols:
-        aggs += [F.count(c).alias(f"{c}__n"), F.avg(c).alias(f"{c}__mean"), median(c).alias(f"{c}__med"),
+        aggs += [F.count(c).alias(f"{c}__n"), F.avg(c).alias(f"{c}__mean"),
                  F.var_pop(c).alias(f"{c}__var"), F.stddev_pop(c).alias(f"{c}__sd"),
                  F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max")]
-    return stack_rows(num.agg(*aggs), [
-        {"column": F.lit(c), "n": F.col(f"{c}__n"), "mean": F.col(f"{c}__mean"), "median": F.col(f"{c}__med"),
+    from .quantiles import quantiles_long
+
+    med = quantiles_long(df, cols, (0.5,)).select("column", F.col("value").alias("median"))
+    moments = stack_rows(num.agg(*aggs), [
+        {"column": F.lit(c), "n": F.col(f"{c}__n"), "mean": F.col(f"{c}__mean"),
          "variance": F.col(f"{c}__var"), "std_dev": F.col(f"{c}__sd"),
          "range": F.col(f"{c}__max") - F.col(f"{c}__min"), "min": F.col(f"{c}__min"),
          "max": F.col(f"{c}__max")} for c in cols])
+    return moments.join(med, "column", "left").select(
+        "column", "n", "mean", "median", "variance", "std_dev", "range", "min", "max")
 
 
 def eda_categorical(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -12,17 +12,19 @@ from pyspark.sql import functions as F
 
 from ..functions.lexicon import NEGATIVE_ES, POSITIVE_ES, STOP_WORDS_ES
 from ..functions.text import polarity_text, tokens
-from ._util import present
+from ..session import checkpoint_dir, materialize
+from ._util import present, spread
 
 
-def corpus(df: DataFrame, text_cols: list[str], key_cols: list[str]) -> DataFrame:
+def corpus(df: DataFrame, text_cols: list[str], key_cols: list[str], spread_rows: bool = True) -> DataFrame:
     """UNION ALL of the text columns as (key..., field, text), null cells dropped."""
     cols = present(df, text_cols)
     if not cols:
         raise ValueError("corpus: none of the text columns is present")
-    return (df.select(*key_cols, *[F.col(c).cast("string").alias(c) for c in cols])
-            .unpivot(key_cols, cols, "field", "text")
-            .where(F.col("text").isNotNull()))
+    src = df.select(*key_cols, *[F.col(c).cast("string").alias(c) for c in cols])
+    if spread_rows:
+        src = spread(src)
+    return src.unpivot(key_cols, cols, "field", "text").where(F.col("text").isNotNull())
 
 
 def sentiment_rows(df: DataFrame, text_cols: list[str], keep: list[str] | None = None,
@@ -32,7 +34,8 @@ def sentiment_rows(df: DataFrame, text_cols: list[str], keep: list[str] | None =
     if not cols:
         raise ValueError("sentiment_rows: none of the text columns is present")
     keep = keep or []
-    out = df.select(*keep, *[polarity_text(c, positive, negative).alias(f"{c}_polaridad") for c in cols])
+    out = spread(df.select(*keep, *cols)).select(
+        *keep, *[polarity_text(c, positive, negative).alias(f"{c}_polaridad") for c in cols])
     mean = sum((F.col(f"{c}_polaridad") for c in cols), F.lit(0.0)) / len(cols)
     return out.withColumn("sentimiento_promedio", mean)
 
@@ -56,18 +59,17 @@ def tfidf_terms(df: DataFrame, text_cols: list[str], key_cols: list[str], max_fe
     the vocabulary (top-k, broadcast back: size bounded by k), then the <= k
     vocabulary rows per document for the norm.
     """
-    docs = corpus(df, text_cols, key_cols)
     doc = key_cols + ["field"]
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
-    toks = docs.select(*doc, F.explode(tokens("text", min_token_len)).alias("term"))
+    n_docs = corpus(df, text_cols, key_cols, spread_rows=False).select(F.count(F.lit(1))).scalar()
+    toks = corpus(df, text_cols, key_cols).select(*doc, F.explode(tokens("text", min_token_len)).alias("term"))
     if stop_words:
         toks = toks.where(~F.col("term").isin(list(stop_words)))
-    tf = toks.groupBy(*doc, "term").agg(F.count(F.lit(1)).alias("tf"))
-    vocab = (tf.groupBy("term").agg(F.sum("tf").alias("total"))
-             .orderBy(F.desc("total"), "term").limit(max_features).select("term"))
-    tfv = tf.join(F.broadcast(vocab), "term")
-    dfreq = tfv.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    w = (tfv.join(F.broadcast(dfreq), "term")
+    checkpoint_dir(df.sparkSession)
+    # (doc, term) counts are read twice (term statistics, then weights): materialise once
+    tf = materialize(toks.groupBy(*doc, "term").agg(F.count(F.lit(1)).alias("tf")), "tf")
+    vocab = (tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
+             .orderBy(F.desc("total"), "term").limit(max_features).select("term", "df"))
+    w = (tf.join(F.broadcast(vocab), "term")
          .withColumn("w", F.col("tf") * (F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + F.lit(1.0))))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*doc)))
     return (w.withColumn("wn", F.col("w") / norm)

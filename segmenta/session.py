@@ -51,3 +51,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
         conf = tempfile.mkdtemp(prefix="segmenta-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
+
+
+def materialize(df, name: str = "t"):
+    """Cut lineage by writing ``df`` as Parquet under the session's checkpoint folder and reading it back.
+
+    Columnar and splittable, so re-reading is cheap and survives executor loss.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

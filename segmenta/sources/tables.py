@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schema import LIKERT, OPEN, SURVEY_SCHEMA
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, materialize
 
 COLUMNS = ["id", "edad", "genero", "signo"] + LIKERT + OPEN
 
@@ -31,8 +31,8 @@ def create_survey_table(spark: SparkSession, name: str, location: str | None = N
 def with_row_numbers(df: DataFrame, start, col: str = "id") -> tuple[DataFrame, int]:
     """Number rows start, start+1, ... in partition order: per-partition counts -> offsets -> local index."""
     checkpoint_dir(df.sparkSession)
-    staged = df.withColumn("__pid", F.spark_partition_id()) \
-        .withColumn("__mono", F.monotonically_increasing_id()).checkpoint()
+    staged = materialize(df.withColumn("__pid", F.spark_partition_id())
+                         .withColumn("__mono", F.monotonically_increasing_id()), "ids")
     counts = staged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select("__pid", (F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n")).alias("__off"))
     total = counts.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
