@@ -40,6 +40,8 @@ def spread(df: DataFrame) -> DataFrame:
     Only for CPU-heavy per-row work (tokenising long texts) over small files:
     large inputs already have many more splits than cores, so nothing changes.
     """
+    if df.isStreaming:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)

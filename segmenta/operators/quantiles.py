@@ -25,13 +25,14 @@ from ._util import present
 
 
 def value_counts_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(column, value double, n) over the non-null, non-NaN parsed values."""
+    """(column, value double, n) over the non-null parsed values ('nan' parses to NaN and counts,
+    as in the reference; NaN sorts after every number)."""
     from .stats import to_double
 
     cols = present(df, cols)
     num = df.select(*[to_double(df, c).alias(c) for c in cols])
     return (num.unpivot([], cols, "column", "value")
-            .where(F.col("value").isNotNull() & ~F.isnan("value"))
+            .where(F.col("value").isNotNull())
             .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -51,25 +52,27 @@ def quantiles_from_counts(counts: DataFrame, probs=(0.25, 0.5, 0.75), partitions
     per_part = ranged.groupBy("pid", "column").agg(F.sum("n").alias("pn"))
     offsets = per_part.select(
         "pid", "column",
-        (F.sum("pn").over(Window.partitionBy("column").orderBy("pid")) - F.col("pn")).alias("off"),
-        F.sum("pn").over(Window.partitionBy("column")).alias("total"))
+        (F.sum("pn").over(Window.partitionBy("column").orderBy("pid")) - F.col("pn")).alias("off"))
     run = F.sum("n").over(Window.partitionBy("pid", "column").orderBy("value")
                           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     cum = (ranged.withColumn("run", run).join(F.broadcast(offsets), ["pid", "column"])
-           .select("column", "value", "total", (F.col("off") + F.col("run") - F.col("n")).alias("lo_rank"),
+           .select("column", "value", (F.col("off") + F.col("run") - F.col("n")).alias("lo_rank"),
                    (F.col("off") + F.col("run")).alias("hi_rank")))
-    # targets: for each p the two ranks that bracket p*(n-1)
+    # for each p, the two ranks bracketing p*(n-1): one row per (column, p, side)
+    totals = per_part.groupBy("column").agg(F.sum("pn").alias("total"))
     pos = F.col("p") * (F.col("total") - 1)
-    targets = cum.select("column", "total").distinct() \
-        .withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs]))) \
-        .select("column", "p", pos.alias("pos"), F.floor(pos).cast("long").alias("r0"),
-                F.least(F.floor(pos).cast("long") + 1, F.col("total") - 1).alias("r1"))
-    t = targets.alias("t")
-    c0, c1 = cum.alias("c0"), cum.alias("c1")
-    v0 = t.join(c0, (F.col("t.column") == F.col("c0.column")) & (F.col("c0.lo_rank") <= F.col("t.r0"))
-                & (F.col("t.r0") < F.col("c0.hi_rank")))
-    v01 = v0.join(c1, (F.col("t.column") == F.col("c1.column")) & (F.col("c1.lo_rank") <= F.col("t.r1"))
-                  & (F.col("t.r1") < F.col("c1.hi_rank")))
-    return v01.select(F.col("t.column").alias("column"), F.col("t.p").alias("p"),
-                      (F.col("c0.value") + (F.col("t.pos") - F.col("t.r0")) * (F.col("c1.value") - F.col("c0.value")))
-                      .alias("value"))
+    targets = (totals.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+               .select("column", "p", pos.alias("pos"), F.floor(pos).cast("long").alias("r0"),
+                       F.least(F.floor(pos).cast("long") + 1, F.col("total") - 1).alias("r1"))
+               .select("column", "p", "pos", "r0",
+                       F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("r0").alias("rank")),
+                                         F.struct(F.lit(1).alias("side"), F.col("r1").alias("rank")))).alias("t"))
+               .select(F.col("column").alias("tcol"), "p", "pos", "r0", "t.side", "t.rank"))
+    hit = cum.join(F.broadcast(targets), (F.col("column") == F.col("tcol")) & (F.col("lo_rank") <= F.col("rank"))
+                   & (F.col("rank") < F.col("hi_rank")))
+    return (hit.groupBy("column", "p")
+            .agg(F.max("pos").alias("pos"), F.max("r0").alias("r0"),
+                 F.max(F.when(F.col("side") == 0, F.col("value"))).alias("v0"),
+                 F.max(F.when(F.col("side") == 1, F.col("value"))).alias("v1"))
+            .select("column", "p", (F.col("v0") + (F.col("pos") - F.col("r0")) * (F.col("v1") - F.col("v0")))
+                    .alias("value")))
