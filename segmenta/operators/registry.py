@@ -136,6 +136,19 @@ def classify(spark: SparkSession, path: str, records: DataFrame, label_col: str
     return predictor.transform(scaled, label_col)
 
 
+def train_and_save(spark: SparkSession, df: DataFrame, features: list[str], n_clusters: int, path: str,
+                   registry: str | None = None, name: str | None = None, seed: int = 42,
+                   restarts: int = 1, min_features: int = 1, label_col: str = "Cluster") -> DataFrame:
+    """Standardise (M2), fit K-Means (M3), persist model + scaler (M17); returns labelled rows."""
+    feats = present(df, features)
+    if len(feats) < min_features:
+        raise ValueError(f"at least {min_features} feature columns are required")
+    scaler = SC.standard_fit(df, feats)
+    res = KM.kmeans_fit(scaler.transform(df), feats, k=n_clusters, seed=seed, restarts=restarts)
+    save_model(spark, res, "kmeans", path, feats, scaler, registry, name)
+    return res.transform(scaler.transform(df), label_col)
+
+
 # ----------------------------------------------------------------- batch
 def train_batch(df: DataFrame, features: list[str], key: str = "id", jobs: list | None = None) -> DataFrame:
     """Min-max the features once (persisted), then train each job in isolation.

@@ -842,3 +842,43 @@ def q_stream_scoring(spark, d):
     q = ST.start_scoring(scored, f"{base}/out", f"{base}/chk", trigger_once=True)
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out")
+
+
+# ============================================================ R1, R2
+from ..operators import reports as RP  # noqa: E402
+
+
+def _report_sql() -> str:
+    lab = _assign_sql(_PART_MM_SQL, "p_partkey", _PART_XY, _CENTROIDS)
+    return f"""WITH lab AS ({lab}),
+c AS (SELECT Cluster AS cluster, count(*) AS n FROM lab GROUP BY Cluster),
+t AS (SELECT sum(n) AS total FROM c)
+SELECT 'algorithm' AS section, 'name' AS item, 'KMEANS' AS value
+UNION ALL SELECT 'metric', 'Inertia', printf('%.4f', (SELECT sum(d2) FROM lab))
+UNION ALL SELECT 'size', CAST(cluster AS VARCHAR), CAST(n AS VARCHAR) FROM c
+UNION ALL SELECT 'share', CAST(cluster AS VARCHAR), printf('%.1f', round(n * 100.0 / total, 1)) FROM c, t
+UNION ALL SELECT 'dominant', CAST((SELECT cluster FROM c ORDER BY n DESC, cluster LIMIT 1) AS VARCHAR),
+                 printf('%.1f', round((SELECT max(n) FROM c) * 100.0 / (SELECT total FROM t), 1))
+UNION ALL SELECT 'minority', CAST((SELECT cluster FROM c ORDER BY n ASC, cluster LIMIT 1) AS VARCHAR),
+                 printf('%.1f', round((SELECT min(n) FROM c) * 100.0 / (SELECT total FROM t), 1))"""
+
+
+@query("report_summary", _report_sql())
+def q_report_summary(spark, d):
+    part = _part_minmax(spark, d)
+    labelled = AS.assign_nearest(part, _PART_XY, _CENTROIDS)
+    inertia = AS.inertia(part, _PART_XY, _CENTROIDS).first()["inertia"]
+    return RP.executive_summary(labelled, "kmeans", {"Inertia": inertia})
+
+
+@query("report_sign_by_cluster", with_survey(
+    "SELECT Cluster, signo, count(*) AS n FROM (" + _assign_sql(
+        "SELECT id, signo, " + ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0) AS {c}" for c in LIKERT[:3])
+        + " FROM survey_view", "id", LIKERT[:3], [(1.0, 1.0, 1.0), (3.0, 3.0, 3.0), (5.0, 5.0, 5.0)]).replace(
+        "SELECT id, p1, p2, p3,", "SELECT id, signo, p1, p2, p3,", 1)
+    + ") WHERE signo IS NOT NULL GROUP BY Cluster, signo"))
+def q_report_sign_by_cluster(spark, d):
+    sv = survey_view(spark, d).select("id", "signo", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
+                                                       for c in LIKERT[:3]])
+    labelled = AS.assign_nearest(sv, LIKERT[:3], [(1.0, 1.0, 1.0), (3.0, 3.0, 3.0), (5.0, 5.0, 5.0)])
+    return RP.chart_tables(labelled, LIKERT[:3])["sign_by_cluster"]

@@ -65,6 +65,16 @@ def truncate(spark: SparkSession, table: str) -> None:
         empty.write.insertInto(table, overwrite=True)
 
 
+def read_jdbc(spark: SparkSession, url: str, table: str, lower: int, upper: int, partitions: int,
+              properties: dict | None = None, key: str = "id") -> DataFrame:
+    """S3 from a relational store: ``partitions`` parallel range reads on ``key``.
+
+    Credentials come only from ``properties`` (the caller's environment); none are defaulted.
+    """
+    return spark.read.jdbc(url, table, column=key, lowerBound=lower, upperBound=upper,
+                           numPartitions=partitions, properties=properties or {})
+
+
 def scan(spark: SparkSession, table: str) -> DataFrame:
     """S3: lazy scan; order by id only where the order is observed (pages, heads, exports)."""
     return spark.table(table)
