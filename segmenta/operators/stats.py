@@ -75,23 +75,33 @@ def first_seen_mode(df: DataFrame, cols: list[str], order_col: str = "id") -> Da
 def question_stats(df: DataFrame, cols: list[str], order_col: str = "id", digits: int | None = 3) -> DataFrame:
     """A5: per question n, mean, first-seen mode, sample variance and sd (rounded to ``digits``).
 
-    Two aggregates for any number of columns: one wide moments aggregate and one
-    (question, value) count aggregate; joined on the <= len(cols) question rows.
+    One scan and one shuffle for any number of columns: the answers are
+    unpivoted and counted per (question, value) with the first ``order_col`` seen
+    (map-side combined).  Moments come from that small table in two passes (mean,
+    then centred squares — numerically stable); the mode is the most frequent
+    value, ties to the one seen first.  Questions without any answer still appear
+    (n 0, mean 0.0, mode null, variance 0.0).
     """
     cols = present(df, cols)
     if not cols:
         raise ValueError("question_stats: none of the columns is present")
-    aggs = []
-    for c in cols:
-        aggs += [F.count(c).alias(f"{c}__n"), mean_or_zero(c).alias(f"{c}__mean"),
-                 var_samp_or_zero(c).alias(f"{c}__var")]
-    wide = df.agg(*aggs)
-    moments = stack_rows(wide, [
-        {"question": F.lit(c), "n": F.col(f"{c}__n"), "mean": F.col(f"{c}__mean"),
-         "variance": F.col(f"{c}__var")} for c in cols])
-    modes = first_seen_mode(df, cols, order_col)
-    out = moments.join(modes, "question", "left").select(
-        "question", "n", "mean", "mode", "variance", F.sqrt("variance").alias("std_dev"))
+    counts = (df.select(order_col, *cols)
+              .unpivot([order_col], cols, "question", "value")
+              .where(F.col("value").isNotNull())
+              .groupBy("question", "value")
+              .agg(F.count(F.lit(1)).alias("n"), F.min(order_col).alias("first_seen")))
+    m1 = counts.groupBy("question").agg(
+        F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean"),
+        F.min_by("value", F.struct(-F.col("n"), F.col("first_seen"))).alias("mode"))
+    m2 = (counts.join(F.broadcast(m1.select("question", F.col("mean").alias("mu"))), "question")
+          .groupBy("question").agg(F.sum(F.col("n") * (F.col("value") - F.col("mu")) ** 2).alias("ss")))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "question string")  # the column list
+    var = F.when(F.col("n") < 2, F.lit(0.0)).otherwise(F.col("ss") / (F.col("n") - 1))
+    out = (names.join(m1, "question", "left").join(m2, "question", "left")
+           .select("question", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
+                   F.coalesce(F.col("mean").cast("double"), F.lit(0.0)).alias("mean"), "mode",
+                   F.coalesce(var.cast("double"), F.lit(0.0)).alias("variance")))
+    out = out.withColumn("std_dev", F.sqrt("variance"))
     if digits is not None:
         out = out.select("question", "n", F.round("mean", digits).alias("mean"), "mode",
                          F.round("variance", digits).alias("variance"),
@@ -234,9 +244,9 @@ def category_frequencies(df: DataFrame, col: str, digits: int = 1) -> DataFrame:
     """
     base = df.select(F.col(col).cast("string").alias("value")).where(
         F.col("value").isNotNull() & (F.col("value") != ""))
-    total = base.select(F.count(F.lit(1))).scalar()
-    return (base.groupBy("value").agg(F.count(F.lit(1)).alias("conteo"))
-            .withColumn("porcentaje", F.round(F.col("conteo") * 100.0 / total, digits))
+    counts = base.groupBy("value").agg(F.count(F.lit(1)).alias("conteo"))
+    total = counts.select(F.sum("conteo")).scalar()  # reuses the counts' exchange, no second scan
+    return (counts.withColumn("porcentaje", F.round(F.col("conteo") * 100.0 / total, digits))
             .orderBy("value"))
 
 
@@ -297,18 +307,12 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     bin_of = F.when(hi > lo, F.least(F.floor((F.col("x") - lo) / width).cast("int"), F.lit(bins - 1))) \
               .otherwise(F.lit(0))
     counts = vals.select(bin_of.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
-    edges = (vals.agg(F.min("x").alias("mn"), F.max("x").alias("mx"))
-             .where(F.col("mn").isNotNull())
-             .select(F.explode(F.sequence(F.lit(0), F.when(F.col("mx") > F.col("mn"), F.lit(bins - 1))
-                                          .otherwise(F.lit(0)))).alias("bin"), "mn", "mx"))
-    w = (F.col("mx") - F.col("mn")) / bins
+    edges = (df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+             .where(lo.isNotNull() & ((F.col("bin") == 0) | (hi > lo))))
     edges = edges.select("bin",
-                         F.when(F.col("mx") > F.col("mn"), F.col("mn") + F.col("bin") * w)
-                         .otherwise(F.col("mn")).alias("lo"),
-                         F.when(F.col("mx") > F.col("mn"),
-                                F.when(F.col("bin") == bins - 1, F.col("mx"))
-                                .otherwise(F.col("mn") + (F.col("bin") + 1) * w))
-                         .otherwise(F.col("mx")).alias("hi"))
+                         F.when(hi > lo, lo + F.col("bin") * width).otherwise(lo).alias("lo"),
+                         F.when(hi > lo, F.when(F.col("bin") == bins - 1, hi)
+                                .otherwise(lo + (F.col("bin") + 1) * width)).otherwise(hi).alias("hi"))
     return (edges.join(F.broadcast(counts), "bin", "left")
             .select("bin", "lo", "hi", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
             .orderBy("bin"))
