@@ -77,7 +77,7 @@ def question_stats(df: DataFrame, cols: list[str], order_col: str = "id", digits
 
     One scan and one shuffle for any number of columns: the answers are
     unpivoted and counted per (question, value) with the first ``order_col`` seen
-    (map-side combined).  Moments come from that small table in two passes (mean,
+    (map-side combined) and that small table is written once.  Moments come from that small table in two passes (mean,
     then centred squares — numerically stable); the mode is the most frequent
     value, ties to the one seen first.  Questions without any answer still appear
     (n 0, mean 0.0, mode null, variance 0.0).
@@ -85,11 +85,14 @@ def question_stats(df: DataFrame, cols: list[str], order_col: str = "id", digits
     cols = present(df, cols)
     if not cols:
         raise ValueError("question_stats: none of the columns is present")
-    counts = (df.select(order_col, *cols)
-              .unpivot([order_col], cols, "question", "value")
-              .where(F.col("value").isNotNull())
-              .groupBy("question", "value")
-              .agg(F.count(F.lit(1)).alias("n"), F.min(order_col).alias("first_seen")))
+    from ..session import materialize
+
+    counts = materialize(df.select(order_col, *cols)
+                         .unpivot([order_col], cols, "question", "value")
+                         .where(F.col("value").isNotNull())
+                         .groupBy("question", "value")
+                         .agg(F.count(F.lit(1)).alias("n"), F.min(order_col).alias("first_seen")),
+                         "question-counts")  # read by three branches: one scan of the input
     m1 = counts.groupBy("question").agg(
         F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean"),
         F.min_by("value", F.struct(-F.col("n"), F.col("first_seen"))).alias("mode"))
