@@ -882,3 +882,10 @@ def q_report_sign_by_cluster(spark, d):
                                                        for c in LIKERT[:3]])
     labelled = AS.assign_nearest(sv, LIKERT[:3], [(1.0, 1.0, 1.0), (3.0, 3.0, 3.0), (5.0, 5.0, 5.0)])
     return RP.chart_tables(labelled, LIKERT[:3])["sign_by_cluster"]
+
+
+@query("silhouette_squared")
+def q_silhouette_squared(spark, d):
+    """M8 scalable mode: MLlib squared-Euclidean silhouette, O(n*k), reported under its own name."""
+    labelled = AS.assign_nearest(_part_minmax(spark, d), _PART_XY, _CENTROIDS)
+    return EV.silhouette(labelled, _PART_XY, "Cluster", mode="squared")
