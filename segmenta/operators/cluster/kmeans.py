@@ -8,7 +8,6 @@ from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .assign import assign_nearest
 

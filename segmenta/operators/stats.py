@@ -8,7 +8,7 @@ the shuffle at (#columns x #distinct values) rows, whatever the row count.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._util import order_by_position, present, stack_rows
@@ -225,7 +225,13 @@ def multi_mode(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def median(c: str | Column) -> Column:
-    """Exact median (linear interpolation); use ``approx_median`` for huge continuous columns."""
+    """A9 as a column expression: exact median (linear interpolation) via ``percentile``.
+
+    ``percentile`` keeps the group's distinct values in one buffer: fine for
+    bounded-cardinality columns (Likert answers, sizes).  For continuous columns
+    at scale use :func:`numeric_summary` / ``quantiles.quantiles_long`` (exact, by
+    rank, distributed) or ``approx_median``.
+    """
     return F.percentile(c, F.lit(0.5))
 
 
@@ -234,7 +240,7 @@ def approx_median(c: str | Column, accuracy: int = 10000) -> Column:
 
 
 def quartiles(c: str | Column) -> Column:
-    """Exact quartiles as an array [Q1, Q2, Q3]."""
+    """A14 as a column expression (bounded-cardinality columns; see :func:`median`)."""
     return F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
 
 
