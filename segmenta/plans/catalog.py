@@ -622,7 +622,7 @@ def q_dbscan_labels(spark, d):
     return _part_dbscan(spark, d)
 
 
-@query("noise_count", "SELECT count_if(Cluster = -1) AS noise_points FROM (" + _DB_SQL.replace(
+@query("noise_count", "SELECT CAST(count_if(Cluster = -1) AS BIGINT) AS noise_points FROM (" + _DB_SQL.replace(
     "WITH RECURSIVE", "WITH RECURSIVE", 1) + ")")
 def q_noise_count(spark, d):
     return X.noise_count(_part_dbscan(spark, d))
@@ -804,11 +804,12 @@ def q_load_profile(spark, d):
 
 
 @query("quality_table", with_survey(" UNION ALL ".join(
-    [f"SELECT '{c}' AS \"column\", count_if({c} IS NULL) AS nulls, "
-     f"count_if({c} IS NOT NULL AND TRY_CAST(CAST({c} AS VARCHAR) AS DOUBLE) IS NULL) AS invalid FROM survey_view"
+    [f"SELECT '{c}' AS \"column\", CAST(count_if({c} IS NULL) AS BIGINT) AS nulls, "
+     f"CAST(count_if({c} IS NOT NULL AND TRY_CAST(CAST({c} AS VARCHAR) AS DOUBLE) IS NULL) AS BIGINT) AS invalid "
+     "FROM survey_view"
      for c in ["edad"] + LIKERT]
-    + [f"SELECT '{c}' AS \"column\", count_if({c} IS NULL) AS nulls, "
-       f"count_if({c} IS NOT NULL AND trim({c}) = '') AS invalid FROM survey_view" for c in OPEN])))
+    + [f"SELECT '{c}' AS \"column\", CAST(count_if({c} IS NULL) AS BIGINT) AS nulls, "
+       f"CAST(count_if({c} IS NOT NULL AND trim({c}) = '') AS BIGINT) AS invalid FROM survey_view" for c in OPEN])))
 def q_quality_table(spark, d):
     return quality_table(survey_view(spark, d), ["edad"] + LIKERT, OPEN)
 
