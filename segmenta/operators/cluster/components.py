@@ -38,9 +38,13 @@ def _small_star(e: DataFrame) -> DataFrame:
             .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
 
 
-def _signature(e: DataFrame):
-    r = e.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("h")).first()
-    return (r["n"], r["h"])
+def _signature_exprs():
+    """Order-free fingerprint of an edge set, computed while the set is written."""
+    return [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("h")]
+
+
+def _sig(metrics: dict):
+    return (metrics.get("n"), metrics.get("h"))
 
 
 def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
@@ -53,11 +57,11 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     checkpoint_dir(vertices.sparkSession)
     e = (edges.select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b"))
          .where(F.col("a") != F.col("b")).distinct())
-    e = materialize(e, "cc-edges")
-    sig = _signature(e)
+    e, m = materialize(e, "cc-edges", _signature_exprs())
+    sig = _sig(m)
     for r in range(max_rounds):
-        e = materialize(_small_star(_large_star(e)), "cc-edges")
-        new = _signature(e)
+        e, m = materialize(_small_star(_large_star(e)), "cc-edges", _signature_exprs())
+        new = _sig(m)
         if os.environ.get("SEGMENTA_DEBUG"):
             print("cc round", r, new, time.time(), flush=True)
         if new == sig:

@@ -53,14 +53,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
-def materialize(df, name: str = "t"):
+def materialize(df, name: str = "t", observe: list | None = None):
     """Cut lineage by writing ``df`` as Parquet under the session's checkpoint folder and reading it back.
 
     Columnar and splittable, so re-reading is cheap and survives executor loss.
+    With ``observe`` (aggregate Columns), their values are computed during the
+    same write job and returned as a dict alongside the frame (no extra job).
     """
     import uuid
 
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    if observe:
+        from pyspark.sql import Observation
+
+        obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+        df.observe(obs, *observe).write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path), obs.get
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
