@@ -74,6 +74,9 @@ def silhouette_points(df: DataFrame, features: list[str], label_col: str = "Clus
                 s_all[start:start + chunk] = s
             yield pd.DataFrame({"label": pdf["label"], "w": pdf["w"], "s": s_all})
 
+    # each point costs O(m) distance work on a small frame: spread the points over every core
+    # (adaptive execution would otherwise coalesce them into one or two tasks)
+    pts = pts.repartition(max(1, spark.sparkContext.defaultParallelism * 2))
     schema = T.StructType([T.StructField("label", pts.schema["label"].dataType),
                            T.StructField("w", T.LongType()), T.StructField("s", T.DoubleType())])
     return pts.mapInPandas(score, schema)
