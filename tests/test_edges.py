@@ -132,3 +132,26 @@ def test_page_info(spark):
     assert (r["total"], r["pages"], r["row_from"], r["row_to"]) == (23, 3, 21, 23)
     assert [x["id"] for x in P.page(df, 3, 10).collect()] == [20, 21, 22]
     assert P.page_count(0, 10) == 1
+
+
+def test_first_seen_mode_standalone(spark):
+    df = spark.createDataFrame([(3, 5, "b"), (1, 7, "a"), (2, 5, "a"), (4, 7, None)], "id long, x int, c string")
+    got = {r["question"]: r["mode"] for r in A.first_seen_mode(df, ["x"], "id").collect()}
+    assert got == {"x": 7}  # 5 and 7 tie (2 each); 7 is seen first (id 1)
+
+
+def test_keyset_page_and_value_count_ties(spark):
+    from segmenta.operators import filters as P
+    df = spark.range(1, 31)
+    assert [r["id"] for r in P.page_after(df, 25, size=10).collect()] == [26, 27, 28, 29, 30]
+    assert [r["id"] for r in P.page_after(df, None, size=3).collect()] == [1, 2, 3]
+    vc = spark.createDataFrame([("b",), ("a",), ("a",), ("b",), ("c",), (None,)], "k string")
+    assert [tuple(r) for r in X.value_counts(vc, "k").collect()] == [("a", 2), ("b", 2), ("c", 1)]
+
+
+def test_default_themes_cover_fifteen_questions(spark):
+    cols = {f"p{i}": i % 5 + 1 for i in range(1, 16)}
+    df = spark.createDataFrame([tuple(cols.values())], ", ".join(f"{c} int" for c in cols))
+    row = A.dimension_means(df).first().asDict()
+    assert len(row) == 5
+    assert row["Fuego (Impulso/Liderazgo)"] == pytest.approx((2 + 3 + 4) / 3)
