@@ -890,3 +890,15 @@ def q_silhouette_squared(spark, d):
     """M8 scalable mode: MLlib squared-Euclidean silhouette, O(n*k), reported under its own name."""
     labelled = AS.assign_nearest(_part_minmax(spark, d), _PART_XY, _CENTROIDS)
     return EV.silhouette(labelled, _PART_XY, "Cluster", mode="squared")
+
+
+@query("first_seen_mode", """
+WITH long AS (SELECT o_orderkey, question, value FROM
+                (SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders)
+                UNPIVOT (value FOR question IN (o_orderstatus, o_orderpriority))),
+cnt AS (SELECT question, value, count(*) AS n, min(o_orderkey) AS f FROM long GROUP BY question, value)
+SELECT question, value AS mode FROM (
+  SELECT *, row_number() OVER (PARTITION BY question ORDER BY n DESC, f ASC) AS rn FROM cnt) WHERE rn = 1""")
+def q_first_seen_mode(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    return A.first_seen_mode(o, ["o_orderstatus", "o_orderpriority"], order_col="o_orderkey")
