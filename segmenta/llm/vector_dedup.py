@@ -131,15 +131,16 @@ def links(classes: DataFrame, index: MultiIndex, threshold: float) -> DataFrame:
     m = (members.join(grid, "cell").withColumn("mb", F.pmod(F.xxhash64("id"), "m_blocks"))
          .withColumn("vb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("v_blocks") - 1))).select("cell", "mb", "vb", "id", "v", "size", "cells"))
     v = (visitors.join(grid, "cell").withColumn("vb", F.pmod(F.xxhash64("id"), "v_blocks"))
-         .withColumn("mb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m_blocks") - 1))).select("cell", "mb", "vb", "id", "v", "size", "home"))
+         .withColumn("mb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m_blocks") - 1)))
+         .select("cell", "mb", "vb", F.col("id").alias("v_id"), F.col("v").alias("v_v"), F.col("size").alias("v_size"), "home"))
 
     def meet(members, visitors):
         if not len(members) or not len(visitors):
             return pd.DataFrame({"a": [], "b": [], "n": []}).astype("Int64")
-        x, y = (np.stack(t["v"].to_numpy()).astype(np.float64) for t in (visitors, members))
+        x, y = (np.stack(t.to_numpy()).astype(np.float64) for t in (visitors["v_v"], members["v"]))
         x /= np.linalg.norm(x, axis=1, keepdims=True)
         y /= np.linalg.norm(y, axis=1, keepdims=True)
-        ids_x, ids_y = visitors["id"].to_numpy(np.int64), members["id"].to_numpy(np.int64)
+        ids_x, ids_y = visitors["v_id"].to_numpy(np.int64), members["id"].to_numpy(np.int64)
         linked = (x @ y.T >= threshold) & (ids_x[:, None] != ids_y[None, :])
         # the member counts the visitor here only if it does not visit the visitor's home itself
         home = visitors["home"].to_numpy(np.int64)
@@ -148,7 +149,7 @@ def links(classes: DataFrame, index: MultiIndex, threshold: float) -> DataFrame:
         hit_x, hit_y = np.nonzero(linked)
         visits_home[hit_x, hit_y] = (cells[hit_y] == home[hit_x][:, None]).any(1)
         n_x = linked @ members["size"].to_numpy(np.int64)
-        n_y = (linked & ~visits_home).T @ visitors["size"].to_numpy(np.int64)
+        n_y = (linked & ~visits_home).T @ visitors["v_size"].to_numpy(np.int64)
         counts = pd.DataFrame({"a": np.concatenate([ids_x[n_x > 0], ids_y[n_y > 0]]), "n": np.concatenate([n_x[n_x > 0], n_y[n_y > 0]])})
         edges = pd.DataFrame(forest(linked, ids_x, ids_y), columns=["a", "b"])
         return pd.concat([counts, edges])[["a", "b", "n"]].astype("Int64")

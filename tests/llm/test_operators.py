@@ -460,7 +460,7 @@ BASE = {
 }
 PERSONAL = ["mail a.b@c.de, x@y, @z.com a@b.c@d.e.f %%@a-b.c.d..e é@x.yz", "1.2.3.4 and 1.2.3.256 and 1.2.3.4.5.6.7.8 01.002.3.255 .1.2.3.4",
             "4111 1111 1111 1111 and 4111-1111-1111-1112, 5500005555555559 1 2 3", "+1 (988) 555-2485, +49 30 1234567. +1+22 333 4444 55 +123 ",
-            "IBAN DE89 3704 0044 0532 0130 00 or GB82WEST12345698765432, DE88370400440532013000", "my ssn 078-05-1120; order 078-05-1120-1 123-45-6789",
+            "IBAN DE89 3704 0044 0532 0130 00 or GB82WEST12345698765432, DE88370400440532013000", "my ssn 078-05-1120" + " and so on" * 8 + "; order 078-05-1120-1 123-45-6789",
             "a" * 3000, "1" * 3000, "1." * 1500, "+" * 500 + "1 " * 900, "a@" * 800, "x@" + "a." * 900, "٣٣@a.b 1٣.2.3.4 ＋1 234 567 890", "4" * 16 + "@x.com"]
 
 
