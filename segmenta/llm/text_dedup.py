@@ -12,9 +12,12 @@ t (ln t + 2) / weight are thrown; a text with a coordinate still empty throws fu
 Candidates: ``BANDS`` bands of ``ROWS_IN_BAND`` coordinates; at the threshold a pair of similarity 0.8 shares no band with a
 probability of 5e-8.  In every bucket the members meet the smallest id (an aggregate, and a join that Spark can split).
 Pairs whose signatures agree on enough coordinates (short of that with probability below 1e-6 at 0.8) are compared exactly by
-their texts.  What a bucket's smallest member does not tie together is met again: members of different components,
-other than that smallest one, in blocks of ``BLOCK`` rows of signatures; pairs that agree enough are compared exactly too.  So a
-link between different classes is not lost, and no bucket's pairs are written out.
+their texts.  Buckets whose members then lie in several components are looked at again.  For their texts the shingles that no
+other of these texts has are counted; with n shingles, u of them its own, a pair shares at most min(n - u), which bounds its
+similarity from above.  First every member meets the bucket's hub, the member with the smallest share of own shingles
+(the least edited copy); then members of still different components meet in blocks of ``BLOCK`` rows of signatures.  Pairs
+that agree enough and whose bound allows it are compared exactly.  So no link between different classes is lost, and
+no bucket's pairs are written out.
 
 Equal word sequences are one class from the start.  Null text and text without a word are left alone, each its own
 class.  Rows that share an id: the class of an id is that of all its rows.  An empty table gives no rows; extra columns are
@@ -142,25 +145,47 @@ def similarity(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[
         yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], names=["a", "b"])
 
 
-def meet_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cells of two blocks of a bucket's members -> pairs of different components whose signatures agree enough."""
+def most_similar(n_a, u_a, n_b, u_b):
+    """Upper bound of the similarity of texts with n elements, of which u occur in no other text (numpy or columns alike)."""
+    least = np.minimum if isinstance(n_b, np.ndarray) else F.least
+    shared = least(n_a - u_a, n_b - u_b)
+    return shared / (n_a + n_b - shared)
+
+
+def meet_again(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """Cells of two blocks of a bucket's members -> pairs of different components that may be similar enough."""
     for b in batches:
         for i in range(b.num_rows):
             sides = []
             for name in ("left", "right"):
                 one = b.column(name)[i].values
                 sig = np.frombuffer(b"".join(one.field("sig").to_pylist()), np.uint8).reshape(-1, COORDINATES)
-                sides.append((one.field("id").to_numpy(zero_copy_only=False), one.field("comp").to_numpy(zero_copy_only=False), sig))
-            (ida, ca, sa), (idb, cb, sb) = sides
+                sides.append([one.field(c).to_numpy(zero_copy_only=False) for c in ("id", "comp", "n", "u")] + [sig])
+            (ida, ca, na, ua, sa), (idb, cb, nb, ub, sb) = sides
             hits = []
             for k in range(len(ida)):
-                agree = (sb == sa[k]).sum(1) >= ENOUGH
-                other = idb[agree & (cb != ca[k])]
+                may = np.flatnonzero((cb != ca[k]) & (most_similar(np.full(len(nb), na[k]), np.full(len(nb), ua[k]), nb, ub) >= threshold))
+                other = idb[may[(sb[may] == sa[k]).sum(1) >= ENOUGH]]
                 hits.append(np.stack([np.minimum(other, ida[k]), np.maximum(other, ida[k])], 1))
             pairs = np.unique(np.concatenate(hits), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
+def element_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per batch and element: how many texts have it, and one of them."""
+    for b in text_slices(batches):
+        row, h = elements(*word_hashes(b.column("text")))
+        each, first, n = np.unique(h, return_index=True, return_counts=True)
+        ids = b.column("id").to_numpy(zero_copy_only=False)
+        yield pa.RecordBatch.from_arrays([pa.array(each.view(np.int64)), pa.array(n), pa.array(ids[row[first]])], names=["h", "n", "id"])
+
+
+def own_elements(texts: DataFrame) -> DataFrame:
+    """``id, u``: elements of a text that no other of ``texts`` has (no row where there are none)."""
+    counts = texts.mapInArrow(element_counts, "h long, n long, id long").groupBy("h").agg(F.sum("n").alias("n"), F.min("id").alias("id"))
+    return counts.where("n = 1").groupBy("id").agg(F.count(F.lit(1)).alias("u"))
+
+
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float, name: str) -> DataFrame:
     """Pairs ``a, b`` that hold up by their texts."""
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
@@ -183,8 +208,8 @@ def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", tex
     exact = worded.groupBy("h1", "h2").agg(F.min("id").alias("rep"))
     member = worded.select("id", "h1", "h2").distinct().join(exact, ["h1", "h2"]).select("id", "rep")
     # one row per class of equal texts; an id may stand for several if its rows differ
-    reps = materialize(worded.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.min_by(F.struct("bands", "sig"), "id").alias("s"))
-                       .select("id", "s.bands", "s.sig"), "representatives")
+    reps = materialize(worded.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.min_by(F.struct("bands", "sig", "words"), "id").alias("s"))
+                       .select("id", "s.bands", "s.sig", F.greatest(F.col("s.words") - SHINGLE + 1, F.lit(1)).alias("n")), "representatives")
     spread = reps.select("id", F.explode("bands").alias("key"))
     centres = spread.groupBy("key").agg(F.min("id").alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1")
     in_bucket = materialize(spread.join(centres, "key").where("id <> centre"), "buckets")
@@ -200,19 +225,38 @@ def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", tex
     first = materialize(connected_components(worded.select("id"), edges), "components")
     # buckets whose members, but for the centre that all have met, lie in several components
     about = in_bucket.select("key", "id").join(first, "id")
-    split = (about.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"))
-             .where("lo <> hi").select("key", F.ceil(F.col("n") / BLOCK).alias("blocks")))
-    dealt = (about.join(split, "key").join(reps.select("id", "sig"), "id").withColumn("block", F.pmod(F.xxhash64("id"), "blocks")))
-    blocks = dealt.groupBy("key", "blocks", "block").agg(F.collect_list(F.struct("id", "comp", "sig")).alias("members"))
+    open_ = materialize(about.join(several(about), "key").join(reps.select("id", "sig", "n"), "id"), "open-buckets")
+    own = own_elements(texts.join(open_.select("id").distinct(), "id", "left_semi"))
+    members = materialize(open_.join(own, "id", "left").withColumn("u", F.coalesce("u", F.lit(0))), "open-members")
+    hubs = members.groupBy("key").agg(F.min_by(F.struct("id", "comp", "sig", "n", "u"), F.struct(F.col("u") / F.col("n"), "id")).alias("hub"))
+    may = ((F.col("hub.comp") != F.col("comp")) & (most_similar(F.col("hub.n"), F.col("hub.u"), F.col("n"), F.col("u")) >= threshold)
+           & (agreement("hub.sig", "sig") >= ENOUGH))
+    to_hub = (members.join(hubs, "key").where(may)
+              .select(F.least("hub.id", "id").alias("a"), F.greatest("hub.id", "id").alias("b")).distinct())
+    second = materialize(merged(first, verified(to_hub, texts, threshold, "hub-links")), "components")
+    rest = members.drop("comp", "size").join(second, "id")
+    dealt = (rest.join(several(rest), "key").withColumn("blocks", F.ceil(F.col("size") / BLOCK))
+             .withColumn("block", F.pmod(F.xxhash64("id"), "blocks")))
+    blocks = dealt.groupBy("key", "blocks", "block").agg(F.collect_list(F.struct("id", "comp", "n", "u", "sig")).alias("members"))
     left = blocks.select("key", F.col("block").alias("i"), F.col("members").alias("left"),
                          F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"))
     cells = left.join(blocks.select("key", F.col("block").alias("j"), F.col("members").alias("right")), ["key", "j"])
-    again = cells.select("left", "right").mapInArrow(meet_again, "a long, b long").distinct()
-    more = verified(again, texts, threshold, "more-links")
-    named = lambda side: first.select(F.col("id").alias(side), F.col("comp").alias(f"comp_{side}"))
-    joined = more.join(named("a"), "a").join(named("b"), "b").select(F.col("comp_a").alias("src"), F.col("comp_b").alias("dst"))
-    top = connected_components(first.select(F.col("comp").alias("id")), joined)
-    return first.join(top.select(F.col("id").alias("comp"), F.col("comp").alias("component")), "comp").select("id", "component")
+    again = cells.select("left", "right").mapInArrow(lambda batches: meet_again(batches, threshold), "a long, b long").distinct()
+    return merged(second, verified(again, texts, threshold, "more-links")).withColumnRenamed("comp", "component")
+
+
+def several(members: DataFrame) -> DataFrame:
+    """``key, size`` of the buckets of ``members(key, id, comp)`` that hold several components."""
+    return (members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
+            .where("lo <> hi").select("key", "size"))
+
+
+def merged(components: DataFrame, links: DataFrame) -> DataFrame:
+    """``components(id, comp)`` with those that ``links(a, b)`` join made one."""
+    named = lambda side: components.select(F.col("id").alias(side), F.col("comp").alias(f"comp_{side}"))
+    joined = links.join(named("a"), "a").join(named("b"), "b").select(F.col("comp_a").alias("src"), F.col("comp_b").alias("dst"))
+    top = connected_components(components.select(F.col("comp").alias("id")), joined)
+    return components.join(top.select(F.col("id").alias("comp"), F.col("comp").alias("top")), "comp").select("id", F.col("top").alias("comp"))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
