@@ -15,9 +15,10 @@ Pairs whose signatures agree on enough coordinates (short of that with probabili
 their texts.  Buckets whose members then lie in several components are looked at again.  For their texts the shingles that no
 other of these texts has are counted; with n shingles, u of them its own, a pair shares at most min(n - u), which bounds its
 similarity from above.  First every member meets the bucket's hub, the member with the smallest share of own shingles
-(the least edited copy); then members of still different components meet in blocks of ``BLOCK`` rows of signatures.  Pairs
-that agree enough and whose bound allows it are compared exactly.  So no link between different classes is lost, and
-no bucket's pairs are written out.
+(the least edited copy).  Then members of still different components meet in blocks of ``BLOCK`` signatures; those with a
+partner that agrees enough, whose bound allows it and with whom no earlier band is shared come back with their shingles, and the
+block's similarities are computed exactly at once.  What leaves a block is a spanning forest of its links.  So no link between
+different classes is lost, and no bucket's pairs are written out.
 
 Equal word sequences are one class from the start.  Null text and text without a word are left alone, each its own
 class.  Rows that share an id: the class of an id is that of all its rows.  An empty table gives no rows; extra columns are
@@ -29,6 +30,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -37,6 +39,7 @@ from pyspark.sql import functions as F
 from ..operators.cluster.components import connected_components
 from ..session import materialize
 from .textarrays import distinct_chunks, mix, ragged_take, text_rows, text_slices
+from .vector_dedup import forest
 
 SHINGLE = 5
 COORDINATES = 128
@@ -153,22 +156,54 @@ def most_similar(n_a, u_a, n_b, u_b):
 
 
 def meet_again(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """Cells of two blocks of a bucket's members -> pairs of different components that may be similar enough."""
+    """Cells of two blocks of a bucket's members -> members with a partner of another component that may be similar enough."""
     for b in batches:
-        for i in range(b.num_rows):
+        for at in range(b.num_rows):
             sides = []
             for name in ("left", "right"):
-                one = b.column(name)[i].values
+                one = b.column(name)[at].values
                 sig = np.frombuffer(b"".join(one.field("sig").to_pylist()), np.uint8).reshape(-1, COORDINATES)
                 sides.append([one.field(c).to_numpy(zero_copy_only=False) for c in ("id", "comp", "n", "u")] + [sig])
             (ida, ca, na, ua, sa), (idb, cb, nb, ub, sb) = sides
-            hits = []
+            band = b.column("band")[at].as_py()
+            met_a, met_b = np.zeros(len(ida), bool), np.zeros(len(idb), bool)
             for k in range(len(ida)):
                 may = np.flatnonzero((cb != ca[k]) & (most_similar(np.full(len(nb), na[k]), np.full(len(nb), ua[k]), nb, ub) >= threshold))
-                other = idb[may[(sb[may] == sa[k]).sum(1) >= ENOUGH]]
-                hits.append(np.stack([np.minimum(other, ida[k]), np.maximum(other, ida[k])], 1))
-            pairs = np.unique(np.concatenate(hits), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+                equal = sb[may] == sa[k]
+                first = equal.reshape(-1, BANDS, ROWS_IN_BAND).all(2).argmax(1)
+                may = may[(equal.sum(1) >= ENOUGH) & (first == band)]
+                met_a[k] = len(may) > 0
+                met_b[may] = True
+            ids = np.unique(np.concatenate([ida[met_a], idb[met_b]]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), b.column(c)[at].as_py(), np.int64)) for c in ("key", "i", "j")] + [pa.array(ids)],
+                                             names=["key", "i", "j", "id"])
+
+
+def element_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in text_slices(batches):
+        row, h = elements(*word_hashes(b.column("text")))
+        sets = np.split(h, np.searchsorted(row, np.arange(1, b.num_rows)))
+        yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([x.tobytes() for x in sets], pa.binary())], names=["id", "elements"])
+
+
+def exact_links(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """One cell's ``id, comp, elements`` -> a spanning forest of its links between different components."""
+    sets = [np.frombuffer(x, np.uint64) for x in pdf["elements"]]
+    n = np.array(list(map(len, sets)), np.int64)
+    who, column = np.repeat(np.arange(len(sets)), n), np.unique(np.concatenate(sets), return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    who, column = who[order], column[order]
+    shared = np.zeros((len(sets), len(sets)), np.float32)
+    width = 2048
+    edges = np.searchsorted(column, np.arange(0, (column[-1] if len(column) else 0) + width + 1, width))
+    for k, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+        has = np.zeros((len(sets), width), np.float32)
+        has[who[lo:hi], column[lo:hi] - k * width] = 1
+        shared += has @ has.T
+    comp, ids = pdf["comp"].to_numpy(np.int64), pdf["id"].to_numpy(np.int64)
+    both = shared.astype(np.float64)
+    linked = (both >= threshold * (n[:, None] + n[None, :] - both)) & (comp[:, None] != comp[None, :])
+    return pd.DataFrame(forest(linked, ids, ids), columns=["a", "b"], dtype=np.int64)
 
 
 def element_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,7 +245,7 @@ def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", tex
     # one row per class of equal texts; an id may stand for several if its rows differ
     reps = materialize(worded.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.min_by(F.struct("bands", "sig", "words"), "id").alias("s"))
                        .select("id", "s.bands", "s.sig", F.greatest(F.col("s.words") - SHINGLE + 1, F.lit(1)).alias("n")), "representatives")
-    spread = reps.select("id", F.explode("bands").alias("key"))
+    spread = reps.select("id", F.posexplode("bands").alias("band", "key"))
     centres = spread.groupBy("key").agg(F.min("id").alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1")
     in_bucket = materialize(spread.join(centres, "key").where("id <> centre"), "buckets")
     stars = in_bucket.select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
@@ -224,7 +259,7 @@ def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", tex
     edges = links.select(F.col("a").alias("src"), F.col("b").alias("dst")).union(member.where("id <> rep").select("id", "rep"))
     first = materialize(connected_components(worded.select("id"), edges), "components")
     # buckets whose members, but for the centre that all have met, lie in several components
-    about = in_bucket.select("key", "id").join(first, "id")
+    about = in_bucket.select("key", "band", "id").join(first, "id")
     open_ = materialize(about.join(several(about), "key").join(reps.select("id", "sig", "n"), "id"), "open-buckets")
     own = own_elements(texts.join(open_.select("id").distinct(), "id", "left_semi"))
     members = materialize(open_.join(own, "id", "left").withColumn("u", F.coalesce("u", F.lit(0))), "open-members")
@@ -237,12 +272,16 @@ def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", tex
     rest = members.drop("comp", "size").join(second, "id")
     dealt = (rest.join(several(rest), "key").withColumn("blocks", F.ceil(F.col("size") / BLOCK))
              .withColumn("block", F.pmod(F.xxhash64("id"), "blocks")))
-    blocks = dealt.groupBy("key", "blocks", "block").agg(F.collect_list(F.struct("id", "comp", "n", "u", "sig")).alias("members"))
-    left = blocks.select("key", F.col("block").alias("i"), F.col("members").alias("left"),
+    blocks = dealt.groupBy("key", "band", "blocks", "block").agg(F.collect_list(F.struct("id", "comp", "n", "u", "sig")).alias("members"))
+    left = blocks.select("key", "band", F.col("block").alias("i"), F.col("members").alias("left"),
                          F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"))
     cells = left.join(blocks.select("key", F.col("block").alias("j"), F.col("members").alias("right")), ["key", "j"])
-    again = cells.select("left", "right").mapInArrow(lambda batches: meet_again(batches, threshold), "a long, b long").distinct()
-    return merged(second, verified(again, texts, threshold, "more-links")).withColumnRenamed("comp", "component")
+    met = materialize(cells.select("key", "band", "i", "j", "left", "right")
+                      .mapInArrow(lambda batches: meet_again(batches, threshold), "key long, i long, j long, id long"), "met")
+    sets = texts.join(met.select("id").distinct(), "id", "left_semi").mapInArrow(element_rows, "id long, elements binary")
+    more = (met.join(sets, "id").join(second, "id").groupBy("key", "i", "j")
+            .applyInPandas(lambda pdf: exact_links(pdf, threshold), "a long, b long"))
+    return merged(second, materialize(more, "more-links")).withColumnRenamed("comp", "component")
 
 
 def several(members: DataFrame) -> DataFrame:
