@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from .lattice import BLOCK, MARK, Lattice, Pieces, pieces
 from .textarrays import distinct_chunks, mix, ragged_take, text_bytes, text_rows, text_slices
 
+SLICE = 4 << 20  # bytes of text worked on at once: the arrays made from them take about 60 times as much
+
 
 def row_hash(seed: int, keys: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
@@ -113,7 +115,7 @@ def encode(docs: DataFrame, vocab_path: str, alpha: float = 2e-4, seed: int = 0,
     """``doc_id, ids``: one sampled segmentation per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in text_slices(batches):
+        for b in text_slices(batches, SLICE):
             ptr, ids = sample_rows(pieces(vocab_path), b.column("id").to_numpy(zero_copy_only=False), b.column("text"), alpha, seed)
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.ListArray.from_arrays(pa.array(ptr, pa.int32()), pa.array(ids, pa.int32()))],
                                              names=[id_col, "ids"])
@@ -145,7 +147,7 @@ def digest(docs: DataFrame, vocab_path: str, alpha: float = 2e-4, seed: int = 0,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = pieces(vocab_path)
-        for b in text_slices(batches):
+        for b in text_slices(batches, SLICE):
             text = b.column("text")
             ptr, ids = sample_rows(vocab, b.column("id").to_numpy(zero_copy_only=False), text, alpha, seed)
             at, raw = decode_rows(vocab, ptr, ids)

@@ -47,6 +47,7 @@ REACH = LENGTH - SEED  # bytes on either side of an anchor that a string around
 SEGMENT = 1 << 20  # string starts looked at together
 ROOM = SEGMENT + 4 * LENGTH
 SAMPLED = 64
+SLICE = 4 << 20  # bytes of text worked on at once: the arrays made from them take about 30 times as much
 
 
 def marks(n: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -107,7 +108,7 @@ def seed_rows(hot: np.ndarray):
     """Anchors of each batch; of those with equal surroundings the first, the others as ranges of repeats (``end`` set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in text_slices(batches):
+        for b in text_slices(batches, SLICE):
             buf, off = text_bytes(b.column("text"))
             at, key, around = anchors(buf, off)
             row = np.searchsorted(off, at, side="right") - 1
@@ -343,7 +344,7 @@ def repeated_ranges(texts: DataFrame) -> DataFrame:
 
 
 def drop_ranges(batches: Iterator[pa.RecordBatch], keep_text: bool) -> Iterator[pa.RecordBatch]:
-    for b in text_slices(batches):
+    for b in text_slices(batches, SLICE):
         buf, off = text_bytes(b.column("text"))
         ranges = b.column("ranges").flatten()
         owner = np.repeat(np.arange(b.num_rows), pc.list_value_length(b.column("ranges")).to_numpy(zero_copy_only=False))
