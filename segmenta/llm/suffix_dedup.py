@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from ..operators.cluster.components import dense_numbering
 from ..session import materialize
 from .rolling import Rolling, sliding
-from .textarrays import mix, text_bytes, text_slices
+from .textarrays import mix, small_batches, text_bytes, text_slices
 
 LENGTH = 100
 SEED = 40
@@ -300,7 +300,7 @@ def longest_previous(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def unique_documents(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """(rows with a document number ``doc`` in document order, distinct ``doc, text``)."""
-    rows = docs.withColumn("__text", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    rows = small_batches(docs).withColumn("__text", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     ids = rows.groupBy(F.col(id_col).alias("i")).agg(F.count(F.lit(1)).alias("n"))
     clash = ids.where("n > 1 or i is null").limit(1).count()
     if not clash:

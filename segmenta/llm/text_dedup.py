@@ -115,7 +115,7 @@ SIGNED = "id long, words long, h1 long, h2 long, bands array<long>, sig binary"
 
 def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per row: hashes of the whole word sequence, the band keys, and a byte of every coordinate."""
-    for b in text_slices(batches):
+    for b in text_slices(batches, 4 << 20):
         ptr, words = word_hashes(b.column("text"))
         n, count = b.num_rows, np.diff(ptr)
         sig = dart_signatures(*elements(ptr, words), n)
@@ -180,7 +180,7 @@ def meet_again(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[
 
 
 def element_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in text_slices(batches):
+    for b in text_slices(batches, 4 << 20):
         row, h = elements(*word_hashes(b.column("text")))
         sets = np.split(h, np.searchsorted(row, np.arange(1, b.num_rows)))
         yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([x.tobytes() for x in sets], pa.binary())], names=["id", "elements"])
@@ -208,7 +208,7 @@ def exact_links(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
 
 def element_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per batch and element: how many texts have it, and one of them."""
-    for b in text_slices(batches):
+    for b in text_slices(batches, 4 << 20):
         row, h = elements(*word_hashes(b.column("text")))
         each, first, n = np.unique(h, return_index=True, return_counts=True)
         ids = b.column("id").to_numpy(zero_copy_only=False)

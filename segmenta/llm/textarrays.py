@@ -17,9 +17,20 @@ from pyspark.sql import functions as F
 MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
+BATCH_ROWS = 2000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Have the session send texts to Python in batches of at most ``BATCH_ROWS`` rows: they count in JVM and worker alike."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key, "10000")) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def text_rows(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     """Only the named columns under fixed names (``id``, ``text``, …); a null text becomes the empty text."""
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *more)
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *more)
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20, column: str = "text") -> Iterator[pa.RecordBatch]:
@@ -34,6 +45,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20, col
             end = min(max(end, start + 1), b.num_rows)
             yield b.slice(start, end - start)
             start = end
+        pa.default_memory_pool().release_unused()
 
 
 def text_offsets(arr: pa.Array) -> np.ndarray:
