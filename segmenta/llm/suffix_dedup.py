@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from ..operators.cluster.components import dense_numbering
 from ..session import materialize
 from .rolling import Rolling, sliding
-from .textarrays import mix, small_batches, text_bytes, text_slices
+from .textarrays import give_back, mix, small_batches, text_bytes, text_slices
 
 LENGTH = 100
 SEED = 40
@@ -186,6 +186,7 @@ def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not several and not hot[-1] and new_kind[run == run[-1]].any():
             i = int(np.flatnonzero((run == run[-1]) & new_kind)[0])
             waiting = (int(doc[i]), int(at[i]), 0, int(k[i]), False)
+    give_back()
 
 
 OPEN = "key long, more long, doc long, at long, before binary, after binary"
@@ -296,6 +297,7 @@ def longest_previous(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         held.append(b.slice(cut))
     if held:
         yield resolve(pa.Table.from_batches(held))
+    give_back()
 
 
 def unique_documents(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
