@@ -43,7 +43,7 @@ def main() -> None:
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             times[name] = round(time.perf_counter() - t, 3)
         except Exception as e:  # report, keep going
-            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            errors[name] = f"{type(e).__name__}: {e}"
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     out = {"metric": "headline_total_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
            "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf, "cpus": cpus}

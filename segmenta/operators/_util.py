@@ -34,15 +34,8 @@ def order_by_position(df: DataFrame, col: str, names: list[str]) -> DataFrame:
     return df.orderBy(F.array_position(F.array(*[F.lit(n) for n in names]), F.col(col)))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a frame whose scan yields fewer partitions than the cluster has cores.
-
-    Only for CPU-heavy per-row work (tokenising long texts) over small files:
-    large inputs already have many more splits than cores, so nothing changes.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+def nan_as_null(df: DataFrame, cols) -> DataFrame:
+    """``df`` with NaN read as null in those of ``cols`` that are floating point (as ``pd.notnull`` does)."""
+    kinds = dict(df.dtypes)
+    floats = [c for c in present(df, cols) if kinds[c] in ("float", "double")]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df

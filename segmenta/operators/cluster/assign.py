@@ -29,7 +29,7 @@ def nearest(features: list[str], centroids) -> Column:
                       for i, c in enumerate(centroids)])
     any_null = None
     for f in features:
-        e = F.col(f).isNull()
+        e = F.col(f).isNull() | F.isnan(F.col(f).cast("double"))
         any_null = e if any_null is None else (any_null | e)
     return F.when(any_null, F.lit(None)).otherwise(F.array_min(cands))
 

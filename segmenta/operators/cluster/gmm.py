@@ -10,6 +10,7 @@ from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .._util import nan_as_null
 from ..evaluate import aic, bic
 from .kmeans import FEATURES, assemble, check_enough_rows
 
@@ -43,6 +44,7 @@ class GMMResult:
     def transform(self, df: DataFrame, label_col: str = "Cluster") -> DataFrame:
         """Most probable component, renumbered (descending weight); rows with nulls get null."""
         remap = F.create_map(*[x for new, old in enumerate(self.order) for x in (F.lit(old), F.lit(new))])
+        df = nan_as_null(df, self.features)
         data = assemble(df, self.features)
         out = self.model.setFeaturesCol(FEATURES).setPredictionCol("__comp") \
             .setProbabilityCol("__prob").transform(data)

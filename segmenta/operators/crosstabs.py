@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import present
+from ._util import nan_as_null, present
 
 
 def value_counts(df: DataFrame, col: str, count_col: str = "n") -> DataFrame:
@@ -28,6 +28,7 @@ def group_pair_counts(df: DataFrame, a: str, b: str, count_col: str = "n") -> Da
 def cluster_profile_long(df: DataFrame, features: list[str], cluster_col: str = "Cluster") -> DataFrame:
     """Mean of each feature per cluster, melted to (cluster, feature, mean)."""
     feats = present(df, features)
+    df = nan_as_null(df, feats)
     means = (df.where(F.col(cluster_col).isNotNull()).groupBy(F.col(cluster_col).alias("cluster"))
              .agg(*[F.avg(c).alias(c) for c in feats]))
     return means.unpivot(["cluster"], feats, "feature", "mean")
@@ -44,6 +45,7 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     constant or empty column.
     """
     cols = present(df, cols)
+    df = nan_as_null(df, cols)
     x = {c: F.col(c).cast("double") for c in cols}
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
     gen = F.inline(F.array(*[F.struct(F.lit(k).alias("pair"), x[cols[i]].alias("x"), x[cols[j]].alias("y"))

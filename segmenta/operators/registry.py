@@ -26,12 +26,12 @@ ALGORITHMS = ("kmeans", "dbscan", "gmm", "agglomerative")
 
 
 def train(df: DataFrame, features: list[str], algorithm: str = "kmeans", params: dict | None = None,
-          key: str = "id", label_col: str = "Cluster", silhouette_max_distinct: int = 50_000):
+          key: str = "id", label_col: str = "Cluster", silhouette_mode: str = "exact"):
     """Fit ``algorithm`` and return (labelled rows, model-or-None, metrics dict).
 
     Metrics mirror the reference: Inertia (kmeans); Noise points (dbscan); BIC, AIC
-    (gmm); a silhouette for all (exact Euclidean when the distinct (vector, label)
-    set fits ``silhouette_max_distinct``, else MLlib's squared metric, named as such).
+    (gmm); a silhouette for all, in the mode the caller names: "exact" (Euclidean) or
+    "squared" (MLlib's metric, linear in the rows).  The mode never depends on the data's size.
     """
     params = dict(params or {})
     feats = present(df, features)
@@ -59,23 +59,19 @@ def train(df: DataFrame, features: list[str], algorithm: str = "kmeans", params:
                                         params.get("max_items", 1000), label_col)
     else:
         raise ValueError(f"unknown algorithm: {algorithm}")
-    name, value = _silhouette(labelled, feats, label_col, algorithm == "dbscan", silhouette_max_distinct)
+    name, value = _silhouette(labelled, feats, label_col, algorithm == "dbscan", silhouette_mode)
     metrics[name] = value
     return labelled, model, metrics
 
 
-def _silhouette(labelled, feats, label_col, exclude_noise, max_distinct):
+def _silhouette(labelled, feats, label_col, exclude_noise, mode):
     src = labelled.where(F.col(label_col).isNotNull())
     if exclude_noise:
         src = src.where(F.col(label_col) != -1)
     if src.select(label_col).distinct().limit(2).count() < 2:
         return "Silhouette Score", 0.0
-    try:
-        row = EV.silhouette(src, feats, label_col, "exact", max_distinct).first()
-        return "Silhouette Score", float(row["value"])
-    except ValueError:
-        row = EV.silhouette(src, feats, label_col, "squared").first()
-        return "Silhouette (squared euclidean)", float(row["value"])
+    row = EV.silhouette(src, feats, label_col, mode).first()
+    return {"exact": "Silhouette Score", "squared": "Silhouette (squared euclidean)"}[mode], float(row["value"])
 
 
 # ----------------------------------------------------------------- persistence
@@ -166,7 +162,7 @@ def train_batch(df: DataFrame, features: list[str], key: str = "id", jobs: list
                 _, _, metrics = train(norm, feats, algorithm, params, key=key)
                 rows += [(algorithm, k, float(v), "ok") for k, v in metrics.items()]
             except Exception as e:  # each job isolated, as the reference batch script
-                rows.append((algorithm, "error", None, f"{type(e).__name__}: {str(e)[:200]}"))
+                rows.append((algorithm, "error", None, f"{type(e).__name__}: {e}"))
     finally:
         norm.unpersist()
     return spark.createDataFrame(rows, "algorithm string, metric string, value double, status string")

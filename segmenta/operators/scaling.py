@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import present
+from ._util import nan_as_null, present
 
 
 @dataclass
@@ -24,6 +24,7 @@ class MinMaxModel:
     def transform(self, df: DataFrame) -> DataFrame:
         """(x - min) / (max - min); null -> 0.0; constant column -> 0.0 on every row."""
         out = []
+        df = nan_as_null(df, self.bounds)
         for c in df.columns:
             if c in self.bounds and self.bounds[c][0] is not None:
                 lo, hi = self.bounds[c]
@@ -48,6 +49,7 @@ class StandardModel:
 
     def transform(self, df: DataFrame) -> DataFrame:
         out = []
+        df = nan_as_null(df, self.moments)
         for c in df.columns:
             if c in self.moments and self.moments[c][0] is not None:
                 mu, sd = self.moments[c]
@@ -70,6 +72,7 @@ class StandardModel:
 
 def minmax_fit(df: DataFrame, cols: list[str]) -> MinMaxModel:
     cols = present(df, cols)
+    df = nan_as_null(df, cols)
     row = df.agg(*[F.min(c).cast("double").alias(f"a{i}") for i, c in enumerate(cols)],
                  *[F.max(c).cast("double").alias(f"b{i}") for i, c in enumerate(cols)]).first()
     return MinMaxModel({c: (row[f"a{i}"], row[f"b{i}"]) for i, c in enumerate(cols)})
@@ -82,6 +85,7 @@ def minmax(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def standard_fit(df: DataFrame, cols: list[str]) -> StandardModel:
     cols = present(df, cols)
+    df = nan_as_null(df, cols)
     row = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
                  *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]).first()
     return StandardModel({c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(cols)})

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._util import order_by_position, present, stack_rows
+from ._util import nan_as_null, order_by_position, present, stack_rows
 
 
 # ---------------------------------------------------------------- expressions
@@ -41,15 +41,18 @@ def std_pop_or_zero(c: str | Column) -> Column:
 
 
 def parse_number(c: str | Column) -> Column:
-    """Safe per-value numeric parse; blank/unparsable -> null ('nan' -> NaN)."""
+    """Safe per-value numeric parse; blank/unparsable -> null ('nan' -> NaN).
+
+    The cast accepts a type letter after the digits ('1d', '2f'); those are no numbers here.
+    """
     col = F.col(c) if isinstance(c, str) else c
-    return col.try_cast("double")
+    return F.when(~col.cast("string").rlike(r"(?i)[0-9.][df]\s*$"), col.try_cast("double"))
 
 
 def to_double(df: DataFrame, c: str) -> Column:
     """Numeric view of a column: strings are parsed with ``try_cast``, numbers cast."""
     if dict(df.dtypes)[c] == "string":
-        return F.col(c).try_cast("double")
+        return parse_number(c)
     return F.col(c).cast("double")
 
 
@@ -60,6 +63,7 @@ def first_seen_mode(df: DataFrame, cols: list[str], order_col: str = "id") -> Da
     Returns (question, mode).  One unpivot + two small aggregates.
     """
     cols = present(df, cols)
+    df = nan_as_null(df, cols)
     counts = (
         df.select(order_col, *cols)
         .unpivot([order_col], cols, "question", "value")
@@ -83,6 +87,7 @@ def question_stats(df: DataFrame, cols: list[str], order_col: str = "id", digits
     (n 0, mean 0.0, mode null, variance 0.0).
     """
     cols = present(df, cols)
+    df = nan_as_null(df, cols)
     if not cols:
         raise ValueError("question_stats: none of the columns is present")
     from ..session import materialize
@@ -137,6 +142,7 @@ def dimension_means(df: DataFrame, themes: dict[str, list[str]] | None = None,
     out = [F.col(k) for k in (keep or [])]
     for name, cols in themes.items():
         cols = present(df, cols)
+        df = nan_as_null(df, cols)
         if cols:
             out.append(row_mean(cols).alias(name))
     return df.select(*out)
@@ -146,6 +152,7 @@ def dimension_means(df: DataFrame, themes: dict[str, list[str]] | None = None,
 def basic_stats(df: DataFrame, features: list[str], digits: int | None = 2) -> DataFrame:
     """Mean, sample sd, min, max per present feature; one aggregate, stacked to rows."""
     feats = present(df, features)
+    df = nan_as_null(df, feats)
     aggs = []
     for c in feats:
         aggs += [F.avg(c).alias(f"{c}__mean"), F.stddev_samp(c).alias(f"{c}__std"),
@@ -268,6 +275,7 @@ def total_count(df: DataFrame) -> DataFrame:
 def column_bounds(df: DataFrame, cols: list[str]) -> DataFrame:
     """(column, min, max) from one aggregate."""
     cols = present(df, cols)
+    df = nan_as_null(df, cols)
     wide = df.agg(*[F.min(c).cast("double").alias(f"{c}__min") for c in cols],
                   *[F.max(c).cast("double").alias(f"{c}__max") for c in cols])
     return stack_rows(wide, [{"column": F.lit(c), "min": F.col(f"{c}__min"), "max": F.col(f"{c}__max")}
@@ -330,6 +338,7 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
 def relative_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     """(column, mean, relative) with relative = mean / max(mean) * 100 (max 0 -> divide by 1)."""
     cols = present(df, cols)
+    df = nan_as_null(df, cols)
     wide = df.agg(*[F.avg(c).alias(c) for c in cols])
     top = F.greatest(*[F.col(c) for c in cols]) if len(cols) > 1 else F.col(cols[0])
     wide = wide.withColumn("__top", F.when((top.isNull()) | (top == 0), F.lit(1.0)).otherwise(top))

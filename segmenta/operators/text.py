@@ -13,17 +13,15 @@ from pyspark.sql import functions as F
 from ..functions.lexicon import NEGATIVE_ES, POSITIVE_ES, STOP_WORDS_ES
 from ..functions.text import polarity_text, tokens
 from ..session import checkpoint_dir, materialize
-from ._util import present, spread
+from ._util import present
 
 
-def corpus(df: DataFrame, text_cols: list[str], key_cols: list[str], spread_rows: bool = True) -> DataFrame:
+def corpus(df: DataFrame, text_cols: list[str], key_cols: list[str]) -> DataFrame:
     """UNION ALL of the text columns as (key..., field, text), null cells dropped."""
     cols = present(df, text_cols)
     if not cols:
         raise ValueError("corpus: none of the text columns is present")
     src = df.select(*key_cols, *[F.col(c).cast("string").alias(c) for c in cols])
-    if spread_rows:
-        src = spread(src)
     return src.unpivot(key_cols, cols, "field", "text").where(F.col("text").isNotNull())
 
 
@@ -34,7 +32,7 @@ def sentiment_rows(df: DataFrame, text_cols: list[str], keep: list[str] | None =
     if not cols:
         raise ValueError("sentiment_rows: none of the text columns is present")
     keep = keep or []
-    out = spread(df.select(*keep, *cols)).select(
+    out = df.select(*keep, *cols).select(
         *keep, *[polarity_text(c, positive, negative).alias(f"{c}_polaridad") for c in cols])
     mean = sum((F.col(f"{c}_polaridad") for c in cols), F.lit(0.0)) / len(cols)
     return out.withColumn("sentimiento_promedio", mean)
@@ -60,7 +58,7 @@ def tfidf_terms(df: DataFrame, text_cols: list[str], key_cols: list[str], max_fe
     vocabulary rows per document for the norm.
     """
     doc = key_cols + ["field"]
-    n_docs = corpus(df, text_cols, key_cols, spread_rows=False).select(F.count(F.lit(1))).scalar()
+    n_docs = corpus(df, text_cols, key_cols).select(F.count(F.lit(1))).scalar()
     toks = corpus(df, text_cols, key_cols).select(*doc, F.explode(tokens("text", min_token_len)).alias("term"))
     if stop_words:
         toks = toks.where(~F.col("term").isin(list(stop_words)))

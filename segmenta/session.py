@@ -40,7 +40,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
     The cluster names it in ``spark.checkpoint.dir``; we only create our own
-    (a fresh scratch folder) when the session has none, as in local tests.
+    (a fresh scratch folder) when the session has none and runs in one process,
+    as in local tests: a folder of one machine is no use to executors on others.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
@@ -48,6 +49,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="segmenta-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

@@ -7,8 +7,6 @@ one per task, never funnelled through one task.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,13 +14,16 @@ from pyspark.sql import types as T
 from ..schema import LIKERT, OPEN, SURVEY_SCHEMA, validate_columns
 
 CORRUPT = "_corrupt_record"
+#: Quoted cells may hold commas, doubled quotes and line breaks.  ``multiLine`` makes each file one task: split large data into files.
+FORMAT = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
 
 
 def check_upload(path: str | None) -> None:
-    """A file must be named and end in .csv."""
+    """A path must be given; a file (a name with an extension) must end in .csv, a folder holds such files."""
     if not path:
         raise ValueError("no CSV file was given")
-    if not path.lower().rstrip("/").endswith(".csv") and not os.path.isdir(path):
+    name = path.rstrip("/").rsplit("/", 1)[-1].lower()
+    if "." in name and not name.endswith(".csv"):
         raise ValueError("the file must have the .csv extension")
 
 
@@ -33,7 +34,8 @@ def read_survey_csv(spark: SparkSession, path: str, schema: T.StructType = SURVE
     The header is validated against the survey contract (P1) before any data is read.
     """
     check_upload(path)
-    header = spark.read.option("header", True).csv(path, pathGlobFilter="*.csv" if os.path.isdir(path) else None)
+    read = spark.read.options(**FORMAT, pathGlobFilter="*.csv")
+    header = read.csv(path)
     if validate:
         ok, msg = validate_columns(header.columns)
         if not ok:
@@ -43,8 +45,7 @@ def read_survey_csv(spark: SparkSession, path: str, schema: T.StructType = SURVE
     extra = [T.StructField(c, T.StringType()) for c in header.columns if c not in {f.name for f in fields}]
     by_name = {f.name: f for f in fields + extra}
     ordered = T.StructType([by_name[c] for c in header.columns] + [T.StructField(CORRUPT, T.StringType())])
-    return (spark.read.schema(ordered).option("header", True).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    return read.schema(ordered).options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, enforceSchema=False).csv(path)
 
 
 def malformed_rows(df: DataFrame) -> DataFrame:
@@ -63,12 +64,12 @@ def malformed_count(df: DataFrame) -> int:
 def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
     """Every column as a string (no inference); parse later per value with ``try_cast``."""
     check_upload(path)
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    return spark.read.options(**FORMAT, inferSchema=False).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Header + one part file per task."""
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).options(header=True, quote='"', escape='"').csv(path)
     return path
 
 
