@@ -31,7 +31,7 @@ FALLBACK = 1e-7  # probability of a character outside the vocabulary
 SMOOTH = 200.0  # pieces' worth of the all-language distribution mixed into each language
 SCALE = 64.0  # per character: keeps sums over up to BLOCK characters near 1
 FIXED = float(1 << 20)  # expected counts are summed as whole multiples of 1/FIXED, so that order does not matter
-SLICE = 4 << 20  # bytes of text worked on at once: the arrays made from them take about 60 times as much
+SLICE = 3 << 20  # bytes of text worked on at once: the arrays made from them take about 60 times as much
 
 
 def folded(text: pa.Array) -> pa.Array:
@@ -61,6 +61,7 @@ def expected_counts(train: DataFrame, vocab_path: str) -> DataFrame:
             share = alpha[lat.src] * w * beta[lat.dst] / total[lat.owner]
             langs = np.array(b.column("lang").to_pylist(), object)
             of_chunk = np.repeat(langs, np.diff(ptr))
+            del w, alpha, beta, total
             for lang in set(langs):
                 uses = np.bincount(codes[of_chunk == lang], minlength=len(lat.length))
                 n = np.bincount(lat.ids, weights=share * uses[lat.owner], minlength=vocab.size + 1)

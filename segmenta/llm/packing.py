@@ -39,7 +39,7 @@ class ChunkEncoder:
     a chunk that itself holds that token's string is encoded alone.
     """
 
-    MEMO_ENTRIES = 500_000
+    MEMO_ENTRIES = 200_000
     JOINED = 256
 
     def __init__(self, path: str):

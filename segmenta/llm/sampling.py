@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from .lattice import BLOCK, MARK, Lattice, Pieces, pieces
 from .textarrays import distinct_chunks, mix, ragged_take, text_bytes, text_rows, text_slices
 
-SLICE = 4 << 20  # bytes of text worked on at once: the arrays made from them take about 60 times as much
+SLICE = 3 << 20  # bytes of text worked on at once: the arrays made from them take about 60 times as much
 
 
 def row_hash(seed: int, keys: np.ndarray) -> np.ndarray:

@@ -15,9 +15,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
-
-
 BATCH_ROWS = 4000
 
 
