@@ -23,7 +23,7 @@ HEADLINE = [
     "category_frequencies", "eda_numeric", "filter_range_category", "page_of_records", "minmax_survey",
     "sentiment_rows", "sentiment_documents", "tfidf_terms", "tfidf_documents", "assign_nearest",
     "silhouette_exact", "dbscan_labels", "single_linkage", "kmeans_fit", "gmm_fit", "pca_scores",
-    "ward_labels", "page_script_vars", "stream_scoring",
+    "page_script_vars", "stream_scoring",
 ]
 
 

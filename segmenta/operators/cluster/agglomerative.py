@@ -1,164 +1,132 @@
-"""Agglomerative clustering (M6) and its merge table (M7).
-
-* ``single_linkage_cut`` — exact and fully distributed: single-linkage clusters
-  at distance t are the connected components of the graph of pairs within t
-  (grid neighbour join + star-contraction components), numbered by smallest key.
-* ``agglomerative`` — ward / complete / average / single with ``n_clusters``.
-  Spark collapses identical vectors to (vector, weight) — identical points merge
-  first at distance 0 under every linkage, so this loses nothing.  When the
-  distinct set is at most ``max_items`` (checked with a bounded count) the
-  Lance-Williams merges run exactly over it; otherwise Spark K-Means reduces the
-  rows to ``max_items`` micro-clusters kept as (weight, mean) and the merges run
-  over those (``exact = False`` in the result).  Only that bounded summary ever
-  reaches the driver; labels return to rows through a narrow nearest-centre
-  expression or a broadcast map of bounded size.
+"""Single-linkage clustering (M6) and its merge table (M7), exact and distributed.
+
+* ``single_linkage_cut``: the clusters at distance t are the connected components of the graph of vectors within t.
+* ``single_linkage``: ``n_clusters`` clusters, by cutting the heaviest edges of the minimum spanning tree.
+* ``merge_table``: the last merges, which are the heaviest edges of that tree.
+
+Ward, average and complete linkage need merges one after the other over all pair distances, which is a job for one
+machine; they are not offered.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...session import materialize
-from .assign import assign_nearest
+from . import blocks as B
 from .components import connected_components, dense_numbering
-from .dbscan import neighbour_pairs
-from .kmeans import kmeans_fit
 
-LINKAGES = ("ward", "complete", "average", "single")
+
+def _labelled(rows: DataFrame, vec: DataFrame, edges: DataFrame, key: str, label_col: str) -> DataFrame:
+    comps = connected_components(vec.select(F.col("vid").alias("id")), edges)
+    numbers = dense_numbering(comps, "comp", "cl")
+    lab = comps.join(numbers, "comp").select(F.col("id").alias("vid"), F.col("cl").alias(label_col))
+    return rows.join(vec.join(lab, "vid").select("v", label_col), "v").select(key, label_col)
 
 
 def single_linkage_cut(df: DataFrame, features: list[str], distance: float, key: str = "id",
                        label_col: str = "Cluster") -> DataFrame:
-    """Exact single-linkage labels at cut ``distance``: (key, label)."""
-    pts = df.select(key, *[F.col(f).cast("double").alias(f) for f in features]).dropna(subset=features)
-    vec = materialize(pts.groupBy(*features).agg(F.count(F.lit(1)).alias("w"), F.min(key).alias("vid")), "vec")
-    pairs = neighbour_pairs(vec, features, distance)
-    edges = pairs.where(F.col("i") != F.col("j")).select(F.col("i").alias("src"), F.col("j").alias("dst"))
-    comps = connected_components(vec.select(F.col("vid").alias("id")), edges)
-    numbers = dense_numbering(comps, "comp", "cl")
-    lab = comps.join(numbers, "comp").select(F.col("id").alias("vid"), "cl")
-    return (pts.join(vec.select(*features, "vid"), features).join(lab, "vid")
-            .select(key, F.col("cl").cast("int").alias(label_col)))
-
-
-def _lance_williams(X: np.ndarray, w: np.ndarray, method: str):
-    """Merges over weighted items: list of (left, right, distance, size); ids >= m are merged clusters."""
-    m = len(X)
-    D = np.sqrt(((X[:, None, :] - X[None, :, :]) ** 2).sum(axis=2))
-    np.fill_diagonal(D, np.inf)
-    size = w.astype(np.float64).copy()
-    ident = list(range(m))
-    alive = np.ones(m, dtype=bool)
-    merges = []
-    for step in range(m - 1):
-        flat = int(np.argmin(D))
-        i, j = divmod(flat, m)
-        if i > j:
-            i, j = j, i
-        dij = D[i, j]
-        ni, nj = size[i], size[j]
-        if method == "single":
-            new = np.minimum(D[i], D[j])
-        elif method == "complete":
-            new = np.maximum(D[i], D[j])
-        elif method == "average":
-            new = (ni * D[i] + nj * D[j]) / (ni + nj)
-        else:  # ward
-            nk = size
-            new = np.sqrt(np.maximum(((nk + ni) * D[i] ** 2 + (nk + nj) * D[j] ** 2 - nk * dij ** 2)
-                                     / (nk + ni + nj), 0.0))
-        merges.append((ident[i], ident[j], float(dij), float(ni + nj)))
-        new[~alive] = np.inf
-        D[i, :] = new
-        D[:, i] = new
-        D[i, i] = np.inf
-        D[j, :] = np.inf
-        D[:, j] = np.inf
-        alive[j] = False
-        size[i] = ni + nj
-        ident[i] = m + step
-    return merges
-
-
-def _cut(merges, m: int, k: int) -> np.ndarray:
-    """Flat labels of the m items after the first m-k merges; numbered by first item (ascending)."""
-    parent = list(range(2 * m))
-    for step, (a, b, _, _) in enumerate(merges[: m - k]):
-        parent[a] = m + step
-        parent[b] = m + step
-
-    def root(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    roots = [root(i) for i in range(m)]
-    order = {}
-    for r in roots:
-        order.setdefault(r, len(order))
-    return np.array([order[r] for r in roots], dtype=np.int64)
-
-
-@dataclass
-class AgglomerativeResult:
-    features: list[str]
-    centres: np.ndarray        # items (distinct vectors or micro-cluster means)
-    weights: np.ndarray
-    item_labels: np.ndarray
-    merges: list
-    exact: bool
-    linkage: str
-
-    def merge_table(self, spark, last: int | None = 19) -> DataFrame:
-        """M7: (step, left, right, distance, size), the last ``last`` merges (p leaves = p-1 merges)."""
-        rows = [(s, int(a), int(b), float(d), int(n)) for s, (a, b, d, n) in enumerate(self.merges)]
-        if last is not None:
-            rows = rows[-last:] if last > 0 else []
-        return spark.createDataFrame(rows, "step int, left bigint, right bigint, distance double, size bigint")
-
-
-def agglomerative_fit(df: DataFrame, features: list[str], n_clusters: int = 4, linkage: str = "ward",
-                      max_items: int = 1000, seed: int = 42) -> AgglomerativeResult:
-    if linkage not in LINKAGES:
-        raise ValueError(f"linkage must be one of {LINKAGES}")
-    clean = df.select(*[F.col(f).cast("double").alias(f) for f in features]).dropna()
-    vec = clean.groupBy(*features).agg(F.count(F.lit(1)).alias("w"))
-    m = vec.limit(max_items + 1).count()
-    if m < n_clusters:
+    """Exact single-linkage labels at cut ``distance``: (key, label bigint), numbered by smallest key."""
+    rows = B.complete_rows(df, features, key)
+    vec = B.distinct_vectors(rows, key)
+    kind = vec.schema["vid"].dataType.simpleString()
+    blocked, pairs = B.tiles(vec, len(features), distance)
+    edges = B.over_pairs(blocked, pairs, B.star_edges(distance), f"src {kind}, dst {kind}")
+    return _labelled(rows, vec, edges, key, label_col)
+
+
+def _nearest_outside(left: pd.DataFrame, right: pd.DataFrame | None) -> pd.DataFrame:
+    """Each vector's nearest vector of another component in the partner block; ties to the smallest vid."""
+    def nearest(points: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        others = others.sort_values("vid")
+        gap = B.distances(B.matrix(points), B.matrix(others))
+        gap[points["comp"].to_numpy()[:, None] == others["comp"].to_numpy()[None, :]] = np.inf
+        best = gap.argmin(axis=1)
+        out = pd.DataFrame({"comp": points["comp"].to_numpy(), "distance": gap[np.arange(len(points)), best],
+                            "i": points["vid"].to_numpy(), "j": others["vid"].to_numpy()[best],
+                            "other": others["comp"].to_numpy()[best]})
+        return out[np.isfinite(out["distance"])]
+
+    if not len(left) or right is not None and not len(right):
+        none = left["vid"].iloc[:0]
+        return pd.DataFrame({"comp": none, "distance": none.astype(float), "i": none, "j": none, "other": none})
+    if right is None:
+        return nearest(left, left)
+    return pd.concat([nearest(left, right), nearest(right, left)])
+
+
+def spanning_tree(vec: DataFrame) -> DataFrame:
+    """Minimum spanning tree (distance, lo, hi) of the distinct vectors, by Borůvka's rounds.
+
+    In every round each component takes its lightest outgoing edge in the order (distance, lo, hi); at least half of the
+    components go.  Compute is quadratic in the distinct vectors per round; a round gives one row per vector and block.
+    """
+    kind = vec.schema["vid"].dataType.simpleString()
+    blocked, pairs = B.all_pairs(vec)
+    comps = vec.select("vid", F.col("vid").alias("comp"))
+    tree = vec.select(F.lit(0.0).alias("distance"), F.col("vid").alias("lo"), F.col("vid").alias("hi")).limit(0)
+    while True:
+        found = B.over_pairs(blocked.join(comps, "vid"), pairs, _nearest_outside,
+                             f"comp {kind}, distance double, i {kind}, j {kind}, other {kind}")
+        edge = F.struct("distance", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "other")
+        lightest, seen = materialize(found.groupBy("comp").agg(F.min(edge).alias("e")).select("comp", "e.*"),
+                                     "tree-round", [F.count(F.lit(1)).alias("n")])
+        if not seen["n"]:
+            return tree
+        tree = tree.unionByName(lightest.select("distance", "lo", "hi").distinct())
+        joined = connected_components(lightest.select(F.col("comp").alias("id")), lightest.select(
+            F.col("comp").alias("src"), F.col("other").alias("dst")))
+        comps = materialize(comps.withColumnRenamed("comp", "id").join(joined, "id").select("vid", "comp"),
+                            "tree-components")
+
+
+def _heaviest(tree: DataFrame, n: int) -> DataFrame:
+    return tree.orderBy(F.desc("distance"), F.desc("lo"), F.desc("hi")).limit(n)
+
+
+def single_linkage(df: DataFrame, features: list[str], n_clusters: int = 4, key: str = "id",
+                   label_col: str = "Cluster") -> DataFrame:
+    """Exact single-linkage labels of ``n_clusters`` clusters: (key, label bigint), numbered by smallest key."""
+    rows = B.complete_rows(df, features, key)
+    vec = B.distinct_vectors(rows, key)
+    if vec.limit(n_clusters).count() < n_clusters:
         raise ValueError("not enough distinct records for the requested number of clusters")
-    exact = m <= max_items
-    if exact:
-        pdf = vec.orderBy(*features).toPandas()          # bounded by the check above
-        X, w = pdf[features].to_numpy(np.float64), pdf["w"].to_numpy(np.float64)
-    else:
-        km = kmeans_fit(clean, features, k=max_items, seed=seed)
-        lab = km.transform(clean, "__micro")
-        pdf = (lab.groupBy("__micro").agg(F.count(F.lit(1)).alias("w"), *[F.avg(f).alias(f) for f in features])
-               .orderBy("__micro").toPandas())           # <= max_items rows
-        X, w = pdf[features].to_numpy(np.float64), pdf["w"].to_numpy(np.float64)
-    merges = _lance_williams(X, w, linkage)
-    labels = _cut(merges, len(X), n_clusters)
-    return AgglomerativeResult(list(features), X, w, labels, merges, exact, linkage)
-
-
-def agglomerative(df: DataFrame, features: list[str], n_clusters: int = 4, linkage: str = "ward",
-                  max_items: int = 1000, label_col: str = "Cluster"):
-    """Labelled rows and the fit.  Exact: labels by vector through a broadcast map of <= max_items rows;
-    approximate: nearest micro-centre, then its cluster."""
-    res = agglomerative_fit(df, features, n_clusters, linkage, max_items)
-    spark = df.sparkSession
-    if res.exact:
-        rows = [tuple(map(float, x)) + (int(l),) for x, l in zip(res.centres, res.item_labels)]
-        schema = ", ".join(f"`{f}` double" for f in features) + f", `{label_col}` int"
-        lookup = spark.createDataFrame(rows, schema)
-        keyed = df.select("*", *[F.col(f).cast("double").alias(f"__k{n}") for n, f in enumerate(features)])
-        lookup = lookup.select(*[F.col(f).alias(f"__k{n}") for n, f in enumerate(features)], label_col)
-        out = keyed.join(F.broadcast(lookup), [f"__k{n}" for n in range(len(features))], "left")
-        return out.drop(*[f"__k{n}" for n in range(len(features))]), res
-    micro = assign_nearest(df, features, res.centres.tolist(), "__micro")
-    remap = F.create_map(*[x for i, l in enumerate(res.item_labels) for x in (F.lit(i), F.lit(int(l)))])
-    return micro.withColumn(label_col, remap[F.col("__micro")]).drop("__micro"), res
+    tree = spanning_tree(vec)
+    kept = tree.join(_heaviest(tree, n_clusters - 1), ["distance", "lo", "hi"], "left_anti")
+    return _labelled(rows, vec, kept.select(F.col("lo").alias("src"), F.col("hi").alias("dst")), key, label_col)
+
+
+def merge_table(df: DataFrame, features: list[str], last: int = 19, key: str = "id") -> DataFrame:
+    """M7: the ``last`` merges of distinct vectors: (step from 0, left, right, distance, size).
+
+    ``left`` < ``right`` are the smallest keys of the merged clusters, ``size`` the rows of the new one.  Only the
+    ``last`` heaviest edges and the sizes of the ``last`` + 1 clusters that they join reach the driver.
+    """
+    vec = B.distinct_vectors(B.complete_rows(df, features, key), key)
+    tree = spanning_tree(vec)
+    n = tree.count()
+    top = _heaviest(tree, last)
+    rest = tree.join(top, ["distance", "lo", "hi"], "left_anti")
+    comps = materialize(connected_components(vec.select(F.col("vid").alias("id")), rest.select(
+        F.col("lo").alias("src"), F.col("hi").alias("dst"))), "merge-components")
+    size = {r["comp"]: r["w"] for r in comps.join(vec, comps["id"] == vec["vid"])
+            .groupBy("comp").agg(F.sum("w").alias("w")).collect()}
+    ends = (top.join(comps.select(F.col("id").alias("lo"), F.col("comp").alias("a")), "lo")
+            .join(comps.select(F.col("id").alias("hi"), F.col("comp").alias("b")), "hi"))
+    home = {c: c for c in size}
+    out = []
+    for r in sorted(ends.collect(), key=lambda r: (r["distance"], r["lo"], r["hi"])):
+        a, b = r["a"], r["b"]
+        while home[a] != a:
+            a = home[a]
+        while home[b] != b:
+            b = home[b]
+        a, b = min(a, b), max(a, b)
+        home[b] = a
+        size[a] += size[b]
+        out.append((n - min(last, n) + len(out), a, b, r["distance"], size[a]))
+    kind = vec.schema["vid"].dataType.simpleString()
+    return df.sparkSession.createDataFrame(out, f"step int, left {kind}, right {kind}, distance double, size long")

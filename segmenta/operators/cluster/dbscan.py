@@ -5,74 +5,77 @@ holds >= ``min_samples`` points; clusters are the connected components of core
 points, numbered 0.. by their smallest core row key; a border point takes the
 lowest-numbered cluster among its core neighbours; every other point is -1.
 
-Plan:
-1. Collapse identical vectors to (vector, weight, vid = smallest key).  Survey
-   answers are discrete, so this bounds the work by distinct vectors, not rows.
-2. Candidate pairs by an equi-join on a grid of side eps over the (up to 3)
-   widest dimensions — a distance in a subspace never exceeds the full distance,
-   so no true pair is missed — then the exact distance test.
-3. Core flags from the weighted neighbour count; components of core-core edges
-   (``components.connected_components``); border rule; labels joined back to rows
-   by vector.
+Plan: identical vectors become one weighted row, and three passes over pairs of
+neighbouring blocks (``blocks``) give at most a few rows per vector and partner block, never a row per
+pair of vectors: neighbour counts, star edges between core vectors, and the lowest cluster next to a border vector.
 """
 
 from __future__ import annotations
 
-import itertools
-
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...session import materialize
+from . import blocks as B
 from .components import connected_components, dense_numbering
 
+_NONE = np.iinfo(np.int64).max
+
+
+def _count_work(eps: float):
+    def work(left: pd.DataFrame, right: pd.DataFrame | None) -> pd.DataFrame:
+        same = right is None
+        left, right, near = B.close(left, right, eps)
+        if not len(left):
+            return pd.DataFrame({"vid": left["vid"], "nw": left["w"]})
+        out = [pd.DataFrame({"vid": left["vid"], "nw": near @ right["w"].to_numpy(np.int64)})]
+        if not same:
+            out.append(pd.DataFrame({"vid": right["vid"], "nw": near.T @ left["w"].to_numpy(np.int64)}))
+        return pd.concat(out)
+
+    return work
+
+
+def _border_work(eps: float):
+    def lowest(near: np.ndarray, points: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        rows, cols = (points["cl"] < 0).to_numpy(), (others["cl"] >= 0).to_numpy()
+        near, labels = near[np.ix_(rows, cols)], others["cl"].to_numpy(np.int64)[cols]
+        best = np.where(near, labels[None, :], _NONE).min(axis=1, initial=_NONE)
+        return pd.DataFrame({"vid": points["vid"][rows], "cl": best})[best < _NONE]
+
+    def work(left: pd.DataFrame, right: pd.DataFrame | None) -> pd.DataFrame:
+        same = right is None
+        left, right, near = B.close(left, right, eps)
+        if not len(left):
+            return pd.DataFrame({"vid": left["vid"], "cl": left["cl"]})
+        found = lowest(near, left, right)
+        return found if same else pd.concat([found, lowest(near.T, right, left)])
 
-def neighbour_pairs(vec: DataFrame, features: list[str], eps: float, grid_dims: int = 3) -> DataFrame:
-    """(i, j, wj) for every ordered pair of distinct vectors within ``eps`` (self pairs included)."""
-    row = vec.agg(*[F.min(f).alias(f"lo_{k}") for k, f in enumerate(features)],
-                  *[F.max(f).alias(f"hi_{k}") for k, f in enumerate(features)]).first()
-    spans = sorted(((row[f"hi_{k}"] - row[f"lo_{k}"], k) for k in range(len(features))), reverse=True)
-    dims = [k for _, k in spans[:grid_dims]]
-    side = eps * (1.0 + 1e-9)  # a hair wider than eps: rounding can never split a true pair by 2 cells
-    cells = [F.floor((F.col(features[k]) - F.lit(row[f"lo_{k}"])) / F.lit(side)).alias(f"g{k}") for k in dims]
-    a = vec.select(F.col("vid").alias("i"), *[F.col(f).alias(f"a_{n}") for n, f in enumerate(features)], *cells)
-    offsets = F.array(*[F.array(*[F.lit(o) for o in off]) for off in itertools.product((-1, 0, 1), repeat=len(dims))])
-    b = vec.select(F.col("vid").alias("j"), F.col("w").alias("wj"),
-                   *[F.col(f).alias(f"b_{n}") for n, f in enumerate(features)],
-                   *[F.floor((F.col(features[k]) - F.lit(row[f"lo_{k}"])) / F.lit(side)).alias(f"c{k}") for k in dims])
-    b = b.withColumn("off", F.explode(offsets)).select(
-        "j", "wj", *[f"b_{n}" for n in range(len(features))],
-        *[(F.col(f"c{k}") + F.col("off")[p]).alias(f"g{k}") for p, k in enumerate(dims)])
-    d2 = None
-    for n in range(len(features)):
-        t = (F.col(f"a_{n}") - F.col(f"b_{n}")) * (F.col(f"a_{n}") - F.col(f"b_{n}"))
-        d2 = t if d2 is None else d2 + t
-    return a.join(b, [f"g{k}" for k in dims]).where(F.sqrt(d2) <= F.lit(eps)).select("i", "j", "wj")
+    return work
 
 
 def dbscan(df: DataFrame, features: list[str], eps: float = 0.5, min_samples: int = 5, key: str = "id",
-           label_col: str = "Cluster", grid_dims: int = 3) -> DataFrame:
-    """Label every row with a complete feature vector: (key, label_col)."""
+           label_col: str = "Cluster") -> DataFrame:
+    """Label every row with a complete feature vector: (key, label_col bigint). No rows give no rows."""
     if eps <= 0 or min_samples < 1:
         raise ValueError("dbscan: eps must be > 0 and min_samples >= 1")
-    pts = df.select(key, *[F.col(f).cast("double").alias(f) for f in features]).dropna(subset=features)
-    vec = pts.groupBy(*features).agg(F.count(F.lit(1)).alias("w"), F.min(key).alias("vid"))
-    vec = materialize(vec, "dbscan-vectors")
-    pairs = materialize(neighbour_pairs(vec, features, eps, grid_dims), "dbscan-pairs")
-    core = pairs.groupBy("i").agg(F.sum("wj").alias("nw")).where(F.col("nw") >= min_samples) \
-        .select(F.col("i").alias("id"))
-    edges = (pairs.where(F.col("i") != F.col("j"))
-             .join(core.withColumnRenamed("id", "i"), "i")
-             .join(core.withColumnRenamed("id", "j"), "j")
-             .select(F.col("i").alias("src"), F.col("j").alias("dst")))
-    comps = connected_components(core, edges)
-    numbers = dense_numbering(comps, "comp", "cl")
-    core_lab = comps.join(numbers, "comp").select(F.col("id").alias("vid"), "cl")
-    border = (pairs.join(core_lab.withColumnRenamed("vid", "j"), "j")
-              .join(core_lab.select(F.col("vid").alias("i")), "i", "left_anti")
-              .groupBy(F.col("i").alias("vid")).agg(F.min("cl").alias("cl")))
-    labels = core_lab.unionByName(border)
-    out = (pts.join(vec.select(*features, "vid"), features)
-           .join(labels, "vid", "left")
-           .select(key, F.coalesce(F.col("cl"), F.lit(-1)).cast("int").alias(label_col)))
+    rows = B.complete_rows(df, features, key)
+    vec = B.distinct_vectors(rows, key)
+    kind = vec.schema["vid"].dataType.simpleString()
+    blocked, pairs = B.tiles(vec, len(features), eps)
+    counts = B.over_pairs(blocked, pairs, _count_work(eps), f"vid {kind}, nw long")
+    core = materialize(counts.groupBy("vid").agg(F.sum("nw").alias("nw")).where(F.col("nw") >= min_samples)
+                       .select("vid"), "core")
+    edges = B.over_pairs(blocked.join(core, "vid"), pairs, B.star_edges(eps), f"src {kind}, dst {kind}")
+    comps = connected_components(core.select(F.col("vid").alias("id")), edges)
+    labels = materialize(comps.join(dense_numbering(comps, "comp", "cl"), "comp")
+                         .select(F.col("id").alias("vid"), "cl"), "core-labels")
+    marked = blocked.join(labels, "vid", "left").withColumn("cl", F.coalesce("cl", F.lit(-1).cast("long")))
+    border = (B.over_pairs(marked, pairs, _border_work(eps), f"vid {kind}, cl long")
+              .groupBy("vid").agg(F.min("cl").alias("cl")))
+    known = vec.join(labels.unionByName(border), "vid", "left")
+    out = rows.join(known.select("v", "cl"), "v").select(
+        key, F.coalesce("cl", F.lit(-1).cast("long")).alias(label_col))
     return materialize(out, "dbscan-labels")

@@ -3,11 +3,9 @@
 Silhouette comes in two clearly named metrics:
 
 * ``exact`` — the Euclidean mean silhouette (the reference's number).  Rows are
-  collapsed to distinct (vector, label) with weights; the distinct set must stay
-  under ``max_distinct`` (checked with a bounded count before anything is
-  broadcast), then every task scores its share of distinct points against that
-  bounded reference set with NumPy.  Work is O(m^2) in the distinct count m,
-  independent of the row count.  Above the bound it refuses (no sampling).
+  collapsed to distinct (vector, label) with weights; every pair of blocks of
+  them gives partial distance sums per (point, cluster), which are added up.
+  Compute is quadratic in the distinct count, rows are not.
 * ``squared`` — MLlib's ``ClusteringEvaluator`` (squared Euclidean), O(n*k)
   and unbounded in n; a different number, reported under its own name.
 """
@@ -20,76 +18,66 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from ..session import materialize
+from .cluster import blocks as B
 
 
 def collapse(df: DataFrame, features: list[str], label_col: str) -> DataFrame:
-    """Distinct (features..., label) with weight ``w`` (rows with a null are dropped)."""
-    return (df.select(*[F.col(f).cast("double").alias(f) for f in features], F.col(label_col).alias("label"))
-            .dropna().groupBy(*features, "label").agg(F.count(F.lit(1)).alias("w")))
+    """Distinct (vid, v, label) with weight ``w`` (rows with a null or NaN are dropped), written once."""
+    rows = B.complete_rows(df, features, label_col).where(F.col(label_col).isNotNull())
+    pts = rows.groupBy("v", F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("w"))
+    return materialize(pts.withColumn("vid", F.monotonically_increasing_id()), "silhouette-points")
+
+
+def _sums(points: pd.DataFrame, others: pd.DataFrame, gap: np.ndarray) -> pd.DataFrame:
+    """Weighted distance sums of every point to each label of ``others``."""
+    labels, where = np.unique(others["label"].to_numpy(), return_inverse=True)
+    weights = np.zeros((len(others), len(labels)))
+    weights[np.arange(len(others)), where] = others["w"].to_numpy()
+    total = gap @ weights
+    n, k = total.shape
+    return pd.DataFrame({"vid": np.repeat(points["vid"].to_numpy(), k), "own": np.repeat(points["label"].to_numpy(), k),
+                         "w": np.repeat(points["w"].to_numpy(), k), "other": np.tile(labels, n), "sd": total.ravel()})
+
+
+def _pair_sums(left: pd.DataFrame, right: pd.DataFrame | None) -> pd.DataFrame:
+    if right is None:
+        return _sums(left, left, B.distances(B.matrix(left), B.matrix(left)))
+    if not len(left) or not len(right):
+        return _sums(left.iloc[:0], left.iloc[:0], np.zeros((0, 0)))
+    gap = B.distances(B.matrix(left), B.matrix(right))
+    return pd.concat([_sums(left, right, gap), _sums(right, left, gap.T)])
 
 
-def silhouette_points(df: DataFrame, features: list[str], label_col: str = "Cluster",
-                      max_distinct: int = 50_000, exclude_label=None) -> DataFrame:
+def silhouette_points(df: DataFrame, features: list[str], label_col: str = "Cluster", exclude_label=None) -> DataFrame:
     """Per distinct (vector, label): silhouette ``s`` and weight ``w`` (exact, Euclidean)."""
     src = df if exclude_label is None else df.where(F.col(label_col) != F.lit(exclude_label))
     pts = collapse(src, features, label_col)
-    m = pts.limit(max_distinct + 1).count()
-    if m > max_distinct:
-        raise ValueError(f"silhouette exact: more than {max_distinct} distinct (vector, label) pairs; "
-                         "use mode='squared' (O(n*k)) or raise max_distinct")
-    ref = pts.toPandas()  # bounded by the check above
-    spark = df.sparkSession
-    labels = sorted(ref["label"].unique().tolist())
-    index = {lab: i for i, lab in enumerate(labels)}
-    X = ref[features].to_numpy(dtype=np.float64)
-    W = ref["w"].to_numpy(dtype=np.float64)
-    onehot = np.zeros((len(ref), len(labels)))
-    onehot[np.arange(len(ref)), ref["label"].map(index).to_numpy()] = W
-    sizes = onehot.sum(axis=0)
-    bc = spark.sparkContext.broadcast((X, onehot, sizes, index))
-    d = len(features)
-    chunk = max(1, int(2e7 // max(1, len(ref) * d)))
-
-    def score(batches):
-        Xr, oh, n_c, idx = bc.value
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            Q = pdf[features].to_numpy(dtype=np.float64)
-            own = pdf["label"].map(idx).to_numpy()
-            s_all = np.empty(len(pdf))
-            for start in range(0, len(pdf), chunk):
-                q = Q[start:start + chunk]
-                dist = np.sqrt(((q[:, None, :] - Xr[None, :, :]) ** 2).sum(axis=2))
-                S = dist @ oh                      # weighted distance sums per cluster
-                o = own[start:start + chunk]
-                n_own = n_c[o]
-                a = np.where(n_own > 1, S[np.arange(len(q)), o] / np.maximum(n_own - 1, 1), 0.0)
-                mean_other = S / n_c[None, :]
-                mean_other[np.arange(len(q)), o] = np.inf
-                b = mean_other.min(axis=1) if len(n_c) > 1 else np.zeros(len(q))
-                denom = np.maximum(a, b)
-                s = np.where((n_own > 1) & (denom > 0), (b - a) / np.where(denom > 0, denom, 1.0), 0.0)
-                s_all[start:start + chunk] = s
-            yield pd.DataFrame({"label": pdf["label"], "w": pdf["w"], "s": s_all})
-
-    # each point costs O(m) distance work on a small frame: spread the points over every core
-    # (adaptive execution would otherwise coalesce them into one or two tasks)
-    pts = pts.repartition(max(1, spark.sparkContext.defaultParallelism * 2))
-    schema = T.StructType([T.StructField("label", pts.schema["label"].dataType),
-                           T.StructField("w", T.LongType()), T.StructField("s", T.DoubleType())])
-    return pts.mapInPandas(score, schema)
+    kind = pts.schema["label"].dataType.simpleString()
+    blocked, pairs = B.all_pairs(pts)
+    parts = B.over_pairs(blocked, pairs, _pair_sums, f"vid long, own {kind}, w long, other {kind}, sd double")
+    sums = parts.groupBy("vid", "own", "w", "other").agg(F.sum("sd").alias("sd"))
+    sizes = pts.groupBy("label").agg(F.sum("w").alias("n"))
+    sums = sums.join(sizes, sums["other"] == sizes["label"])
+    mine = F.col("own") == F.col("other")
+    per = sums.groupBy("vid", "own", "w").agg(
+        F.max(F.when(mine, F.col("n"))).alias("n_own"),
+        F.max(F.when(mine, F.col("sd") / F.greatest(F.col("n") - 1, F.lit(1)))).alias("a"),
+        F.min(F.when(~mine, F.col("sd") / F.col("n"))).alias("b"))
+    top = F.greatest("a", "b")
+    score = F.when((F.col("n_own") > 1) & F.col("b").isNotNull() & (top > 0), (F.col("b") - F.col("a")) / top)
+    return per.select(F.col("own").alias("label"), "w", F.coalesce(score, F.lit(0.0)).alias("s"))
 
 
 def silhouette(df: DataFrame, features: list[str], label_col: str = "Cluster", mode: str = "exact",
-               max_distinct: int = 50_000, exclude_label=None) -> DataFrame:
+               exclude_label=None) -> DataFrame:
     """M8: one row (metric, value).  With one cluster or fewer the value is 0.0 (reference G3)."""
     if mode == "squared":
         return silhouette_squared(df, features, label_col)
     if mode != "exact":
         raise ValueError(f"unknown silhouette mode {mode!r}")
-    pts = silhouette_points(df, features, label_col, max_distinct, exclude_label)
+    pts = silhouette_points(df, features, label_col, exclude_label)
     agg = pts.agg((F.sum(F.col("s") * F.col("w")) / F.sum("w")).alias("v"),
                   F.count_distinct("label").alias("k"))
     return agg.select(F.lit("silhouette_exact").alias("metric"),

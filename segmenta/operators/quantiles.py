@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir, materialize
+from ..session import materialize
 from ._util import present
 
 
@@ -39,17 +39,39 @@ def value_counts_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
 def quantiles_long(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75),
                    partitions: int | None = None) -> DataFrame:
     """(column, p, value) for every column with at least one value."""
-    return quantiles_from_counts(value_counts_numeric(df, cols), probs, partitions)
+    return quantiles_from_ranges(*ranged_counts(df, cols, partitions), probs)
 
 
-def quantiles_from_counts(counts: DataFrame, probs=(0.25, 0.5, 0.75), partitions: int | None = None) -> DataFrame:
-    """Quantiles from a (column, value, n) table."""
-    spark = counts.sparkSession
-    checkpoint_dir(spark)
+def ranged_counts(df: DataFrame, cols: list[str], partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The (column, value, n, pid) table, range-partitioned and written once, and its totals per (pid, column)."""
+    spark = df.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize(counts.repartitionByRange(parts, "column", "value")
+    ranged = materialize(value_counts_numeric(df, cols).repartitionByRange(parts, "column", "value")
                          .withColumn("pid", F.spark_partition_id()), "ranged")
-    per_part = ranged.groupBy("pid", "column").agg(F.sum("n").alias("pn"))
+    per_part = ranged.groupBy("pid", "column").agg(
+        F.sum("n").alias("pn"), F.sum(F.col("n") * F.col("value")).alias("total"), F.min("value").alias("min"),
+        F.max("value").alias("max"), F.min("n").alias("min_n"), F.max("n").alias("max_n"))
+    return ranged, materialize(per_part, "ranged-totals")
+
+
+def column_totals(per_part: DataFrame) -> DataFrame:
+    """(column, n, mean, min, max, min_n, max_n) from the totals per partition."""
+    return per_part.groupBy("column").agg(
+        F.sum("pn").alias("n"), (F.sum("total") / F.sum("pn")).alias("mean"), F.min("min").alias("min"),
+        F.max("max").alias("max"), F.min("min_n").alias("min_n"), F.max("max_n").alias("max_n"))
+
+
+def spread_and_modes(ranged: DataFrame, totals: DataFrame) -> DataFrame:
+    """(column, ss, mode_count): centred squares and the number of modes (null where there is none), in one pass."""
+    around = F.broadcast(totals.select("column", "mean", "min_n", "max_n"))
+    modes = F.count_if((F.col("n") == F.col("max_n")) & (F.col("max_n") > F.col("min_n")))
+    return (ranged.join(around, "column").groupBy("column")
+            .agg(F.sum(F.col("n") * (F.col("value") - F.col("mean")) ** 2).alias("ss"), modes.alias("mode_count"))
+            .withColumn("mode_count", F.when(F.col("mode_count") > 0, F.col("mode_count"))))
+
+
+def quantiles_from_ranges(ranged: DataFrame, per_part: DataFrame, probs=(0.25, 0.5, 0.75)) -> DataFrame:
+    """(column, p, value) from :func:`ranged_counts`; one pass over the counts."""
     offsets = per_part.select(
         "pid", "column",
         (F.sum("pn").over(Window.partitionBy("column").orderBy("pid")) - F.col("pn")).alias("off"))

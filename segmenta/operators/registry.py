@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import time
 
+from pyspark.errors import AnalysisException
 from pyspark.ml.clustering import GaussianMixtureModel, KMeansModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from ._util import present
 from .cluster import dbscan as DB
 from .cluster import gmm as GM
 from .cluster import kmeans as KM
-from .cluster.agglomerative import agglomerative
+from .cluster.agglomerative import single_linkage, single_linkage_cut
 
 ALGORITHMS = ("kmeans", "dbscan", "gmm", "agglomerative")
 
@@ -55,8 +56,13 @@ def train(df: DataFrame, features: list[str], algorithm: str = "kmeans", params:
         labelled, model = res.transform(df, label_col), res
         metrics["BIC"], metrics["AIC"] = res.bic, res.aic
     elif algorithm == "agglomerative":
-        labelled, model = agglomerative(df, feats, params.get("n_clusters", 4), params.get("linkage", "ward"),
-                                        params.get("max_items", 1000), label_col)
+        if params.get("linkage", "single") != "single":
+            raise ValueError("agglomerative: only single linkage is offered")
+        if "distance" in params:
+            labels = single_linkage_cut(df, feats, params["distance"], key, label_col)
+        else:
+            labels = single_linkage(df, feats, params.get("n_clusters", 4), key, label_col)
+        labelled = df.join(labels, key, "left")
     else:
         raise ValueError(f"unknown algorithm: {algorithm}")
     name, value = _silhouette(labelled, feats, label_col, algorithm == "dbscan", silhouette_mode)
@@ -76,7 +82,9 @@ def _silhouette(labelled, feats, label_col, exclude_noise, mode):
 
 # ----------------------------------------------------------------- persistence
 def save_model(spark: SparkSession, model, algorithm: str, path: str, features: list[str],
-               scaler=None, registry: str | None = None, name: str | None = None) -> str:
+               scaler=None, registry: str | None = None, name: str | None = None,
+               labels: DataFrame | None = None) -> str:
+    """Write a model, its metadata and, where given, the ``labels`` of its training rows under ``path``."""
     meta = {"algorithm": algorithm, "features": features, "scaler": scaler.to_json() if scaler else None}
     if algorithm == "kmeans":
         model.model.write().overwrite().save(f"{path}/model")
@@ -86,6 +94,8 @@ def save_model(spark: SparkSession, model, algorithm: str, path: str, features:
         meta["gmm"] = {"log_likelihood": model.log_likelihood, "n": model.n, "seed": model.seed}
     else:
         meta["predict"] = False
+    if labels is not None:
+        labels.write.mode("overwrite").parquet(f"{path}/labels")
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").json(
         f"{path}/meta")
     if registry:
@@ -99,7 +109,9 @@ def load_model(spark: SparkSession, path: str):
     """Returns (algorithm, predictor-or-None, features, scaler-or-None)."""
     try:
         meta = json.loads(spark.read.json(f"{path}/meta").first()["meta"])
-    except Exception as e:  # missing model
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise FileNotFoundError(f"no model at {path}") from e
     scaler = SC.model_from_json(meta["scaler"]) if meta.get("scaler") else None
     feats = meta["features"]
@@ -146,20 +158,27 @@ def train_and_save(spark: SparkSession, df: DataFrame, features: list[str], n_cl
 
 
 # ----------------------------------------------------------------- batch
-def train_batch(df: DataFrame, features: list[str], key: str = "id", jobs: list | None = None) -> DataFrame:
+def train_batch(df: DataFrame, features: list[str], key: str = "id", jobs: list | None = None,
+                folder: str | None = None) -> DataFrame:
     """Min-max the features once (persisted), then train each job in isolation.
 
-    Result rows: (algorithm, metric, value, status)."""
+    With ``folder``, every trained model is saved there as ``{job number}-{algorithm}`` with its labels (key, Cluster)
+    and listed in ``{folder}/registry``.  Result rows: (algorithm, metric, value, status)."""
     spark = df.sparkSession
     feats = present(df, features)
     jobs = jobs or [("kmeans", {"n_clusters": 4}), ("gmm", {"n_components": 4}),
                     ("dbscan", {"eps": 1.5, "min_samples": 5})]
-    norm = SC.minmax(df.select(key, *feats), feats).persist()
+    scaler = SC.minmax_fit(df.select(key, *feats), feats)
+    norm = scaler.transform(df.select(key, *feats)).persist()
     rows = []
     try:
-        for algorithm, params in jobs:
+        for number, (algorithm, params) in enumerate(jobs):
             try:
-                _, _, metrics = train(norm, feats, algorithm, params, key=key)
+                labelled, model, metrics = train(norm, feats, algorithm, params, key=key)
+                if folder:
+                    name = f"{number}-{algorithm}"
+                    save_model(spark, model, algorithm, f"{folder}/{name}", feats, scaler, f"{folder}/registry", name,
+                               labelled.select(key, "Cluster"))
                 rows += [(algorithm, k, float(v), "ok") for k, v in metrics.items()]
             except Exception as e:  # each job isolated, as the reference batch script
                 rows.append((algorithm, "error", None, f"{type(e).__name__}: {e}"))

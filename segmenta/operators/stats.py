@@ -172,31 +172,23 @@ def numeric_summary(df: DataFrame, cols: list[str], digits: int = 2) -> DataFram
     """A15 (with A8-A14): n, mean, median, population variance/sd, min, max, range, quartiles.
 
     Values are parsed per value (blank/unparsable skipped); columns with no value
-    are omitted.  One scan: the input becomes a (column, value, n) table
-    (map-side combined, then checkpointed), and everything else is computed
-    from it — moments in two small passes (mean, then centred squares), exact
-    quartiles by ranks (``quantiles``), modes (A10) by frequency.  The modes
+    are omitted.  One scan: the input becomes a range-partitioned (column, value, n) table
+    (map-side combined, written once) which is read three times: totals, centred
+    squares with the mode counts, and exact quartiles by ranks (``quantiles``).  The modes
     themselves are rows of :func:`multi_mode` (a column can have unboundedly many);
     ``mode_count`` says how many there are (null: no representative mode).
     """
-    from ..session import checkpoint_dir, materialize
-    from .quantiles import quantiles_from_counts, value_counts_numeric
+    from . import quantiles as Q
 
     cols = present(df, cols)
-    checkpoint_dir(df.sparkSession)
-    counts = materialize(value_counts_numeric(df, cols), "value-counts")
-    m1 = counts.groupBy("column").agg(
-        F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    m2 = (counts.join(F.broadcast(m1.select("column", F.col("mean").alias("mu"))), "column")
-          .groupBy("column").agg(F.sum(F.col("n") * (F.col("value") - F.col("mu")) ** 2).alias("ss")))
-    q = (quantiles_from_counts(counts, (0.25, 0.5, 0.75))
+    ranged, per_part = Q.ranged_counts(df, cols)
+    m1 = Q.column_totals(per_part)
+    q = (Q.quantiles_from_ranges(ranged, per_part, (0.25, 0.5, 0.75))
          .groupBy("column").agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(f"q{k}")
                                   for k, p in ((1, 0.25), (2, 0.5), (3, 0.75))]))
-    modes = _modes_from_counts(counts).groupBy("column").agg(F.count(F.lit(1)).alias("mode_count"))
     var = F.when(F.col("n") < 2, F.lit(0.0)).otherwise(F.col("ss") / F.col("n"))
     rd = lambda x: F.round(x, digits)
-    out = (m1.join(m2, "column").join(q, "column").join(modes, "column", "left")
+    out = (m1.join(Q.spread_and_modes(ranged, m1), "column").join(q, "column")
            .select("column", "n", rd(F.col("mean")).alias("mean"), rd(F.col("q2")).alias("median"),
                    rd(var).alias("variance"), rd(F.sqrt(var)).alias("std_dev"), "min", "max",
                    (F.col("max") - F.col("min")).alias("range"), rd(F.col("q1")).alias("q1"),

@@ -1,18 +1,17 @@
 """Text analytics over open-answer columns.
 
-Long documents are exploded once into (doc, term) pairs and aggregated with a
-map-side combine; nothing collects a document's tokens into one array beyond
-the regex result of that row.
+Nothing collects a document's tokens into one array beyond the regex result of that row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lexicon import NEGATIVE_ES, POSITIVE_ES, STOP_WORDS_ES
 from ..functions.text import polarity_text, tokens
-from ..session import checkpoint_dir, materialize
 from ._util import present
 
 
@@ -53,23 +52,32 @@ def tfidf_terms(df: DataFrame, text_cols: list[str], key_cols: list[str], max_fe
     idf = ln((1 + n) / (1 + df)) + 1 with n = all documents (empty ones too);
     L2 per document over the vocabulary terms; summed over documents.
 
-    Shuffles: (doc, term) counts [partial-aggregated map-side], term totals for
-    the vocabulary (top-k, broadcast back: size bounded by k), then the <= k
-    vocabulary rows per document for the norm.
+    A document is a cell: rows with the same key stay apart.  The text is read twice.  The first pass counts each term
+    and the documents that hold it (map-side combined; a document's sorted tokens mark a term's first place), with a null
+    term counting the documents.  The k terms with their idf, k rows, become literals of the second pass, which weighs
+    and normalises each document within its row and adds up k sums.
     """
-    doc = key_cols + ["field"]
-    n_docs = corpus(df, text_cols, key_cols).select(F.count(F.lit(1))).scalar()
-    toks = corpus(df, text_cols, key_cols).select(*doc, F.explode(tokens("text", min_token_len)).alias("term"))
+    docs = corpus(df, text_cols, key_cols)
+    found = F.sort_array(tokens("text", min_token_len))
     if stop_words:
-        toks = toks.where(~F.col("term").isin(list(stop_words)))
-    checkpoint_dir(df.sparkSession)
-    # (doc, term) counts are read twice (term statistics, then weights): materialise once
-    tf = materialize(toks.groupBy(*doc, "term").agg(F.count(F.lit(1)).alias("tf")), "tf")
-    vocab = (tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
-             .orderBy(F.desc("total"), "term").limit(max_features).select("term", "df"))
-    w = (tf.join(F.broadcast(vocab), "term")
-         .withColumn("w", F.col("tf") * (F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + F.lit(1.0))))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*doc)))
-    return (w.withColumn("wn", F.col("w") / norm)
-            .groupBy("term").agg(F.sum("wn").alias("tfidf"))
+        found = F.filter(found, lambda t: ~t.isin(list(stop_words)))
+    marked = F.transform("s", lambda t, i: F.struct(
+        t.alias("term"), ((i == 0) | (F.get("s", i - 1) != t)).cast("long").alias("first")))
+    none = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("first")))
+    counts = (docs.select(found.alias("s")).select(F.inline(F.concat(none, marked))).groupBy("term")
+              .agg(F.count(F.lit(1)).alias("total"), F.sum("first").alias("df")))
+    # the null term, whose total is the number of documents, comes first
+    top = counts.orderBy(F.col("term").isNotNull(), F.desc("total"), "term").limit(max_features + 1).collect()
+    if len(top) < 2:
+        return df.sparkSession.createDataFrame([], "term string, tfidf double")
+    n_docs = top[0]["total"]
+    idf = {r["term"]: math.log((1 + n_docs) / (1 + r["df"])) + 1.0 for r in top[1:]}
+    vocab = F.array(*[F.struct(F.lit(t).alias("term"), F.lit(w).alias("idf")) for t, w in idf.items()])
+    kept = docs.select(F.filter(tokens("text", min_token_len), lambda t: t.isin(list(idf))).alias("s"))
+    weights = F.transform(vocab, lambda v: F.struct(
+        v["term"].alias("term"), (F.size(F.filter("s", lambda t: t == v["term"])) * v["idf"]).alias("w")))
+    norm = F.sqrt(F.aggregate("ws", F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"]))
+    return (kept.where(F.size("s") > 0).select(weights.alias("ws")).select("ws", norm.alias("norm"))
+            .select("norm", F.inline("ws")).where(F.col("w") > 0)
+            .groupBy("term").agg(F.sum(F.col("w") / F.col("norm")).alias("tfidf"))
             .orderBy(F.desc("tfidf"), "term"))

@@ -601,12 +601,12 @@ core AS (SELECT i AS vid FROM pairs GROUP BY i HAVING sum(wj) >= {min_samples}),
 cedges AS (SELECT p.i, p.j FROM pairs p JOIN core c1 ON c1.vid = p.i JOIN core c2 ON c2.vid = p.j WHERE p.i <> p.j),
 cc(vid, lab) AS (SELECT vid, vid FROM core UNION SELECT e.j, cc.lab FROM cc JOIN cedges e ON e.i = cc.vid),
 comp AS (SELECT vid, min(lab) AS comp FROM cc GROUP BY vid),
-num AS (SELECT comp, CAST(dense_rank() OVER (ORDER BY comp) - 1 AS INTEGER) AS cl FROM (SELECT DISTINCT comp FROM comp)),
+num AS (SELECT comp, CAST(dense_rank() OVER (ORDER BY comp) - 1 AS BIGINT) AS cl FROM (SELECT DISTINCT comp FROM comp)),
 corelab AS (SELECT c.vid, n.cl FROM comp c JOIN num n USING (comp)),
 border AS (SELECT p.i AS vid, min(l.cl) AS cl FROM pairs p JOIN corelab l ON l.vid = p.j
            WHERE p.i NOT IN (SELECT vid FROM core) GROUP BY p.i),
 lab AS (SELECT vid, cl FROM corelab UNION ALL SELECT vid, cl FROM border)
-SELECT p.{key}, CAST(coalesce(l.cl, -1) AS INTEGER) AS Cluster
+SELECT p.{key}, CAST(coalesce(l.cl, -1) AS BIGINT) AS Cluster
 FROM pts p JOIN vec v ON {on} LEFT JOIN lab l ON l.vid = v.vid"""
 
 
@@ -622,6 +622,16 @@ def q_dbscan_labels(spark, d):
     return _part_dbscan(spark, d)
 
 
+_SURVEY_MM_SQL = with_survey("SELECT * FROM (" + _minmax_sql(f"SELECT id, {_P} FROM survey_view", ["id"], LIKERT)
+                             + ") WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in LIKERT))
+
+
+@query("dbscan_survey", _dbscan_sql(_SURVEY_MM_SQL, "id", LIKERT, 1.5, 5))
+def q_dbscan_survey(spark, d):
+    """The batch setting: 15 answers, eps wider than any single dimension."""
+    return DB.dbscan(SC.minmax(survey_view(spark, d).select("id", *LIKERT), LIKERT), LIKERT, eps=1.5, min_samples=5)
+
+
 @query("noise_count", "SELECT CAST(count_if(Cluster = -1) AS BIGINT) AS noise_points FROM (" + _DB_SQL.replace(
     "WITH RECURSIVE", "WITH RECURSIVE", 1) + ")")
 def q_noise_count(spark, d):
@@ -721,27 +731,16 @@ def q_single_linkage(spark, d):
     return AG.single_linkage_cut(_sup_minmax(spark, d), _SUP_XY, _SL_CUT, key="s_suppkey")
 
 
-def _survey_std(spark, d):
-    m = P.numeric_matrix(survey_view(spark, d), LIKERT, key="id")
-    return SC.standardise(m, LIKERT)
-
+@query("single_linkage_clusters")
+def q_single_linkage_clusters(spark, d):
+    """M6 with a number of clusters: tests hold it against brute force."""
+    return AG.single_linkage(_sup_minmax(spark, d), _SUP_XY, n_clusters=4, key="s_suppkey")
 
-@query("ward_labels")
-def q_ward_labels(spark, d):
-    labelled, _ = AG.agglomerative(_survey_std(spark, d), LIKERT, n_clusters=4, linkage="ward")
-    return labelled.select("id", "Cluster")
-
-
-@query("ward_merges")
-def q_ward_merges(spark, d):
-    res = AG.agglomerative_fit(_survey_std(spark, d), LIKERT, n_clusters=4, linkage="ward")
-    return res.merge_table(spark, last=19)
 
-
-@query("average_linkage_labels")
-def q_average_linkage_labels(spark, d):
-    labelled, _ = AG.agglomerative(_sup_minmax(spark, d), _SUP_XY, n_clusters=4, linkage="average")
-    return labelled.select("s_suppkey", "Cluster")
+@query("single_linkage_merges")
+def q_single_linkage_merges(spark, d):
+    """M7: tests hold it against brute force."""
+    return AG.merge_table(_sup_minmax(spark, d), _SUP_XY, last=19, key="s_suppkey")
 
 
 @query("train_batch")
@@ -783,10 +782,10 @@ def q_qualitative_export(spark, d):
     f"SELECT id, signo, p1a, p2a, round({_POL_SQL}, 6) AS Polaridad_Sentimiento_Promedio FROM survey_view "
     "ORDER BY id LIMIT 15"))
 def q_record_cards(spark, d):
-    sv = survey_view(spark, d)
-    scored = N.sentiment_rows(sv, OPEN, keep=["id", "signo", "p1a", "p2a"]).withColumnRenamed(
+    first = P.head_by(survey_view(spark, d), "id", 15, ["id", "signo", *OPEN])
+    scored = N.sentiment_rows(first, OPEN, keep=["id", "signo", "p1a", "p2a"]).withColumnRenamed(
         "sentimiento_promedio", "Polaridad_Sentimiento_Promedio")
-    return R6(P.head_by(scored, "id", 15, ["id", "signo", "p1a", "p2a", "Polaridad_Sentimiento_Promedio"]))
+    return R6(scored.select("id", "signo", "p1a", "p2a", "Polaridad_Sentimiento_Promedio"))
 
 
 @query("dict_rows_export", with_survey(

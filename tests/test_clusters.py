@@ -9,6 +9,7 @@ from segmenta.operators import pca as PC
 from segmenta.operators import registry as RG
 from segmenta.operators import scaling as SC
 from segmenta.operators.cluster import agglomerative as AG
+from segmenta.operators.cluster import blocks as BL
 from segmenta.operators.cluster import dbscan as DB
 from segmenta.operators.cluster import gmm as GM
 from segmenta.operators.cluster import kmeans as KM
@@ -137,8 +138,14 @@ def test_silhouette_exact_with_duplicates_and_singleton(spark):
     assert got == pytest.approx(_brute_silhouette(np.array(rows, float), lab))
     one = df.withColumn("Cluster", F.lit(0))
     assert EV.silhouette(one, ["x", "y"], "Cluster").first()["value"] == 0.0
-    with pytest.raises(ValueError):
-        EV.silhouette(df, ["x", "y"], "Cluster", max_distinct=3)
+
+
+def test_silhouette_exact_over_several_blocks(spark):
+    rng = np.random.default_rng(4)
+    X, lab = rng.normal(0, 1, (4500, 2)), rng.integers(0, 3, 4500)
+    df = spark.createDataFrame([(*map(float, x), int(l)) for x, l in zip(X, lab)], "x double, y double, Cluster int")
+    got = EV.silhouette(df, ["x", "y"], "Cluster").first()["value"]
+    assert got == pytest.approx(_brute_silhouette(X, lab))
 
 
 def test_single_linkage_cut(spark):
@@ -147,13 +154,60 @@ def test_single_linkage_cut(spark):
     assert got == [0, 0, 0, 1, 1, 2]
 
 
-def test_ward_exact_small(spark):
-    df = _pts(spark, [(0, 0), (0, 0.1), (0.1, 0), (5, 5), (5, 5.1), (10, 0), (10, 0.2)])
-    labelled, res = AG.agglomerative(df, ["x", "y"], n_clusters=3, linkage="ward")
-    got = [r["Cluster"] for r in labelled.orderBy("id").collect()]
-    assert got[0] == got[1] == got[2] and got[3] == got[4] and got[5] == got[6] and len(set(got)) == 3
-    assert res.exact and len(res.merges) == 6
-    assert res.merge_table(spark, last=2).count() == 2
+def _brute_merges(X):
+    """Single linkage step by step: (distance, left, right, size) with clusters named by their smallest row."""
+    groups = {i: [i] for i in range(len(X))}
+    out = []
+    while len(groups) > 1:
+        d, a, b = min((np.sqrt(((X[groups[a]][:, None] - X[groups[b]][None]) ** 2).sum(-1)).min(), a, b)
+                      for a in groups for b in groups if a < b)
+        groups[a] += groups.pop(b)
+        out.append((d, a, b, len(groups[a])))
+    return out
+
+
+def test_single_linkage_matches_brute_force(spark):
+    rng = np.random.default_rng(8)
+    X = rng.normal(0, 1, (24, 2))
+    df = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(X)], "id long, x double, y double")
+    want = _brute_merges(X)
+    got = AG.merge_table(df, ["x", "y"], last=15).orderBy("step").collect()
+    assert [(r["step"], r["left"], r["right"], r["size"]) for r in got] == [
+        (n, *w[1:]) for n, w in enumerate(want)][-15:]
+    assert [r["distance"] for r in got] == pytest.approx([w[0] for w in want[-15:]])
+    home = list(range(24))
+    for _, a, b, _ in want[:20]:
+        home = [a if h == b else h for h in home]
+    number = {h: n for n, h in enumerate(sorted(set(home)))}
+    lab = {r["id"]: r["Cluster"] for r in AG.single_linkage(df, ["x", "y"], 4).collect()}
+    assert lab == {i: number[h] for i, h in enumerate(home)}
+    with pytest.raises(ValueError):
+        AG.single_linkage(df, ["x", "y"], 25)
+
+
+def test_blocks_give_linear_rows_and_no_rows_are_fine(spark):
+    df = spark.createDataFrame([(i, i % 60 / 60, i // 60 / 60) for i in range(3600)], "id long, x double, y double")
+    vec = BL.distinct_vectors(BL.complete_rows(df, ["x", "y"], "id"), "id")
+    blocked, pairs = BL.tiles(vec, 2, 5.0)  # eps beyond the span: everything is near everything
+    edges = BL.over_pairs(blocked, pairs, BL.star_edges(5.0), "src long, dst long").count()
+    assert edges <= 3600 * pairs.count()
+    assert {r["Cluster"] for r in DB.dbscan(df, ["x", "y"], 5.0, 4).collect()} == {0}
+    none = df.where("false")
+    assert DB.dbscan(none, ["x", "y"], 0.5, 4).count() == 0
+    assert AG.single_linkage_cut(none, ["x", "y"], 0.5).count() == 0
+
+
+def test_batch_saves_models_and_labels(spark, scratch):
+    df = _pts(spark, [(0, 0), (0, 1), (1, 0), (10, 10), (10, 11), (11, 10)])
+    folder = f"{scratch}/batch"
+    RG.train_batch(df, ["x", "y"], key="id", folder=folder,
+                   jobs=[("kmeans", {"n_clusters": 2}), ("dbscan", {"eps": 0.3, "min_samples": 2}),
+                         ("agglomerative", {"n_clusters": 2})])
+    assert [r["name"] for r in RG.list_models(spark, f"{folder}/registry").collect()] == [
+        "0-kmeans", "1-dbscan", "2-agglomerative"]
+    for name in ("1-dbscan", "2-agglomerative"):
+        assert [r["Cluster"] for r in spark.read.parquet(f"{folder}/{name}/labels").orderBy("id").collect()] == [
+            0, 0, 0, 1, 1, 1]
 
 
 def test_save_load_classify_roundtrip(spark, scratch):
