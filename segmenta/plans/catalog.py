@@ -197,12 +197,10 @@ def q_cluster_profile_long(spark, d):
 _CORR = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "const_one"]
 
 
-def _corr_sql():
-    base = ("(SELECT CAST(l_quantity AS DOUBLE) AS l_quantity, l_extendedprice, l_discount, l_tax, "
-            "CAST(l_linenumber AS DOUBLE) AS l_linenumber, 1.0 AS const_one FROM lineitem)")
+def _corr_sql(base: str, cols: list[str]) -> str:
     rows = []
-    for a in _CORR:
-        for b in _CORR:
+    for a in cols:
+        for b in cols:
             if a == b:
                 rows.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, "
                             f"CASE WHEN stddev_pop({a}) > 0 THEN 1.0 END AS corr FROM {base}")
@@ -214,13 +212,15 @@ def _corr_sql():
     return " UNION ALL ".join(rows)
 
 
-@query("correlation_matrix", _corr_sql())
+@query("correlation_matrix", _corr_sql(
+    "(SELECT CAST(l_quantity AS DOUBLE) AS l_quantity, l_extendedprice, l_discount, l_tax, "
+    "CAST(l_linenumber AS DOUBLE) AS l_linenumber, 1.0 AS const_one FROM lineitem)", _CORR))
 def q_correlation_matrix(spark, d):
     li = table(spark, d, "lineitem").withColumn("const_one", F.lit(1.0))
     return R6(X.correlation_matrix(li, _CORR))
 
 
-@query("survey_correlation", None)
+@query("survey_correlation", with_survey(_corr_sql("survey_view", LIKERT)))
 def q_survey_correlation(spark, d):
     return R6(X.correlation_matrix(survey_view(spark, d), LIKERT))
 

@@ -26,7 +26,8 @@ def test_no_python_udf(spark, name):
 def test_filter_pushed_and_columns_pruned(spark):
     df = E.queries()["filter_range_category"](spark, SMALL)
     plan = _plan(df)
-    assert "PushedFilters: [IsNotNull(c_custkey)" in plan or "PushedFilters: [" in plan
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    assert pushed, plan
     assert "c_acctbal" not in plan.split("ReadSchema:")[1].split("\n")[0]
     q = E.queries()["category_filter"](spark, SMALL)
     assert "EqualTo(o_orderstatus,F)" in _plan(q)
@@ -50,5 +51,5 @@ def test_no_unpartitioned_window_over_rows(spark, name):
             unpartitioned = first.startswith("specifiedwindowframe") or " ASC " in first or " DESC " in first
             # the only global windows allowed run over one row per partition (rank offsets ordered by pid)
             assert not unpartitioned or "pid" in first, line
-    if name in ("tfidf_terms", "numeric_summary"):
+    if name == "numeric_summary":
         assert seen > 0
