@@ -163,15 +163,15 @@ def meet_again(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[
             for name in ("left", "right"):
                 one = b.column(name)[at].values
                 sig = np.frombuffer(b"".join(one.field("sig").to_pylist()), np.uint8).reshape(-1, COORDINATES)
-                sides.append([one.field(c).to_numpy(zero_copy_only=False) for c in ("id", "comp", "n", "u")] + [sig])
-            (ida, ca, na, ua, sa), (idb, cb, nb, ub, sb) = sides
+                keys = one.field("bands").flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
+                sides.append([one.field(c).to_numpy(zero_copy_only=False) for c in ("id", "comp", "n", "u")] + [sig, keys])
+            (ida, ca, na, ua, sa, ka), (idb, cb, nb, ub, sb, kb) = sides
             band = b.column("band")[at].as_py()
             met_a, met_b = np.zeros(len(ida), bool), np.zeros(len(idb), bool)
             for k in range(len(ida)):
                 may = np.flatnonzero((cb != ca[k]) & (most_similar(np.full(len(nb), na[k]), np.full(len(nb), ua[k]), nb, ub) >= threshold))
-                equal = sb[may] == sa[k]
-                first = equal.reshape(-1, BANDS, ROWS_IN_BAND).all(2).argmax(1)
-                may = may[(equal.sum(1) >= ENOUGH) & (first == band)]
+                may = may[(sb[may] == sa[k]).sum(1) >= ENOUGH]
+                may = may[(kb[may] == ka[k]).argmax(1) == band]  # by the buckets' own keys: a byte of a coordinate may agree by chance
                 met_a[k] = len(may) > 0
                 met_b[may] = True
             ids = np.unique(np.concatenate([ida[met_a], idb[met_b]]))
@@ -260,7 +260,7 @@ def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", tex
     first = materialize(connected_components(worded.select("id"), edges), "components")
     # buckets whose members, but for the centre that all have met, lie in several components
     about = in_bucket.select("key", "band", "id").join(first, "id")
-    open_ = materialize(about.join(several(about), "key").join(reps.select("id", "sig", "n"), "id"), "open-buckets")
+    open_ = materialize(about.join(several(about), "key").join(reps.select("id", "sig", "bands", "n"), "id"), "open-buckets")
     own = own_elements(texts.join(open_.select("id").distinct(), "id", "left_semi"))
     members = materialize(open_.join(own, "id", "left").withColumn("u", F.coalesce("u", F.lit(0))), "open-members")
     hubs = members.groupBy("key").agg(F.min_by(F.struct("id", "comp", "sig", "n", "u"), F.struct(F.col("u") / F.col("n"), "id")).alias("hub"))
@@ -272,7 +272,7 @@ def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", tex
     rest = members.drop("comp", "size").join(second, "id")
     dealt = (rest.join(several(rest), "key").withColumn("blocks", F.ceil(F.col("size") / BLOCK))
              .withColumn("block", F.pmod(F.xxhash64("id"), "blocks")))
-    blocks = dealt.groupBy("key", "band", "blocks", "block").agg(F.collect_list(F.struct("id", "comp", "n", "u", "sig")).alias("members"))
+    blocks = dealt.groupBy("key", "band", "blocks", "block").agg(F.collect_list(F.struct("id", "comp", "n", "u", "sig", "bands")).alias("members"))
     left = blocks.select("key", "band", F.col("block").alias("i"), F.col("members").alias("left"),
                          F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"))
     cells = left.join(blocks.select("key", F.col("block").alias("j"), F.col("members").alias("right")), ["key", "j"])

@@ -424,6 +424,23 @@ def test_text_dedup_chain_group(spark, monkeypatch):
     assert got == brute_classes(dict(enumerate(texts[i] for i in order)))
 
 
+def test_blocks_meet_pairs_whose_bytes_agree_by_chance():
+    """An earlier band whose bytes agree but whose key differs is no bucket the pair has met in."""
+    import pyarrow as pa
+
+    n = text_dedup.BANDS
+    sig = bytes(text_dedup.COORDINATES)
+    keys = [[100 + k for k in range(n)], [0] + [100 + k for k in range(1, n)]]  # band 0: another key, the same bytes
+    side = [[{"id": i, "comp": i, "n": 50, "u": 0, "sig": sig, "bands": keys[i]} for i in (0, 1)]]
+    kind = pa.list_(pa.struct([("id", pa.int64()), ("comp", pa.int64()), ("n", pa.int64()), ("u", pa.int64()), ("sig", pa.binary()),
+                               ("bands", pa.list_(pa.int64()))]))
+    for band, want in ((1, [0, 1]), (2, [])):
+        cell = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([band]), pa.array([0]), pa.array([0]), pa.array(side, kind), pa.array(side, kind)],
+                                          names=["key", "band", "i", "j", "left", "right"])
+        (out,) = text_dedup.meet_again(iter([cell]), 0.8)
+        assert out.column("id").to_pylist() == want
+
+
 def test_text_dedup_awkward(spark, odd, empty):
     got = {r[0]: (r[1], r[2]) for r in text_dedup.near_duplicates(odd).collect()}
     assert got == {k: (c, c == k) for k, c in brute_classes(dict(enumerate(ODD))).items()}
