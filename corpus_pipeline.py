@@ -22,9 +22,9 @@ MIN_SCORE = 0.5  # posterior that a document's language must reach
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or whose language stays open, go; ``lang`` becomes the predicted language."""
-    found = language.identify(docs, PIECES).where((F.col("lang_pred") != language.UND) & (F.col("score") >= MIN_SCORE))
-    found = found.groupBy("doc_id").agg(F.first("lang_pred").alias("lang_pred"))
-    return docs.join(found, "doc_id").withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
+    found = language.label(docs.select(*COLUMNS), language.learn(docs, PIECES))
+    known = found.where((F.col("lang_pred") != language.UND) & (F.col("score") >= MIN_SCORE))
+    return known.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

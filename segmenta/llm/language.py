@@ -10,7 +10,7 @@ vocabulary times languages; it is what the driver sees and sends out.
 
 Null text and text without a letter are ``und`` with score 0; without training rows everything is ``und``; ties go to the
 first language by name; repeated rows count as often as they occur (training) and give repeated results; extra columns
-are ignored.
+are ignored (``identify``) or kept (``label``).  A row with a null id is never learned from, and its ``held_out`` is null.
 """
 
 from __future__ import annotations
@@ -22,9 +22,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .lattice import BLOCK, Lattice, pieces
-from .textarrays import distinct_chunks, text_rows, text_slices
+from .textarrays import distinct_chunks, small_batches, text_rows, text_slices
 
 UND = "und"
 FALLBACK = 1e-7  # probability of a character outside the vocabulary
@@ -93,6 +94,15 @@ class Model:
             out[:, k] = c[ptr[1:]] - c[ptr[:-1]]
         return out
 
+    def label(self, text: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Language and score of every row."""
+        letters = pc.match_substring_regex(text, r"\p{L}").to_numpy(zero_copy_only=False)
+        if not self.languages:
+            return pa.array([UND] * len(text), pa.string()), pa.array(np.zeros(len(text)))
+        ll = self.loglik(text)
+        score = np.where(letters, 1 / np.exp(ll - ll.max(axis=1, keepdims=True)).sum(axis=1), 0.0)
+        return pa.array([self.languages[k] if ok else UND for k, ok in zip(ll.argmax(axis=1), letters, strict=True)], pa.string()), pa.array(score)
+
 
 def fit(train: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Learn from all rows of ``train`` whose language is not null."""
@@ -110,24 +120,20 @@ def fit(train: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str
     return Model(languages, np.hstack([prob, np.full((len(languages), 1), FALLBACK)]), vocab_path)
 
 
-def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, lang_pred, score`` for every row; score is the winner's posterior under equal priors."""
+def label(docs: DataFrame, model: Model, text_col: str = "text", keep_text: bool = True) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score`` (columns of these names are replaced), in one narrow pass: no row is moved or joined.
+
+    The score is the winner's posterior under equal priors.  A null text counts as empty and stays null.
+    """
+    rest = docs.drop("lang_pred", "score")
+    kept = [f for f in rest.schema.fields if keep_text or f.name != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in text_slices(batches, SLICE):
-            text = b.column("text")
-            letters = pc.match_substring_regex(text, r"\p{L}").to_numpy(zero_copy_only=False)
-            if model.languages:
-                ll = model.loglik(text)
-                best = ll.argmax(axis=1)
-                score = np.where(letters, 1 / np.exp(ll - ll.max(axis=1, keepdims=True)).sum(axis=1), 0.0)
-                names = [model.languages[k] if ok else UND for k, ok in zip(best, letters, strict=True)]
-            else:
-                score, names = np.zeros(len(text)), [UND] * len(text)
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(names, pa.string()), pa.array(score)],
-                                             names=[id_col, "lang_pred", "score"])
+        for b in text_slices(batches, SLICE, text_col):
+            names, score = model.label(pc.fill_null(b.column(text_col), ""))
+            yield pa.RecordBatch.from_arrays([*(b.column(f.name) for f in kept), names, score], names=[*(f.name for f in kept), "lang_pred", "score"])
 
-    return text_rows(docs, id_col, text_col).mapInArrow(run, f"{id_col} long, lang_pred string, score double")
+    return small_batches(rest).mapInArrow(run, T.StructType([*kept, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 
 
 def held_out(id_col: str = "doc_id"):
@@ -135,7 +141,13 @@ def held_out(id_col: str = "doc_id"):
     return F.crc32(F.col(id_col).cast("string")) % 4 == 2
 
 
+def learn(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
+    """Learn from the rows that are not held out."""
+    return fit(docs.where(~held_out(id_col)), vocab_path, id_col, text_col, lang_col)
+
+
 def identify(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Learn from the rows that are not held out, predict all: ``doc_id, held_out, lang_pred, score``."""
-    model = fit(docs.where(~held_out(id_col)), vocab_path, id_col, text_col, lang_col)
-    return predict(docs, model, id_col, text_col).select(id_col, held_out(id_col).alias("held_out"), "lang_pred", "score")
+    rows = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col))
+    found = label(rows, learn(docs, vocab_path, id_col, text_col, lang_col), text_col, keep_text=False)
+    return found.select(id_col, held_out(id_col).alias("held_out"), "lang_pred", "score")

@@ -307,6 +307,14 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
 
 
 def keep_first(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose id is not the smallest of its class; of rows that share an id and stay, equal texts stay once."""
+    """``docs`` without the rows whose id is not the smallest of its class; of rows that share an id and stay, equal texts stay once.
+
+    Rows with a null id, or with a null text, all stay.
+    """
     gone = near_duplicates(docs, threshold, id_col, text_col).where("not kept").select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    rest = docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    shared = docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("i")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not shared.limit(1).count():
+        return rest
+    alone = F.when(F.col(id_col).isNull() | F.col(text_col).isNull(), F.monotonically_increasing_id())
+    return rest.withColumn("__alone", alone).dropDuplicates([id_col, text_col, "__alone"]).drop("__alone")

@@ -281,6 +281,14 @@ def test_language_held_out_accuracy(spark, medium):
     assert all(0 <= r["score"] <= 1 for r in got.values())
 
 
+def test_language_label_keeps_rows_and_columns(spark, odd):
+    clash = odd.withColumn("lang_pred", F.lit("x")).withColumn("score", F.lit(1))
+    got = language.label(clash, language.learn(odd, queries.PIECES))
+    assert got.columns == odd.columns + ["lang_pred", "score"] and got.select(*odd.columns).exceptAll(odd).count() == 0
+    want = Counter(r[0::2] for r in language.identify(odd, queries.PIECES).select("doc_id", "score", "lang_pred").collect())
+    assert Counter(r[0::2] for r in got.select("doc_id", "score", "lang_pred").collect()) == want and got.count() == odd.count()
+
+
 def test_language_awkward(spark, odd, empty):
     got = {r["doc_id"]: r for r in collected(language.identify(odd, queries.PIECES))}
     assert got[0]["lang_pred"] == got[1]["lang_pred"] == got[2]["lang_pred"] == "und" and got[1]["score"] == 0
@@ -447,7 +455,10 @@ def test_text_dedup_awkward(spark, odd, empty):
     kept = text_dedup.keep_first(odd)
     assert kept.columns == odd.columns and {r[0] for r in kept.select("doc_id").collect()} == {k for k, v in got.items() if v[1]}
     assert text_dedup.near_duplicates(empty).count() == 0
+    assert kept.count() == sum(v[1] for v in got.values())  # the repeated rows stay once
     null_id = odd.limit(1).withColumn("doc_id", F.lit(None).cast("long"))
+    twice = null_id.withColumn("text", F.lit(PASSAGE)).union(null_id.withColumn("text", F.lit(PASSAGE)))
+    assert text_dedup.keep_first(twice.union(odd)).where("doc_id is null").count() == 2
     assert text_dedup.near_duplicates(null_id).collect()[0][2]
 
 
@@ -538,6 +549,9 @@ def test_pipeline_stages(spark, odd, empty):
             out = stage(spark, df, SMALL)
             assert out.columns == columns and dict(out.dtypes) == dict(df.dtypes), name
             out.count()
+        no_id = odd.select(*columns).where(F.col("text") == PASSAGE + "after").limit(1).withColumn("doc_id", F.lit(None).cast("long"))
+        labelled = spark.read.parquet(f"{SMALL}/documents.parquet").select(*columns).where("doc_id < 40")
+        assert stage(spark, labelled.union(no_id), SMALL).where("doc_id is null").count() == 1, name
 
 
 def test_pipeline_equals_brute_force(spark):
