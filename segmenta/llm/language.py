@@ -32,7 +32,7 @@ FALLBACK = 1e-7  # probability of a character outside the vocabulary
 SMOOTH = 200.0  # pieces' worth of the all-language distribution mixed into each language
 SCALE = 64.0  # per character: keeps sums over up to BLOCK characters near 1
 FIXED = float(1 << 20)  # expected counts are summed as whole multiples of 1/FIXED, so that order does not matter
-SLICE = 3 << 20  # bytes of text worked on at once: the arrays made from them take about 60 times as much
+SLICE = 3 << 19  # bytes of text worked on at once: the arrays made from them take about 60 times as much
 
 
 def folded(text: pa.Array) -> pa.Array:
