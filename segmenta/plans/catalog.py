@@ -828,6 +828,21 @@ def q_page_form_questions(spark, d):
     return PG.form_questions(table(spark, d, "pages"))
 
 
+_FORM_SQL = r"""'<html><script>var FB_PUBLIC_LOAD_DATA_ = [null,["Encuesta",[[11,"¿Qué página? ' || url || '",null,0],[12,"Tamaño; ' || """ \
+            r"""CAST(length(html) AS VARCHAR(20)) || '",null,2]]]];</script></html>'"""
+
+
+@query("page_form_titles", rf"""
+WITH form AS (SELECT page_id, CAST(regexp_extract({_FORM_SQL}, '(?s)var FB_PUBLIC_LOAD_DATA_ = (\[.*?\]);\s*</script>', 1) AS JSON) AS doc
+              FROM pages WHERE html IS NOT NULL AND url IS NOT NULL)
+, q AS (SELECT page_id, doc, unnest(range(CAST(json_array_length(doc, '$[1][1]') AS BIGINT))) AS position FROM form)
+SELECT page_id, CAST(position AS INTEGER) AS position,
+       regexp_replace(json_extract_string(doc, '$[1][1][' || position || '][1]'), '[^\x00-\x7F]', '', 'g') AS title FROM q""")
+def q_page_form_titles(spark, d):
+    """Form pages made of every page's address and size: the given pages hold no form variable."""
+    return PG.form_questions(table(spark, d, "pages").selectExpr("page_id", f"{_FORM_SQL} AS html"))
+
+
 @query("stream_scoring")
 def q_stream_scoring(spark, d):
     """Customer files as a stream -> survey rows -> min-max + nearest centre + polarity + theme means."""
