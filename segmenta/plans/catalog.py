@@ -559,8 +559,8 @@ def q_inertia_given_centroids(spark, d):
     return R6(AS.inertia(_part_minmax(spark, d), _PART_XY, _CENTROIDS))
 
 
-def _silhouette_sql(points_sql: str, cols: list[str]) -> str:
-    dist = "sqrt(" + " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in cols) + ")"
+def _silhouette_sql(points_sql: str, cols: list[str], mode: str = "exact") -> str:
+    dist = ("sqrt(" if mode == "exact" else "(") + " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in cols) + ")"
     keys = ", ".join(f"a.{c}" for c in cols)
     return f"""WITH pts AS (SELECT {', '.join(cols)}, label, count(*) AS w FROM ({points_sql}) GROUP BY ALL),
 sizes AS (SELECT label, sum(w) AS n FROM pts GROUP BY label),
@@ -573,13 +573,15 @@ per AS (SELECT {', '.join(cols)}, own, w, n_own,
           min(CASE WHEN other <> own THEN sd / n_other END) AS b FROM p GROUP BY ALL),
 sc AS (SELECT w, CASE WHEN n_own > 1 AND greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0.0 END AS s
        FROM per)
-SELECT 'silhouette_exact' AS metric,
+SELECT 'silhouette_{mode}' AS metric,
        round(CASE WHEN (SELECT count(*) FROM sizes) > 1 THEN sum(s * w) / sum(w) ELSE 0.0 END, 6) AS value FROM sc"""
 
 
-@query("silhouette_exact", _silhouette_sql(
-    "SELECT p_size, p_retailprice, Cluster AS label FROM ("
-    + _assign_sql(_PART_MM_SQL, "p_partkey", _PART_XY, _CENTROIDS) + ")", _PART_XY))
+_PART_LABELS_SQL = ("SELECT p_size, p_retailprice, Cluster AS label FROM ("
+                    + _assign_sql(_PART_MM_SQL, "p_partkey", _PART_XY, _CENTROIDS) + ")")
+
+
+@query("silhouette_exact", _silhouette_sql(_PART_LABELS_SQL, _PART_XY))
 def q_silhouette_exact(spark, d):
     labelled = AS.assign_nearest(_part_minmax(spark, d), _PART_XY, _CENTROIDS)
     return R6(EV.silhouette(labelled, _PART_XY, "Cluster", mode="exact"))
@@ -899,11 +901,11 @@ def q_report_sign_by_cluster(spark, d):
     return RP.chart_tables(labelled, LIKERT[:3])["sign_by_cluster"]
 
 
-@query("silhouette_squared")
+@query("silhouette_squared", _silhouette_sql(_PART_LABELS_SQL, _PART_XY, "squared"))
 def q_silhouette_squared(spark, d):
     """M8 scalable mode: MLlib squared-Euclidean silhouette, O(n*k), reported under its own name."""
     labelled = AS.assign_nearest(_part_minmax(spark, d), _PART_XY, _CENTROIDS)
-    return EV.silhouette(labelled, _PART_XY, "Cluster", mode="squared")
+    return R6(EV.silhouette(labelled, _PART_XY, "Cluster", mode="squared"))
 
 
 @query("first_seen_mode", """
