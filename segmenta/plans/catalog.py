@@ -194,6 +194,20 @@ def q_cluster_profile_long(spark, d):
     return R6(X.cluster_profile_long(emb, [f"e{i}" for i in range(5)]))
 
 
+_COMPONENTS = [f"e{i}" for i in range(64)]  # all of an embedding
+
+
+@query("cluster_profile_long_all", f"""
+SELECT label AS cluster, feature, round(mean, 6) AS mean FROM (
+  SELECT label, {_cols(f"avg(CAST(embedding[{i + 1}] AS DOUBLE)) AS {c}" for i, c in enumerate(_COMPONENTS))}
+  FROM embeddings WHERE label IS NOT NULL GROUP BY label)
+UNPIVOT (mean FOR feature IN ({_cols(_COMPONENTS)}))""")
+def q_cluster_profile_long_all(spark, d):
+    emb = table(spark, d, "embeddings").select(
+        F.col("label").alias("Cluster"), *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(_COMPONENTS)])
+    return R6(X.cluster_profile_long(emb, _COMPONENTS))
+
+
 _CORR = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "const_one"]
 
 
@@ -901,6 +915,20 @@ def q_report_sign_by_cluster(spark, d):
     return RP.chart_tables(labelled, LIKERT[:3])["sign_by_cluster"]
 
 
+_LEVELS = [(1.0,) * len(LIKERT), (3.0,) * len(LIKERT), (5.0,) * len(LIKERT)]
+
+
+@query("report_sign_by_cluster_all", with_survey(
+    "SELECT Cluster, signo, count(*) AS n FROM (" + _assign_sql(
+        f"SELECT id, signo, {_cols(f'coalesce(CAST({c} AS DOUBLE), 0.0) AS {c}' for c in LIKERT)} FROM survey_view",
+        "id, signo", LIKERT, _LEVELS)
+    + ") WHERE signo IS NOT NULL GROUP BY Cluster, signo"))
+def q_report_sign_by_cluster_all(spark, d):
+    sv = survey_view(spark, d).select("id", "signo", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in LIKERT])
+    labelled = AS.assign_nearest(sv, LIKERT, _LEVELS)
+    return RP.chart_tables(labelled, LIKERT)["sign_by_cluster"]
+
+
 @query("silhouette_squared", _silhouette_sql(_PART_LABELS_SQL, _PART_XY, "squared"))
 def q_silhouette_squared(spark, d):
     """M8 scalable mode: MLlib squared-Euclidean silhouette, O(n*k), reported under its own name."""
