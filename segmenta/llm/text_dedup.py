@@ -216,9 +216,14 @@ def element_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def own_elements(texts: DataFrame) -> DataFrame:
-    """``id, u``: elements of a text that no other of ``texts`` has (no row where there are none)."""
+    """``id, u``: elements of a text that no other of ``texts`` has (no row where there are none).
+
+    An id that stands for different texts has no row: their elements cannot be told apart by the id.
+    """
+    h = F.xxhash64("text")
+    different = texts.groupBy("id").agg(F.min(h).alias("lo"), F.max(h).alias("hi")).where("lo <> hi").select("id")
     counts = texts.mapInArrow(element_counts, "h long, n long, id long").groupBy("h").agg(F.sum("n").alias("n"), F.min("id").alias("id"))
-    return counts.where("n = 1").groupBy("id").agg(F.count(F.lit(1)).alias("u"))
+    return counts.where("n = 1").groupBy("id").agg(F.count(F.lit(1)).alias("u")).join(different, "id", "left_anti")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float, name: str) -> DataFrame:
