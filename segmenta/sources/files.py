@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 from ..schema import LIKERT, OPEN, SURVEY_SCHEMA, validate_columns
 
 CORRUPT = "_corrupt_record"
-#: Quoted cells may hold commas, doubled quotes and line breaks.  ``multiLine`` makes each file one task: split large data into files.
-FORMAT = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
+#: Quoted cells may hold commas and doubled quotes.
+FORMAT = {"header": True, "quote": '"', "escape": '"'}
 
 
 def check_upload(path: str | None) -> None:
@@ -28,13 +28,14 @@ def check_upload(path: str | None) -> None:
 
 
 def read_survey_csv(spark: SparkSession, path: str, schema: T.StructType = SURVEY_SCHEMA,
-                    validate: bool = True) -> DataFrame:
+                    validate: bool = True, multi_line: bool = True) -> DataFrame:
     """CSV with header, typed by ``schema``; malformed rows kept with ``_corrupt_record``.
 
+    ``multi_line``: quoted cells may hold line breaks, and each file is one task; without, Spark splits large files.
     The header is validated against the survey contract (P1) before any data is read.
     """
     check_upload(path)
-    read = spark.read.options(**FORMAT, pathGlobFilter="*.csv")
+    read = spark.read.options(**FORMAT, multiLine=multi_line, pathGlobFilter="*.csv")
     header = read.csv(path)
     if validate:
         ok, msg = validate_columns(header.columns)
@@ -61,10 +62,13 @@ def malformed_count(df: DataFrame) -> int:
     return df.agg(F.count_if(F.col(CORRUPT).isNotNull()).alias("bad"), F.count(first).alias("_")).first()["bad"]
 
 
-def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
-    """Every column as a string (no inference); parse later per value with ``try_cast``."""
+def read_csv_strings(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Every column as a string (no inference); parse later per value with ``try_cast``.
+
+    ``multi_line``: as in ``read_survey_csv``.
+    """
     check_upload(path)
-    return spark.read.options(**FORMAT, inferSchema=False).csv(path)
+    return spark.read.options(**FORMAT, multiLine=multi_line, inferSchema=False).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
