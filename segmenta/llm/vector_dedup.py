@@ -9,9 +9,9 @@ Equal vectors are one class throughout (their group may hold any share of the ro
 of bounded blocks of members and visitors; what leaves a block is a link count per vector and a spanning forest, never
 pairs.  A pair that meets twice (each visits the other's cell) is counted once: the member's visits travel with it.
 
-Sample: at most ``SAMPLE`` vectors, the first by a hash of their id.  All vectors are indexed.  Vectors that are null, of
-length 0, zero, or hold null or non-finite components link with nothing and are their own component; so do vectors of
-other lengths than the one that most vectors have.  Repeated ids: rows are kept apart by their vectors, and count as
+Sample: at most ``SAMPLE`` vectors of a length, the first by a hash of their id.  All vectors are indexed: vectors link with
+those of their own length, and every length has an index of its own, with cell numbers of its own.  Vectors that are null, of
+length 0, zero, or hold null or non-finite components link with nothing and are their own component.  Repeated ids: rows are kept apart by their vectors, and count as
 separate vectors; extra columns are ignored; an empty table gives no rows.
 """
 
@@ -112,15 +112,26 @@ def forest(linked: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> list[tuple
         low_r, low_c = r, c
 
 
-def links(classes: DataFrame, index: MultiIndex, threshold: float) -> DataFrame:
-    """``a, b, n``: partial link counts (b null) and forest edges (n null) of ``classes(id, v, size)``."""
+def links(classes: DataFrame, indexes: dict[int, tuple[int, MultiIndex | None]], threshold: float) -> DataFrame:
+    """``a, b, n``: partial link counts (b null) and forest edges (n null) of ``classes(id, v, size)``.
+
+    ``indexes``: per length of vectors the number of its first cell, and its index (None: they all lie in that cell).
+    """
     def place(batches):
         for b in batches:
             if not b.num_rows:
                 continue
-            x = np.stack(b.column("v").to_numpy(zero_copy_only=False)).astype(np.float64)
-            cells = index.traverse(x / np.linalg.norm(x, axis=1, keepdims=True))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(list(cells), pa.list_(pa.int64()))], names=[*b.schema.names, "cells"])
+            v = b.column("v").to_numpy(zero_copy_only=False)
+            dims = np.array([len(one) for one in v])
+            cells = [None] * len(v)
+            for dim in np.unique(dims).tolist():
+                at = np.flatnonzero(dims == dim)
+                first, index = indexes[dim]
+                x = np.stack(v[at]).astype(np.float64)
+                found = index.traverse(x / np.linalg.norm(x, axis=1, keepdims=True)) if index else np.zeros((len(at), 1), np.int64)
+                for i, visited in zip(at.tolist(), found + first, strict=True):
+                    cells[i] = visited
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cells, pa.list_(pa.int64()))], names=[*b.schema.names, "cells"])
 
     placed = materialize(classes.mapInArrow(place, T.StructType([*classes.schema.fields, T.StructField("cells", T.ArrayType(T.LongType()))])), "cells")
     members = placed.withColumn("cell", F.col("cells")[0])
@@ -158,6 +169,22 @@ def links(classes: DataFrame, index: MultiIndex, threshold: float) -> DataFrame:
     return m.groupBy(*keys).cogroup(v.groupBy(*keys)).applyInPandas(meet, "a long, b long, n long")
 
 
+def build_indexes(classes: DataFrame, threshold: float, recall: float) -> dict[int, tuple[int, MultiIndex | None]]:
+    """For ``links``: an index per length of vectors; so few that a cell holds them need none."""
+    counts = classes.groupBy(F.size("v").alias("dim")).count().orderBy("dim").collect()
+    out, first = {}, 0
+    for dim, n in counts:
+        index = None
+        if n > OCCUPANCY:
+            of_dim = classes.where(F.size("v") == dim)
+            sample = np.array([r["v"] for r in of_dim.orderBy(F.xxhash64("id"), "id").select("v").limit(SAMPLE).collect()], np.float64)
+            sample /= np.linalg.norm(sample, axis=1, keepdims=True)
+            index = fit(sample, n, threshold, recall)
+        out[dim] = first, index
+        first += len(index.left) * len(index.right) if index else 1
+    return out
+
+
 def near_duplicates(df: DataFrame, threshold: float = 0.95, recall: float = 0.99, id_col: str = "vec_id",
                     vector_col: str = "embedding") -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row."""
@@ -165,19 +192,14 @@ def near_duplicates(df: DataFrame, threshold: float = 0.95, recall: float = 0.99
     fine = (v.isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
             & F.exists(v, lambda x: x != 0))
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.when(fine, v).alias("v"))
-    dims = rows.where("v is not null").groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
-    dim = dims["dim"] if dims else 0
-    rows = (rows.withColumn("v", F.when(F.size("v") == dim, F.col("v")))
-            .withColumn("h1", F.when(F.col("v").isNotNull(), F.xxhash64("v")))
+    rows = (rows.withColumn("h1", F.when(F.col("v").isNotNull(), F.xxhash64("v")))
             .withColumn("h2", F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(1), "v"))))
     usable = rows.where("v is not null")
     classes = materialize(usable.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("size"), F.first("v").alias("v")), "classes")
-    n = classes.count()
-    if not n:
+    indexes = build_indexes(classes, threshold, recall)
+    if not indexes:
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    sample = np.array([r["v"] for r in classes.orderBy(F.xxhash64("id"), "id").select("v").limit(SAMPLE).collect()], np.float64)
-    sample /= np.linalg.norm(sample, axis=1, keepdims=True)
-    found = materialize(links(classes.select("id", "size", "v"), fit(sample, n, threshold, recall), threshold), "links")
+    found = materialize(links(classes.select("id", "size", "v"), indexes, threshold), "links")
     counts = found.where("n is not null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
     component = connected_components(classes.select("id"), found.where("b is not null").select(F.col("a").alias("src"), F.col("b").alias("dst")))
     about = (classes.select("h1", "h2", F.col("id").alias("rep"), "size").join(counts, "rep", "left")
