@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.text import strip_non_ascii
 
 FORM_VAR = "FB_PUBLIC_LOAD_DATA_"  # fixed value: the form page's variable name
-SCRIPT_VAR = r"(?s)<script>\s*var\s+(\w+)\s*=\s*(.*?);"
+#: A value ends at the first semicolon outside quotes; a quote that does not close stands for itself.  Possessive, so long values need no stack.
+QUOTED = r"""\"(?:[^\"\\\n]|\\.)*+\"|'(?:[^'\\\n]|\\.)*+'|`(?:[^`\\]|\\.)*+`"""
+SCRIPT_VAR = r"(?s)<script>\s*var\s+(\w+)\s*=\s*((?:[^;\"'`]|" + QUOTED + r"|[\"'`])*+);"
 
 
 def script_vars(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
