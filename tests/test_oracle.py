@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SMALL
+from data_paths import SMALL
 from oracle_harness import compare, duck
 
 ORACLE = E.oracle_sql()

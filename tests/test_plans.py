@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
-from conftest import SMALL
+from data_paths import SMALL
 
 NON_ML = ["question_stats", "numeric_summary", "multi_mode", "correlation_matrix", "category_frequencies",
           "histogram", "filter_range_category", "page_of_records", "sentiment_rows", "tfidf_terms",

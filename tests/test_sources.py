@@ -10,7 +10,7 @@ from segmenta.schema import validate_columns
 from segmenta.sources import files as FS
 from segmenta.sources import pages as PG
 from segmenta.sources import tables as TB
-from conftest import SMALL
+from data_paths import SMALL
 
 
 def test_validate_columns():

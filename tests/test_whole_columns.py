@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import __spark_entry__ as E
 import pytest
-from conftest import SMALL
+from data_paths import SMALL
 
 from segmenta.fixtures import LIKERT, survey_view
 from segmenta.tables import table
