@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..tables import table
-from . import language, licenses, packing, pii, sampling, suffix_dedup, text_dedup, token_counts, topk, vector_dedup
+from . import language, licenses, packing, pii, sampling, sharding, suffix_dedup, text_dedup, token_counts, topk, vector_dedup
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -70,8 +70,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), BYTE_BPE, public_tokenizers.PATTERN)
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in a uniform shuffle over 16 shards whose row counts are at most one apart."""
+    return sharding.digest(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (op1_topk, op2_packing, op3_suffix_dedup, op4_sampling, op5_language, op6_licenses,
-                                   op7_vector_dedup, op8_text_dedup, op9_pii, op10_token_counts)}
+                                   op7_vector_dedup, op8_text_dedup, op9_pii, op10_token_counts, op11_sharding)}
 
 ORACLE = {
     # the top five by integer inner product
