@@ -9,7 +9,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..tables import table
-from . import language, licenses, packing, pii, sampling, sharding, suffix_dedup, text_dedup, token_counts, topk, vector_dedup
+from . import (
+    alignment,
+    conversation_repair,
+    language,
+    licenses,
+    packing,
+    pii,
+    sampling,
+    sharding,
+    suffix_dedup,
+    text_dedup,
+    token_counts,
+    topk,
+    vector_dedup,
+)
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -75,8 +89,19 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(documents(spark, sf_dir))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest edits that give every damaged conversation a legal structure."""
+    return conversation_repair.digest(conversation_repair.damage(table(spark, sf_dir, "conversations")))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens in every document, with corpus-wide counts of linked pairs."""
+    return alignment.align(documents(spark, sf_dir), BYTE_BPE, PIECES)
+
+
 QUERIES = {f.__name__: f for f in (op1_topk, op2_packing, op3_suffix_dedup, op4_sampling, op5_language, op6_licenses,
-                                   op7_vector_dedup, op8_text_dedup, op9_pii, op10_token_counts, op11_sharding)}
+                                   op7_vector_dedup, op8_text_dedup, op9_pii, op10_token_counts, op11_sharding,
+                                   op12_conversation_repair, op13_alignment)}
 
 ORACLE = {
     # the top five by integer inner product
