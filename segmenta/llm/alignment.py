@@ -72,6 +72,8 @@ class Vocabularies:
         """(ptr, ids) under A and (ptr, ids) under B of chunks that begin with a blank (B puts it in front itself)."""
         a = [e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
         b = self.b.encode([c[1:] for c in chunks], num_threads=1)
+        if " " in chunks:  # nothing is put in front of nothing
+            b[chunks.index(" ")] = [self.b.piece_to_id(MARK)]
         return *self.ragged(a), *self.ragged(b)
 
     @staticmethod
