@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .textarrays import give_back, ragged_take, sums_by_row, text_bytes, text_rows, text_slices
+from .textarrays import distinct_chunks, give_back, ragged_take, sums_by_row, text_bytes, text_rows, text_slices
 from .token_counts import byte_alphabet
 
 SLICE = 4 << 20  # bytes of text worked on at once
@@ -43,15 +43,24 @@ MARK = "▁"
 
 
 class Vocabularies:
-    """Both libraries, and the bytes of every id as (ptr, bytes)."""
+    """Both libraries, the bytes of every id and its digits with a sign before them, as (ptr, bytes).
+
+    Many chunks go through one call of A, joined by a special token whose id marks the borders; chunks that hold that
+    token's string themselves go alone through a second instance, for which such strings are plain text.
+    """
+
+    JOINED = 256
 
     def __init__(self, a_path: str, b_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs one task per core
         import sentencepiece
         from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True  # their strings in a text are plain text
+        self.a, self.plain = Tokenizer.from_file(a_path), Tokenizer.from_file(a_path)
+        self.plain.encode_special_tokens = True
+        added = [(i, t) for i, t in self.a.get_added_tokens_decoder().items()]
+        self.special = [t.content for _, t in added]
+        self.border, self.mark = next(((i, t.content) for i, t in added if t.special and not (t.lstrip or t.rstrip or t.single_word)), (None, None))
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         byte_of = {c: i for i, c in enumerate(byte_alphabet())}
         vocab = json.load(open(a_path, encoding="utf-8"))["model"]["vocab"]
@@ -63,18 +72,43 @@ class Vocabularies:
         self.b_bytes = self.flat([bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)])
         if any(MARK in p.lstrip(MARK) for p in pieces):
             raise ValueError(f"{b_path}: pieces that hold a blank after other characters cross chunks")
+        self.digits = self.flat([b";%d" % i for i in range(max(len(raw), len(pieces)))])
 
     @staticmethod
     def flat(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         return np.concatenate([[0], np.cumsum([len(x) for x in raw])]), np.frombuffer(b"".join(raw), np.uint8)
 
-    def encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(ptr, ids) under A and (ptr, ids) under B of chunks that begin with a blank (B puts it in front itself)."""
-        a = [e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
-        b = self.b.encode([c[1:] for c in chunks], num_threads=1)
-        if " " in chunks:  # nothing is put in front of nothing
-            b[chunks.index(" ")] = [self.b.piece_to_id(MARK)]
-        return *self.ragged(a), *self.ragged(b)
+    def encode(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ptr, ids) under A and (ptr, ids) under B of distinct chunks that begin with a blank (B puts it in front itself)."""
+        texts = chunks.to_pylist()
+        b = self.b.encode([c[1:] for c in texts], num_threads=1)
+        if " " in texts:  # nothing is put in front of nothing
+            b[texts.index(" ")] = [self.b.piece_to_id(MARK)]
+        # A's pre-tokens keep letters and punctuation apart, so that chunks share their words
+        words, codes, _, ptr = distinct_chunks(chunks, words=True)
+        a_ptr, a = self.encode_a(words)
+        a, per = ragged_take(a_ptr, a, codes)
+        return per[ptr], a, *self.ragged(b)
+
+    def encode_a(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        chunks = words.to_pylist()
+        odd = range(len(chunks)) if self.mark is None else np.flatnonzero(
+            np.logical_or.reduce([pc.match_substring(words, s).to_numpy(zero_copy_only=False) for s in self.special])).tolist()
+        alone = [e.ids for e in self.plain.encode_batch_fast([chunks[i] for i in odd], add_special_tokens=False)]
+        if len(odd) == len(chunks):
+            return self.ragged(alone)
+        held = list(chunks)
+        for i in odd:
+            held[i] = ""  # only its border comes back
+        joined = [self.mark.join([*held[i:i + self.JOINED], ""]) for i in range(0, len(held), self.JOINED)]
+        flat = np.concatenate([np.array(e.ids, np.int64) for e in self.a.encode_batch_fast(joined, add_special_tokens=False)])
+        ends = np.flatnonzero(flat == self.border)
+        size, ids = np.diff(ends, prepend=-1) - 1, flat[flat != self.border]
+        if odd:
+            at = np.cumsum(size)[odd]
+            size[odd] = list(map(len, alone))
+            ids = np.insert(ids, np.repeat(at, size[odd]), list(itertools.chain.from_iterable(alone)))
+        return np.concatenate([[0], np.cumsum(size)]), ids
 
     @staticmethod
     def ragged(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -124,7 +158,7 @@ class Aligned:
     def __init__(self, vocab: Vocabularies, chunks: pa.Array):
         """``chunks`` begin with a blank each."""
         raw, off = text_bytes(chunks)
-        a_ptr, a, b_ptr, b = vocab.encode(chunks.to_pylist())
+        a_ptr, a, b_ptr, b = vocab.encode(chunks)
         a, a_ptr, bad_a = self.checked(vocab.a_bytes, a_ptr, a, raw, off)
         b, b_ptr, bad_b = self.checked(vocab.b_bytes, b_ptr, b, raw, off)
         self.bad = bad_a | bad_b
@@ -151,14 +185,23 @@ class Aligned:
         self.link_ptr = np.zeros(len(chunks) + 1, np.int64)
         self.link_ptr[good + 1] = np.diff(ptr[a_at])
         self.link_ptr = np.cumsum(self.link_ptr)
-        # group strings: ids with the sign that comes before each
+        # keys of links as numbers in the list of distinct ones
+        self.distinct, self.link_code = np.unique(self.keys, return_inverse=True)
+        # group strings, each token's digits with the sign before them: a group's A tokens, then its B tokens
         ends = np.flatnonzero(is_last)
         a_end, b_end = np.searchsorted(of_a, ends, side="right"), ends + 1
-        a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        groups = [",".join(a_text[i:j]) + "|" + ",".join(b_text[k:m]) for i, j, k, m in zip(
-            [0, *a_end[:-1].tolist()], a_end.tolist(), [0, *b_end[:-1].tolist()], b_end.tolist())]
-        at = np.concatenate([[0], np.cumsum(self.n_groups)]).tolist()
-        self.text = np.array([";".join(groups[i:j]) for i, j in zip(at[:-1], at[1:])] + [""], object)[:-1]
+        b_first = np.concatenate([[0], b_end[:-1]])
+        group_a, group_b = np.searchsorted(ends, of_a), np.searchsorted(ends, of_b)
+        ids, sign = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
+        ids[np.arange(len(a)) + b_first[group_a]] = a
+        ids[np.arange(len(b)) + a_end[group_b]] = b
+        sign[np.concatenate([[0], a_end[:-1]])[:len(ends)] + b_first] = ord(";")
+        sign[a_end + b_first] = ord("|")
+        text, at = ragged_take(*vocab.digits, ids)
+        text[at[:-1]] = sign
+        tokens = np.concatenate([[0], np.cumsum(self.n_a + self.n_b)])
+        text, at = text.tobytes(), at[tokens].tolist()
+        self.text = [text[i:j] for i, j in zip(at[:-1], at[1:])]  # of each chunk, led by a semicolon
 
     @staticmethod
     def checked(table: tuple[np.ndarray, np.ndarray], ptr: np.ndarray, ids: np.ndarray, raw: np.ndarray, off: np.ndarray):
@@ -211,31 +254,35 @@ class Documents:
         self.bad |= sums_by_row(lat.bad[codes], ptr) > 0
         n_links = np.diff(lat.link_ptr)
         self.sums += np.array([sums_by_row(x[codes], ptr) for x in (lat.n_a, lat.n_b, lat.n_groups, n_links)])
-        texts = lat.text[codes]
-        for i in np.flatnonzero(np.diff(ptr) > 0).tolist():
-            if not self.bad[i]:
-                self.hash[i].update(("" if not len(self.pairs) else ";").encode() + ";".join(texts[ptr[i]:ptr[i + 1]]).encode())
+        places = codes.tolist()
+        for i in np.flatnonzero((np.diff(ptr) > 0) & ~self.bad).tolist():
+            text = b"".join([lat.text[k] for k in places[ptr[i]:ptr[i + 1]]])
+            self.hash[i].update(text if self.pairs else text[1:])
         # chunks of each document with their uses, then their links
         doc = np.repeat(np.arange(self.n), np.diff(ptr))
         keep = ~self.bad[doc]
         both, uses = np.unique(doc[keep] * len(lat.bad) + codes[keep], return_counts=True)
         doc, code = both // len(lat.bad), both % len(lat.bad)
-        keys, per = ragged_take(lat.link_ptr, lat.keys, code)
-        self.collect(np.repeat(doc, np.diff(per)), keys, np.repeat(uses, np.diff(per)))
-
-    def collect(self, doc: np.ndarray, keys: np.ndarray, uses: np.ndarray) -> None:
-        """Add up the uses of each (document, key)."""
-        order = np.lexsort((keys, doc))
-        doc, keys, uses = doc[order], keys[order], uses[order]
-        first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (keys[1:] != keys[:-1])])[:len(doc)])
-        self.pairs.append((doc[first], keys[first], np.add.reduceat(uses, first) if len(first) else uses[:0]))
+        link, per = ragged_take(lat.link_ptr, lat.link_code, code)
+        self.collect(np.repeat(doc, np.diff(per)), link, np.repeat(uses, np.diff(per)), lat.distinct)
+
+    def collect(self, doc: np.ndarray, link: np.ndarray, uses: np.ndarray, distinct: np.ndarray) -> None:
+        """Add up the uses of each (document, key); ``link`` numbers the keys in ``distinct``."""
+        both = doc * max(len(distinct), 1) + link
+        order = np.argsort(both)
+        both, uses = both[order], uses[order]
+        first = np.flatnonzero(np.diff(both, prepend=-1))
+        both, uses = both[first], np.add.reduceat(uses, first) if len(first) else uses[:0]
+        self.pairs.append((both // max(len(distinct), 1), distinct[both % max(len(distinct), 1)], uses))
 
     def finished(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, key, uses), distinct, by document; without those of documents that cannot be aligned."""
         parts = [np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*self.pairs)] or [np.zeros(0, np.int64)] * 3
         if len(self.pairs) > 1:
+            doc, keys, uses = parts
+            distinct, link = np.unique(keys, return_inverse=True)
             self.pairs = []
-            self.collect(*parts)
+            self.collect(doc, link, uses, distinct)
             parts = self.pairs[0]
         doc, keys, uses = parts
         ok = ~self.bad[doc]
