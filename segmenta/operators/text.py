@@ -57,14 +57,20 @@ def tfidf_terms(df: DataFrame, text_cols: list[str], key_cols: list[str], max_fe
     term counting the documents.  The k terms with their idf, k rows, become literals of the second pass, which weighs
     and normalises each document within its row and adds up k sums.
     """
-    docs = corpus(df, text_cols, key_cols)
-    found = F.sort_array(tokens("text", min_token_len))
+    docs = corpus(df, text_cols, key_cols).select("text")
+    found = tokens("text", min_token_len)
     if stop_words:
         found = F.filter(found, lambda t: ~t.isin(list(stop_words)))
-    marked = F.transform("s", lambda t, i: F.struct(
-        t.alias("term"), ((i == 0) | (F.get("s", i - 1) != t)).cast("long").alias("first")))
+
+    def per_document(words, marked):
+        """``marked`` of each document's words; as a generator's input they are made once, wherever they are used."""
+        return docs.select(F.inline(F.transform(F.array(words), lambda s: F.struct(marked(s).alias("found")))))
+
+    def first_places(s):
+        return F.transform(s, lambda t, i: F.struct(t.alias("term"), ((i == 0) | (F.get(s, i - 1) != t)).cast("long").alias("first")))
+
     none = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("first")))
-    counts = (docs.select(found.alias("s")).select(F.inline(F.concat(none, marked))).groupBy("term")
+    counts = (per_document(F.sort_array(found), first_places).select(F.inline(F.concat(none, "found"))).groupBy("term")
               .agg(F.count(F.lit(1)).alias("total"), F.sum("first").alias("df")))
     # the null term, whose total is the number of documents, comes first
     top = counts.orderBy(F.col("term").isNotNull(), F.desc("total"), "term").limit(max_features + 1).collect()
@@ -73,11 +79,13 @@ def tfidf_terms(df: DataFrame, text_cols: list[str], key_cols: list[str], max_fe
     n_docs = top[0]["total"]
     idf = {r["term"]: math.log((1 + n_docs) / (1 + r["df"])) + 1.0 for r in top[1:]}
     vocab = F.array(*[F.struct(F.lit(t).alias("term"), F.lit(w).alias("idf")) for t, w in idf.items()])
-    kept = docs.select(F.filter(tokens("text", min_token_len), lambda t: t.isin(list(idf))).alias("s"))
-    weights = F.transform(vocab, lambda v: F.struct(
-        v["term"].alias("term"), (F.size(F.filter("s", lambda t: t == v["term"])) * v["idf"]).alias("w")))
-    norm = F.sqrt(F.aggregate("ws", F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"]))
-    return (kept.where(F.size("s") > 0).select(weights.alias("ws")).select("ws", norm.alias("norm"))
-            .select("norm", F.inline("ws")).where(F.col("w") > 0)
+
+    def weights(s):
+        return F.transform(vocab, lambda v: F.struct(
+            v["term"].alias("term"), (F.size(F.filter(s, lambda t: t == v["term"])) * v["idf"]).alias("w")))
+
+    weighed = per_document(F.filter(tokens("text", min_token_len), lambda t: t.isin(list(idf))), weights)
+    norm = F.sqrt(F.aggregate("found", F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"]))
+    return (weighed.select(norm.alias("norm"), F.inline("found")).where(F.col("w") > 0)
             .groupBy("term").agg(F.sum(F.col("w") / F.col("norm")).alias("tfidf"))
             .orderBy(F.desc("tfidf"), "term"))

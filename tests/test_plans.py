@@ -53,3 +53,9 @@ def test_no_unpartitioned_window_over_rows(spark, name):
             assert not unpartitioned or "pid" in first, line
     if name == "numeric_summary":
         assert seen > 0
+
+
+@pytest.mark.parametrize("name", ["tfidf_terms", "tfidf_documents", "tfidf_conversations"])
+def test_terms_are_cut_once_per_cell(spark, name):
+    plan = E.queries()[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1, plan
