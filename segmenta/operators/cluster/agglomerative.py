@@ -1,11 +1,9 @@
-"""Single-linkage clustering (M6) and its merge table (M7), exact and distributed.
+"""Agglomerative clustering (M6) and its merge table (M7), exact and distributed.
 
 * ``single_linkage_cut``: the clusters at distance t are the connected components of the graph of vectors within t.
 * ``single_linkage``: ``n_clusters`` clusters, by cutting the heaviest edges of the minimum spanning tree.
-* ``merge_table``: the last merges, which are the heaviest edges of that tree.
-
-Ward, average and complete linkage need merges one after the other over all pair distances, which is a job for one
-machine; they are not offered.
+* ``merge_table``: the last merges; under single linkage, the heaviest edges of that tree.
+* ``agglomerative``: ``n_clusters`` clusters under Ward, average, complete (``linkage``) or single linkage.
 """
 
 from __future__ import annotations
@@ -17,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ...session import materialize
 from . import blocks as B
+from . import linkage as LK
 from .components import connected_components, dense_numbering
 
 
@@ -99,9 +98,50 @@ def single_linkage(df: DataFrame, features: list[str], n_clusters: int = 4, key:
     return _labelled(rows, vec, kept.select(F.col("lo").alias("src"), F.col("hi").alias("dst")), key, label_col)
 
 
-def merge_table(df: DataFrame, features: list[str], last: int = 19, key: str = "id") -> DataFrame:
+def agglomerative(df: DataFrame, features: list[str], n_clusters: int = 4, linkage: str = "ward", key: str = "id",
+                  label_col: str = "Cluster", block: int = LK.BLOCK, local: int = LK.LOCAL) -> DataFrame:
+    """M6: (key, label bigint) of ``n_clusters`` clusters, numbered by smallest key.
+
+    Rows without a complete vector have no label; equal vectors share one.  Fewer distinct vectors than clusters is an error.
+    """
+    if linkage == "single":
+        return single_linkage(df, features, n_clusters, key, label_col)
+    rows = B.complete_rows(df, features, key)
+    vec = B.distinct_vectors(rows, key)
+    if vec.limit(n_clusters).count() < n_clusters:
+        raise ValueError("not enough distinct records for the requested number of clusters")
+    tree = LK.merges(vec, linkage, block, local)
+    top = _last(tree, n_clusters - 1)
+    kept = tree.join(top, ["distance", "level", "lo", "hi"], "left_anti")
+    return _labelled(rows, vec, kept.select(F.col("lo").alias("src"), F.col("hi").alias("dst")), key, label_col)
+
+
+def _last(tree: DataFrame, n: int) -> DataFrame:
+    return tree.orderBy(F.desc("distance"), F.desc("level"), F.desc("lo"), F.desc("hi")).limit(n)
+
+
+def merge_table(df: DataFrame, features: list[str], last: int = 19, key: str = "id", linkage: str = "single",
+                block: int = LK.BLOCK, local: int = LK.LOCAL) -> DataFrame:
     """M7: the ``last`` merges of distinct vectors: (step from 0, left, right, distance, size).
 
+    ``left`` < ``right`` are the smallest keys of the merged clusters, ``size`` the rows of the new one.  Of merges at one
+    distance, those that build on others come after them.  Only these ``last`` rows reach the driver.
+    """
+    if linkage == "single":
+        return single_linkage_merges(df, features, last, key)
+    vec = B.distinct_vectors(B.complete_rows(df, features, key), key)
+    tree = LK.merges(vec, linkage, block, local)
+    n = tree.count()
+    top = sorted(_last(tree, last).collect(), key=lambda r: (r["distance"], r["level"], r["lo"], r["hi"]))
+    kind = vec.schema["vid"].dataType.simpleString()
+    return df.sparkSession.createDataFrame(
+        [(n - len(top) + k, r["lo"], r["hi"], r["distance"], r["size"]) for k, r in enumerate(top)],
+        f"step int, left {kind}, right {kind}, distance double, size long")
+
+
+def single_linkage_merges(df: DataFrame, features: list[str], last: int = 19, key: str = "id") -> DataFrame:
+    """M7 under single linkage: the ``last`` merges of distinct vectors: (step from 0, left, right, distance, size).
+
     ``left`` < ``right`` are the smallest keys of the merged clusters, ``size`` the rows of the new one.  Only the
     ``last`` heaviest edges and the sizes of the ``last`` + 1 clusters that they join reach the driver.
     """

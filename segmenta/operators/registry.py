@@ -21,7 +21,7 @@ from ._util import present
 from .cluster import dbscan as DB
 from .cluster import gmm as GM
 from .cluster import kmeans as KM
-from .cluster.agglomerative import single_linkage, single_linkage_cut
+from .cluster.agglomerative import agglomerative, single_linkage_cut
 
 ALGORITHMS = ("kmeans", "dbscan", "gmm", "agglomerative")
 
@@ -56,12 +56,12 @@ def train(df: DataFrame, features: list[str], algorithm: str = "kmeans", params:
         labelled, model = res.transform(df, label_col), res
         metrics["BIC"], metrics["AIC"] = res.bic, res.aic
     elif algorithm == "agglomerative":
-        if params.get("linkage", "single") != "single":
-            raise ValueError("agglomerative: only single linkage is offered")
         if "distance" in params:
+            if params.get("linkage", "single") != "single":
+                raise ValueError("agglomerative: a cut distance goes with single linkage")
             labels = single_linkage_cut(df, feats, params["distance"], key, label_col)
         else:
-            labels = single_linkage(df, feats, params.get("n_clusters", 4), key, label_col)
+            labels = agglomerative(df, feats, params.get("n_clusters", 4), params.get("linkage", "ward"), key, label_col)
         labelled = df.join(labels, key, "left")
     else:
         raise ValueError(f"unknown algorithm: {algorithm}")
