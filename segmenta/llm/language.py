@@ -4,6 +4,9 @@ Each language has a probability for every piece of a fixed public vocabulary.  A
 the sum over all ways to cut it into pieces, by the forward algorithm; chunks (white space, then a word) are
 independent, so it is computed once per distinct chunk of a batch.
 
+Chunks of any length are summed whole, with a scale that follows the running total (``lattice``); a text longer than
+``SLICE`` is worked through in runs of chunks.  A row's result depends on the model and its own text alone.
+
 Learning is one expectation step over *all* training rows: under equal piece probabilities, forward and backward sums
 give each chunk's expected piece counts, which are added up by (language, piece).  The table that results is bounded by
 vocabulary times languages; it is what the driver sees and sends out.
@@ -24,13 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .lattice import BLOCK, Lattice, pieces
-from .textarrays import distinct_chunks, small_batches, text_rows, text_slices
+from .lattice import Lattice, Pieces, pieces
+from .textarrays import distinct_chunks, segments, small_batches, text_rows, text_slices
 
 UND = "und"
 FALLBACK = 1e-7  # probability of a character outside the vocabulary
 SMOOTH = 200.0  # pieces' worth of the all-language distribution mixed into each language
-SCALE = 64.0  # per character: keeps sums over up to BLOCK characters near 1
+FLOOR = 1e-9  # least probability of a vocabulary piece, seen or not
+SCALE = 64.0  # per character: keeps sums over a few characters near 1
 FIXED = float(1 << 20)  # expected counts are summed as whole multiples of 1/FIXED, so that order does not matter
 SLICE = 3 << 19  # bytes of text worked on at once: the arrays made from them take about 60 times as much
 
@@ -41,10 +45,20 @@ def folded(text: pa.Array) -> pa.Array:
 
 
 def chunk_lattice(path: str, text: pa.Array):
-    chunks, codes, _, ptr = distinct_chunks(text, max_len=BLOCK)
+    chunks, codes, _, ptr = distinct_chunks(text)
     return Lattice(pieces(path), chunks, escape=False), codes, ptr
 
 
+def piece_shares(vocab: Pieces, lat: Lattice) -> np.ndarray:
+    """Probability that a segmentation of the edge's string uses the edge, under equal piece probabilities."""
+    w = np.where(lat.ids < vocab.size, SCALE / len(vocab.plain), FALLBACK * SCALE)
+    w = w * SCALE ** (lat.dst - lat.src - 1)
+    (alpha, up), (beta, down) = lat.forward(w), lat.backward(w)
+    end = lat.first + lat.length
+    total = np.log(alpha[end]) + up[end]
+    return alpha[lat.src] * w * beta[lat.dst] * np.exp(up[lat.src] + down[lat.dst] - total[lat.owner])
+
+
 def expected_counts(train: DataFrame, vocab_path: str) -> DataFrame:
     """``lang, piece, n``: expected uses of each piece (in 1/FIXED) over all rows of ``train(id, text, lang)``."""
 
@@ -52,21 +66,17 @@ def expected_counts(train: DataFrame, vocab_path: str) -> DataFrame:
         vocab = pieces(vocab_path)
         sums: dict[str, np.ndarray] = {}
         for b in text_slices(batches, SLICE):
-            lat, codes, ptr = chunk_lattice(vocab_path, folded(b.column("text")))
-            if not len(codes):
-                continue
-            w = np.where(lat.ids < vocab.size, SCALE / len(vocab.plain), FALLBACK * SCALE)
-            w = w * SCALE ** (lat.dst - lat.src - 1)
-            alpha, beta = lat.forward(w), lat.backward(w)
-            total = alpha[lat.first + lat.length]
-            share = alpha[lat.src] * w * beta[lat.dst] / total[lat.owner]
             langs = np.array(b.column("lang").to_pylist(), object)
-            of_chunk = np.repeat(langs, np.diff(ptr))
-            del w, alpha, beta, total
-            for lang in set(langs):
-                uses = np.bincount(codes[of_chunk == lang], minlength=len(lat.length))
-                n = np.bincount(lat.ids, weights=share * uses[lat.owner], minlength=vocab.size + 1)
-                sums[lang] = sums.get(lang, 0) + n
+            for text, _ in segments(folded(b.column("text")), SLICE):
+                lat, codes, ptr = chunk_lattice(vocab_path, text)
+                if not len(codes):
+                    continue
+                share = piece_shares(vocab, lat)
+                of_chunk = np.repeat(langs, np.diff(ptr))
+                for lang in set(langs):
+                    uses = np.bincount(codes[of_chunk == lang], minlength=len(lat.length))
+                    n = np.bincount(lat.ids, weights=share * uses[lat.owner], minlength=vocab.size + 1)
+                    sums[lang] = sums.get(lang, 0) + n
         for lang, n in sums.items():
             at = np.flatnonzero(n[:vocab.size] > 0)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at), pa.array(np.rint(n[at] * FIXED).astype(np.int64))],
@@ -84,14 +94,17 @@ class Model:
 
     def loglik(self, text: pa.Array) -> np.ndarray:
         """Rows by languages; the constant of SCALE is the same for all languages."""
-        lat, codes, ptr = chunk_lattice(self.vocab_path, folded(text))
         out = np.zeros((len(text), len(self.languages)))
-        stretch = SCALE ** (lat.dst - lat.src)
-        for k in range(len(self.languages)):
-            alpha = lat.forward(self.prob[k][lat.ids] * stretch)
-            per = np.log(alpha[lat.first + lat.length])
-            c = np.concatenate([[0.0], np.cumsum(per[codes])])
-            out[:, k] = c[ptr[1:]] - c[ptr[:-1]]
+        for part, _ in segments(folded(text), SLICE):
+            lat, codes, ptr = chunk_lattice(self.vocab_path, part)
+            if not len(codes):
+                continue
+            stretch = SCALE ** (lat.dst - lat.src)
+            row, end = np.repeat(np.arange(len(text)), np.diff(ptr)), lat.first + lat.length
+            for k in range(len(self.languages)):
+                alpha, scale = lat.forward(self.prob[k][lat.ids] * stretch)
+                per = np.log(alpha[end]) + scale[end]
+                out[:, k] += np.bincount(row, weights=per[codes], minlength=len(text))
         return out
 
     def label(self, text: pa.Array) -> tuple[pa.Array, pa.Array]:
@@ -116,7 +129,7 @@ def fit(train: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str
     known[vocab.plain] = 0.01
     all_ = count.sum(axis=0) + known
     prob = count + SMOOTH * all_ / max(all_.sum(), 1e-9)
-    prob = prob / np.maximum(prob.sum(axis=1, keepdims=True), 1e-300)
+    prob = np.maximum(prob / np.maximum(prob.sum(axis=1, keepdims=True), 1e-300), FLOOR)
     return Model(languages, np.hstack([prob, np.full((len(languages), 1), FALLBACK)]), vocab_path)
 
 

@@ -1,8 +1,9 @@
-"""The piece lattice of short strings over a fixed public vocabulary, as flat numpy arrays.
+"""The piece lattice of strings of any length over a fixed public vocabulary, as flat numpy arrays.
 
 Every vocabulary piece that matches at a position is an edge; a character that is no piece by itself gets an edge of
-its own (``fallback``), so a path always exists.  Texts are read in chunks of at most ``BLOCK`` bytes, which pieces
-do not cross: that is part of the model's definition and keeps products of probabilities within a double's range.
+its own (``fallback``), so a path always exists.  Sums over all segmentations are kept as a number and the logarithm of a
+scale per node; every ``STEP`` characters a string's scale is set to its running total, so that no length leaves a double's
+range.  A string's sums do not depend on the strings beside it.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import pyarrow as pa
 
 from .textarrays import mix
 
-BLOCK = 64
+STEP = 8  # characters between two settings of a string's scale
 MARK = "▁"  # stands for a blank in the vocabulary
 
 
@@ -136,34 +137,65 @@ class Lattice:
             ids.append(piece[hit])
         reach = np.repeat(np.array(reach, np.int32), list(map(len, chars)))
         chars, ids = np.concatenate(chars), np.concatenate(ids)
-        end_depth = (depth[chars] + reach).astype(np.uint16)
+        kind = np.uint16 if self.length.max(initial=0) < 1 << 16 else np.uint32
+        end_depth = (depth[chars] + reach).astype(kind)
         order = np.argsort(end_depth, kind="stable")
         self.src, self.ids = node[chars[order]], ids[order]
         self.dst = self.src + reach[order]
         self.owner = owner[chars[order]]  # string of each edge
-        self.start_depth = end_depth[order] - reach[order]
+        self.start_depth = (end_depth[order] - reach[order]).astype(kind)
         self.node_of_char = node
         self.bounds = np.concatenate([[0], np.cumsum(np.bincount(end_depth)[1:])]) if len(ids) else np.zeros(1, int)
 
-    def forward(self, weight: np.ndarray) -> np.ndarray:
-        """Sum over all segmentations up to each node, given a weight per edge (1 at the start of a string)."""
-        alpha = np.zeros(self.nodes)
+    @staticmethod
+    def add_up(own: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(strings, their sums of ``x``, place of each edge's string among them)."""
+        if len(own) * 8 > own.max() + 1:
+            total = np.bincount(own, weights=x)
+            return np.arange(len(total)), total, own
+        strings, at = np.unique(own, return_inverse=True)
+        return strings, np.bincount(at, weights=x), at
+
+    def forward(self, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sum over all segmentations up to each node, given a weight per edge (1 at the start of a string), over a scale; the scale's logarithm."""
+        alpha, scale = np.zeros(self.nodes), np.zeros(self.nodes)
         alpha[self.first] = 1.0
-        for a, b in zip(self.bounds[:-1], self.bounds[1:], strict=True):
-            own = self.owner[a:b]
-            total = np.bincount(own, weights=alpha[self.src[a:b]] * weight[a:b])
-            alpha[self.dst[a:b]] = total[own]
-        return alpha
-
-    def backward(self, weight: np.ndarray) -> np.ndarray:
-        """Sum over all segmentations from each node to the end of its string."""
-        beta = np.zeros(self.nodes)
+        now = np.zeros(len(self.length))
+        for d, (a, b) in enumerate(zip(self.bounds[:-1], self.bounds[1:], strict=True), 1):
+            own, src = self.owner[a:b], self.src[a:b]
+            if not len(own):
+                continue
+            x = alpha[src] * weight[a:b]
+            if d > STEP:
+                x *= np.exp(scale[src] - now[own])
+            strings, total, at = self.add_up(own, x)
+            if d % STEP == 0:
+                met = total > 0
+                now[strings[met]] += np.log(total[met])
+                total[met] = 1.0
+            alpha[self.dst[a:b]] = total[at]
+            if d >= STEP:
+                scale[self.dst[a:b]] = now[own]
+        return alpha, scale
+
+    def backward(self, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sum over all segmentations from each node to the end of its string, over a scale; the scale's logarithm."""
+        beta, scale = np.zeros(self.nodes), np.zeros(self.nodes)
         beta[self.first + self.length] = 1.0
-        order = np.argsort(self.start_depth.astype(np.uint16), kind="stable")
+        now = np.zeros(len(self.length))
+        order = np.argsort(self.start_depth, kind="stable")
         ends = np.cumsum(np.bincount(self.start_depth)) if len(order) else np.zeros(0, int)
         for d in range(len(ends) - 1, -1, -1):
             edges = order[ends[d - 1] if d else 0:ends[d]]
-            own = self.owner[edges]
-            total = np.bincount(own, weights=beta[self.dst[edges]] * weight[edges])
-            beta[self.src[edges]] = total[own]
-        return beta
+            if not len(edges):
+                continue
+            own, dst = self.owner[edges], self.dst[edges]
+            x = beta[dst] * weight[edges] * np.exp(scale[dst] - now[own])
+            strings, total, at = self.add_up(own, x)
+            left = self.length[strings] - d
+            met = (left > 0) & (left % STEP == 0) & (total > 0)
+            now[strings[met]] += np.log(total[met])
+            total[met] = 1.0
+            beta[self.src[edges]] = total[at]
+            scale[self.src[edges]] = now[own]
+        return beta, scale

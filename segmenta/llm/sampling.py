@@ -4,7 +4,8 @@ A segmentation of a text is drawn from the piece lattice with probability propor
 ``exp(alpha * score)`` of its pieces: forward sums filter, then pieces are drawn backward from the end of every chunk.
 The random numbers are a hash of the seed, the row key and the byte position, so a row gets the same segmentation in
 any batch, partition or retry.  A character that is no piece is spelled in the vocabulary's byte pieces, and so is a
-literal mark, so decoding gives back the exact bytes.  Forward sums are made once per distinct chunk of a batch.
+literal mark, so decoding gives back the exact bytes.  Forward sums are made once per distinct chunk of a batch; chunks of any
+length are drawn whole.
 
 No blank is added in front and nothing is normalised.  Null text is the empty text (no ids); rows that repeat with one
 key get one segmentation; an empty table gives no rows; extra columns are ignored.
@@ -20,8 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .lattice import BLOCK, MARK, Lattice, Pieces, pieces
-from .textarrays import distinct_chunks, mix, ragged_take, text_bytes, text_rows, text_slices
+from .lattice import MARK, Lattice, Pieces, pieces
+from .textarrays import distinct_chunks, mix, ragged_take, segments, text_bytes, text_rows, text_slices
 
 SLICE = 3 << 20  # bytes of text worked on at once: the arrays made from them take about 60 times as much
 
@@ -39,21 +40,35 @@ def uniform(row: np.ndarray, position: np.ndarray) -> np.ndarray:
 
 
 def sample_rows(vocab: Pieces, keys: np.ndarray, text: pa.Array, alpha: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ptr, ids) of one sampled segmentation per row."""
-    chunks, codes, starts, rows = distinct_chunks(text, max_len=BLOCK)
+    """(ptr, ids) of one sampled segmentation per row; a text longer than ``SLICE`` is drawn in runs of chunks.
+
+    ``alpha`` times the vocabulary's size is at most 75: products of a few pieces' weights have to stay above a double's least.
+    """
+    if alpha * vocab.size > 75:
+        raise ValueError(f"alpha may be at most {75 / vocab.size:.2g} for this vocabulary")
+    parts = [sample_part(vocab, keys, part, alpha, seed, first) for part, first in segments(text, SLICE)]
+    if len(parts) == 1:
+        return parts[0]
+    ids = np.concatenate([x for _, x in parts])
+    return np.array([0, len(ids)]), ids
+
+
+def sample_part(vocab: Pieces, keys: np.ndarray, text: pa.Array, alpha: float, seed: int, first: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ptr, ids) of one sampled segmentation per row; rows begin at byte ``first`` of their texts."""
+    chunks, codes, starts, rows = distinct_chunks(text)
     if not len(codes):
         return np.zeros(len(text) + 1, np.int64), np.zeros(0, np.int64)
     b, off = text_bytes(text)
     lat = Lattice(vocab, chunks, escape=True)
     weight = np.exp(alpha * np.append(vocab.score, -vocab.size))[lat.ids]
-    forward = lat.forward(weight)
+    forward, scale = lat.forward(weight)
     order = np.argsort(lat.dst, kind="stable")
     src, dst, ids = lat.src[order], lat.dst[order], lat.ids[order]
-    share = forward[src] * weight[order] / forward[dst]
+    share = forward[src] * weight[order] / forward[dst] * np.exp(scale[src] - scale[dst])
     into = np.concatenate([[0], np.cumsum(np.bincount(dst, minlength=lat.nodes))])  # edges into node v: into[v] .. into[v+1]
     row_of = np.repeat(np.arange(len(text)), np.diff(rows))
     row = row_hash(seed, keys)[row_of]
-    place = (starts - off[row_of]) * (BLOCK + 1)
+    place = first + starts - off[row_of]  # a chunk has no more characters than bytes, so its places are its own
     home = lat.first[codes]
     node = home + lat.length[codes]
     live = np.arange(len(codes))

@@ -16,13 +16,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BATCH_ROWS = 4000
+BATCH_BYTES = 16 << 20
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """Have the session send texts to Python in batches of at most ``BATCH_ROWS`` rows: they count in JVM and worker alike."""
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(key, "10000")) <= BATCH_ROWS:
-        conf.set(key, str(BATCH_ROWS))
+    """Have the session send texts to Python in batches of at most ``BATCH_ROWS`` rows and about ``BATCH_BYTES``: they count in JVM and worker alike.
+
+    The settings are read when the job runs, so they stay; smaller ones of the caller's are kept.
+    """
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        given = conf.get(key, None) or ""
+        if not (given.isdigit() and 0 < int(given) <= most):
+            conf.set(key, str(most))
     return df
 
 
@@ -46,6 +52,21 @@ def text_slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20, col
     give_back()
 
 
+def segments(text: pa.Array, max_bytes: int) -> Iterator[tuple[pa.Array, int]]:
+    """(rows, first byte) of ``text`` as it is, or of one long row cut between chunks into rows of about ``max_bytes``, one at a time."""
+    b, off = text_bytes(text)
+    if len(text) != 1 or len(b) <= max_bytes:
+        yield text, 0
+        return
+    cuts = np.append(chunk_cuts(b, off), len(b))
+    start = 0
+    while start < len(b):
+        k = int(np.searchsorted(cuts, start + max_bytes, side="right")) - 1
+        end = int(cuts[k]) if cuts[k] > start else int(cuts[k + 1])
+        yield pa.Array.from_buffers(pa.large_string(), 1, [None, pa.py_buffer(np.array([start, end])), pa.py_buffer(b)]), start
+        start = end
+
+
 def give_back() -> None:
     """Return freed memory to the system at the end of a task: workers stay, and several share an executor's allowance."""
     pa.default_memory_pool().release_unused()

@@ -265,10 +265,11 @@ def test_forward_and_backward_sum_all_segmentations():
     weight = np.exp(2e-4 * np.append(vocab.score, -vocab.size))
     words = [" the", " Tion", "été", "x▁y", " ", "zq日", ""]
     lat = lattice.Lattice(vocab, pa.array(words, pa.large_string()), True)
-    f, b = lat.forward(weight[lat.ids]), lat.backward(weight[lat.ids])
+    (f, up), (b, down) = lat.forward(weight[lat.ids]), lat.backward(weight[lat.ids])
     for i, w in enumerate(words):
         want = sum(x for _, x in segmentations(w, vocab, weight, known))
-        assert f[lat.first[i] + lat.length[i]] == pytest.approx(want) and b[lat.first[i]] == pytest.approx(want)
+        end = lat.first[i] + lat.length[i]
+        assert f[end] * np.exp(up[end]) == pytest.approx(want) and b[lat.first[i]] * np.exp(down[lat.first[i]]) == pytest.approx(want)
 
 
 def test_language_held_out_accuracy(spark, medium):
