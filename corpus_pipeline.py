@@ -23,7 +23,7 @@ MIN_SCORE = 0.5  # posterior that a document's language must reach
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or whose language stays open, go; ``lang`` becomes the predicted language."""
     found = language.label(docs.select(*COLUMNS), language.learn(docs, PIECES))
-    known = found.where((F.col("lang_pred") != language.UND) & (F.col("score") >= MIN_SCORE))
+    known = found.where((F.col("lang_pred") != language.UND) & F.col("score").between(MIN_SCORE, 1.0))
     return known.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
