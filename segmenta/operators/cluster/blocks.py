@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...session import materialize
@@ -34,12 +34,12 @@ def distinct_vectors(rows: DataFrame, key: str) -> DataFrame:
     return materialize(rows.groupBy("v").agg(F.min(key).alias("vid"), F.count(F.lit(1)).alias("w")), "vectors")
 
 
-def tiles(vec: DataFrame, n_dims: int, eps: float, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """``vec`` with its ``block``, and the pairs (a, b), a <= b, of blocks that can hold vectors within ``eps``.
+def grid(vec: DataFrame, n_dims: int, eps: float, block: int = BLOCK) -> tuple[DataFrame, list[str]]:
+    """``vec`` with its tile's place in the columns that are named.
 
     Tiles lie on a grid over the (up to 3) widest dimensions.  Their side is at least eps, so that a partner lies in the
     same or a neighbouring tile (a distance in some dimensions never exceeds the whole one), and wide enough for about
-    ``block`` vectors in evenly spread data; a tile that holds more is split by hash.
+    ``block`` vectors in evenly spread data.
     """
     row = vec.agg(F.count(F.lit(1)).alias("n"), *[F.min(F.col("v")[k]).alias(f"lo{k}") for k in range(n_dims)],
                   *[F.max(F.col("v")[k]).alias(f"hi{k}") for k in range(n_dims)]).first()
@@ -50,19 +50,28 @@ def tiles(vec: DataFrame, n_dims: int, eps: float, block: int = BLOCK) -> tuple[
     side = [max(eps, span[k] / per_dim) * (1 + 1e-9) or 1.0 for k in dims]
     cells = [F.floor((F.col("v")[k] - F.lit(row[f"lo{k}"] or 0.0)) / F.lit(s)).alias(f"c{p}")
              for p, (k, s) in enumerate(zip(dims, side, strict=True))]
-    names = [f"c{p}" for p in range(len(dims))]
-    placed = vec.select("*", *cells)
+    return vec.select("*", *cells), [f"c{p}" for p in range(len(dims))]
+
+
+def neighbours(blocks: DataFrame, names: list[str], name: Column, *more: str) -> DataFrame:
+    """Pairs (a, b), a <= b, of blocks in the same or neighbouring tiles; ``more`` columns of both as a_..., b_...."""
+    steps = F.array(*[F.array(*[F.lit(o) for o in step]) for step in itertools.product((-1, 0, 1), repeat=len(names))])
+    left = blocks.select(name.alias("a"), *names, F.explode(steps).alias("step"), *[F.col(c).alias(f"a_{c}") for c in more])
+    left = left.select("a", *[(F.col(c) + F.col("step")[p]).alias(c) for p, c in enumerate(names)], *[f"a_{c}" for c in more])
+    right = blocks.select(name.alias("b"), *names, *[F.col(c).alias(f"b_{c}") for c in more])
+    return left.join(right, names).where(F.col("a") <= F.col("b")).drop(*names)
+
+
+def tiles(vec: DataFrame, n_dims: int, eps: float, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """``vec`` with its ``block``, and the pairs (a, b), a <= b, of blocks that can hold vectors within ``eps``; a tile of more than ``block`` vectors is split by hash."""
+    placed, names = grid(vec, n_dims, eps, block)
     held = placed.groupBy(*names).agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("long").alias("parts"))
     held = materialize(held, "tiles")
     own = F.concat_ws(",", *names, F.col("part"))
     placed = (placed.join(held, names).withColumn("part", F.pmod(F.xxhash64("vid"), F.col("parts")))
               .select(*vec.columns, own.alias("block")))
     blocks = held.select(*names, F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-    steps = F.array(*[F.array(*[F.lit(o) for o in step]) for step in itertools.product((-1, 0, 1), repeat=len(dims))])
-    left = blocks.select(own.alias("a"), *names, F.explode(steps).alias("step"))
-    left = left.select("a", *[(F.col(c) + F.col("step")[p]).alias(c) for p, c in enumerate(names)])
-    pairs = left.join(blocks.select(own.alias("b"), *names), names).where(F.col("a") <= F.col("b")).select("a", "b")
-    return materialize(placed, "blocked"), materialize(pairs, "block-pairs")
+    return materialize(placed, "blocked"), materialize(neighbours(blocks, names, own), "block-pairs")
 
 
 def all_pairs(vec: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
@@ -99,7 +108,7 @@ def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.sqrt(total)
 
 
-def _reach(x: np.ndarray, y: np.ndarray, eps: float) -> np.ndarray:
+def reach(x: np.ndarray, y: np.ndarray, eps: float) -> np.ndarray:
     """Which of ``x`` may lie within eps of the box around ``y``."""
     gap = np.maximum(np.maximum(y.min(axis=0) - x, x - y.max(axis=0)), 0.0)
     return np.sqrt((gap * gap).sum(axis=1)) <= eps * (1 + 1e-9)
@@ -112,7 +121,7 @@ def close(left: pd.DataFrame, right: pd.DataFrame | None, eps: float):
         return left, left, distances(x, x) <= eps
     if len(left) and len(right):
         x, y = matrix(left), matrix(right)
-        left, right = left[_reach(x, y, eps)], right[_reach(y, x, eps)]
+        left, right = left[reach(x, y, eps)], right[reach(y, x, eps)]
     if not len(left) or not len(right):
         return left.iloc[:0], right.iloc[:0], np.zeros((0, 0), dtype=bool)
     return left, right, distances(matrix(left), matrix(right)) <= eps

@@ -230,3 +230,38 @@ def test_save_load_classify_roundtrip(spark, scratch):
 def test_dispatch_unknown_algorithm(spark):
     with pytest.raises(ValueError):
         RG.train(_pts(spark, [(0, 0)]), ["x", "y"], "spectral")
+
+
+@pytest.mark.parametrize("eps,min_samples", [(0.35, 4), (0.9, 30), (3.0, 4)])
+def test_dbscan_with_crowded_cells(spark, eps, min_samples):
+    """Cells of a few vectors already count as crowded, and blocks are small: labels stay those of brute force."""
+    rng = np.random.default_rng(11)
+    X = np.round(np.vstack([rng.normal(0, 0.15, (120, 2)), rng.normal(1.2, 0.1, (60, 2)), rng.uniform(-3, 4, (60, 2)), [[0.0, 0.0]] * 40]), 2)
+    df = _pts(spark, X.tolist())
+    got = {r["id"]: r["Cluster"] for r in DB.dbscan(df, ["x", "y"], eps, min_samples, block=16, crowd=6).collect()}
+    assert [got[i + 1] for i in range(len(X))] == list(_brute_dbscan(X, eps, min_samples))
+
+
+def test_crowded_cells_apart_are_compared_whole(spark):
+    """Two crowded cells whose only near pair lies outside the blocks tried first."""
+    rng = np.random.default_rng(12)
+    a, b = rng.uniform(0, 0.5, (80, 1)), rng.uniform(1.55, 1.95, (80, 1))
+    X = np.hstack([np.vstack([a, b, [[0.69]], [[1.68]]]), np.zeros((162, 1))])
+    for eps in (1.0, 0.9):
+        got = {r["id"]: r["Cluster"] for r in DB.dbscan(_pts(spark, X.tolist()), ["x", "y"], eps, 5, block=8, crowd=6).collect()}
+        assert [got[i + 1] for i in range(len(X))] == list(_brute_dbscan(X, eps, 5))
+
+
+def test_a_crowd_is_linear(spark):
+    """90 % of the rows in one cell: block pairs grow with the rows, not with their square."""
+    from segmenta.operators.cluster.crowds import crowded_tiles
+
+    sizes = []
+    for n in (4000, 16000):
+        df = spark.range(n).select("id", F.when(F.col("id") % 10 > 0, F.rand(1) * 0.1).otherwise(5 + F.rand(2) * 100).alias("x"),
+                                   F.when(F.col("id") % 10 > 0, F.rand(3) * 0.1).otherwise(5 + F.rand(4) * 100).alias("y"))
+        vec = BL.distinct_vectors(BL.complete_rows(df, ["x", "y"], "id"), "id")
+        blocked, pairs, crowds = crowded_tiles(vec, 2, 1.0, 5, block=128)
+        assert blocked.where("crowded").count() == n * 9 // 10 and crowds.count() == 0
+        sizes.append(pairs.count())
+    assert sizes[1] <= 5 * sizes[0]
