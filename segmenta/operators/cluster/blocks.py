@@ -95,6 +95,24 @@ def over_pairs(blocked: DataFrame, pairs: DataFrame, work: Callable, schema: str
     return first.unionByName(second).groupBy("a", "b").applyInPandas(run, schema)
 
 
+def over_grid(asks: DataFrame, rows: DataFrame, work: Callable, schema: str) -> DataFrame:
+    """``work(asks of a block, rows of a block)`` for every pair of their blocks (numbered from 0)."""
+    last = [f.agg(F.max("block").alias("m")).first()["m"] for f in (asks, rows)]
+    if None in last:
+        return asks.sparkSession.createDataFrame([], schema)
+
+    def run(cell: pd.DataFrame) -> pd.DataFrame:
+        left, right = cell[cell["side"] == 0], cell[cell["side"] == 1]
+        if not len(left) or not len(right):
+            return pd.DataFrame({c.split()[0]: [] for c in schema.split(", ")})
+        return work(left.reset_index(drop=True), right.reset_index(drop=True))
+
+    numbers = [F.sequence(F.lit(0).cast("long"), F.lit(m).cast("long")) for m in last]
+    left = asks.withColumn("side", F.lit(0)).withColumnRenamed("block", "a").withColumn("b", F.explode(numbers[1]))
+    right = rows.withColumn("side", F.lit(1)).withColumnRenamed("block", "b").withColumn("a", F.explode(numbers[0]))
+    return left.unionByName(right).groupBy("a", "b").applyInPandas(run, schema)
+
+
 def matrix(frame: pd.DataFrame) -> np.ndarray:
     return np.array(frame["v"].tolist(), dtype=np.float64).reshape(len(frame), -1)
 

@@ -89,24 +89,6 @@ def _member_cell(kind: str, everything: bool):
     return work
 
 
-def _over_grid(asks: DataFrame, rows: DataFrame, work, schema: str) -> DataFrame:
-    """``work(asks of a block, rows of a block)`` for every pair of their blocks (numbered from 0)."""
-    last = [f.agg(F.max("block").alias("m")).first()["m"] for f in (asks, rows)]
-    if None in last:
-        return asks.sparkSession.createDataFrame([], schema)
-
-    def run(cell: pd.DataFrame) -> pd.DataFrame:
-        left, right = cell[cell["side"] == 0], cell[cell["side"] == 1]
-        if not len(left) or not len(right):
-            return pd.DataFrame({c.split()[0]: [] for c in schema.split(", ")})
-        return work(left.reset_index(drop=True), right.reset_index(drop=True))
-
-    numbers = [F.sequence(F.lit(0).cast("long"), F.lit(m).cast("long")) for m in last]
-    left = asks.withColumn("side", F.lit(0)).withColumnRenamed("block", "a").withColumn("b", F.explode(numbers[1]))
-    right = rows.withColumn("side", F.lit(1)).withColumnRenamed("block", "b").withColumn("a", F.explode(numbers[0]))
-    return left.unionByName(right).groupBy("a", "b").applyInPandas(run, schema)
-
-
 def _dealt(rows: DataFrame, n: int, block: int) -> DataFrame:
     return rows.withColumn("block", F.pmod(F.xxhash64("cid"), F.lit(max(1, -(-n // block))).cast("long")))
 
@@ -132,13 +114,13 @@ def nearest_clusters(linkage: str, asks: DataFrame, clusters: DataFrame, members
     """``cid, gap, other`` for the clusters of ``asks(cid)``."""
     if linkage == "ward":
         rows = clusters.select("cid", "n", F.col("s").alias("v"))
-        found = _over_grid(_dealt(rows.join(asks, "cid"), asks.count(), block), _dealt(rows, n, block), _ward_cell, _found_schema(kind))
+        found = B.over_grid(_dealt(rows.join(asks, "cid"), asks.count(), block), _dealt(rows, n, block), _ward_cell, _found_schema(kind))
     else:
         rows = materialize(_placed(members, clusters, block), "linkage-members")
         own = rows.join(asks, "cid")
         blocks = own.select("block").distinct().select("block", (F.row_number().over(Window.orderBy("block")) - 1).cast("long").alias("at"))
         own = own.join(blocks, "block").drop("block").withColumnRenamed("at", "block")
-        found = _over_grid(own, rows, _member_cell(linkage, False), _found_schema(kind))
+        found = B.over_grid(own, rows, _member_cell(linkage, False), _found_schema(kind))
         found = materialize(found, "linkage-found")
         added = F.max("gap") if linkage == "complete" else F.sum("gap") / F.max("n")
         parts = found.where(~F.col("whole")).groupBy("cid", "other").agg(added.alias("gap"))
@@ -235,7 +217,7 @@ def merges(vec: DataFrame, linkage: str, block: int = BLOCK, local: int = LOCAL)
     few = clusters.select(F.lit(0).alias("side"), "cid", F.col("cid").alias("other"), "n", "s", "height", "level", F.lit(0.0).alias("total"))
     if linkage != "ward":
         rows = materialize(_placed(members, clusters, block), "linkage-members")
-        parts = _over_grid(rows, rows, _member_cell(linkage, True), _found_schema(kind))
+        parts = B.over_grid(rows, rows, _member_cell(linkage, True), _found_schema(kind))
         added = F.max("gap") if linkage == "complete" else F.sum("gap")
         # at most LOCAL * (LOCAL - 1) / 2 pairs
         sums = parts.groupBy("cid", "other").agg(added.alias("total"))

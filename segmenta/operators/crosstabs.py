@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._util import nan_as_null, present
+from .moments import both_ways, pair_moments
 
 
 def value_counts(df: DataFrame, col: str, count_col: str = "n") -> DataFrame:
@@ -37,37 +38,16 @@ def cluster_profile_long(df: DataFrame, features: list[str], cluster_col: str =
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pairwise-complete Pearson correlation of every ordered pair (col_a, col_b, corr).
 
-    One generator emits a (pair, x, y) row per unordered pair (diagonal included)
-    where both values are present; a keyed aggregate with a handful of buffer
-    fields (whole-stage codegen, partial aggregation map-side) then gives
-    covar_pop / (sd_x * sd_y) per pair.  ``try_divide`` maps a constant column to
-    null (``corr`` raises DIVIDE_BY_ZERO under ANSI).  Diagonal: 1, or null for a
-    constant or empty column.
+    One pass adds up each pair's products (``moments``).  A column that is constant where both are present, and a pair
+    without a complete row, give null; the diagonal is 1.
     """
     cols = present(df, cols)
-    df = nan_as_null(df, cols)
-    x = {c: F.col(c).cast("double") for c in cols}
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    gen = F.inline(F.array(*[F.struct(F.lit(k).alias("pair"), x[cols[i]].alias("x"), x[cols[j]].alias("y"))
-                             for k, (i, j) in enumerate(pairs)]))
-    stats = (df.select(gen).where(F.col("x").isNotNull() & F.col("y").isNotNull())
-             .groupBy("pair").agg(F.covar_pop("x", "y").alias("cov"), F.stddev_pop("x").alias("sx"),
-                                  F.stddev_pop("y").alias("sy")))
-    names_a = F.array(*[F.lit(cols[i]) for i, _ in pairs])
-    names_b = F.array(*[F.lit(cols[j]) for _, j in pairs])
-    diag = F.array(*[F.lit(i == j) for i, j in pairs])
-    a, b, is_diag = (F.element_at(names_a, F.col("pair") + 1), F.element_at(names_b, F.col("pair") + 1),
-                     F.element_at(diag, F.col("pair") + 1))
-    value = F.when(is_diag, F.when(F.col("sx") > 0, F.lit(1.0))).otherwise(
-        F.try_divide(F.col("cov"), F.col("sx") * F.col("sy")))
-    cells = stats.select(a.alias("a"), b.alias("b"), is_diag.alias("d"), value.alias("corr"))
-    both = F.when(F.col("d"), F.array(F.struct(F.col("a").alias("col_a"), F.col("b").alias("col_b")))) \
-        .otherwise(F.array(F.struct(F.col("a").alias("col_a"), F.col("b").alias("col_b")),
-                           F.struct(F.col("b").alias("col_a"), F.col("a").alias("col_b"))))
-    found = cells.select(F.explode(both).alias("k"), "corr").select("k.col_a", "k.col_b", "corr")
-    # pairs with no complete row at all still appear, with a null correlation
-    full = df.sparkSession.createDataFrame([(a_, b_) for a_ in cols for b_ in cols], "col_a string, col_b string")
-    return full.join(found, ["col_a", "col_b"], "left").select("col_a", "col_b", F.col("corr").cast("double"))
+    sums = pair_moments(df, cols)
+    n = F.col("n")
+    cov = F.col("sxy") - F.col("sx") * F.col("sy") / n
+    spread = F.sqrt(F.col("sxx") - F.col("sx") * F.col("sx") / n) * F.sqrt(F.col("syy") - F.col("sy") * F.col("sy") / n)
+    value = F.when((n > 0) & F.col("x_varies") & F.col("y_varies"), F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(cov / spread))
+    return both_ways(sums.select("i", "j", value.alias("corr")), cols, "corr")
 
 
 def cluster_sizes_shares(df: DataFrame, cluster_col: str = "Cluster", digits: int = 1) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .cluster import blocks as B
+from .filters import seeded_order
 
 
 def collapse(df: DataFrame, features: list[str], label_col: str) -> DataFrame:
@@ -57,8 +58,12 @@ def silhouette_points(df: DataFrame, features: list[str], label_col: str = "Clus
     kind = pts.schema["label"].dataType.simpleString()
     blocked, pairs = B.all_pairs(pts)
     parts = B.over_pairs(blocked, pairs, _pair_sums, f"vid long, own {kind}, w long, other {kind}, sd double")
+    return _scores(parts, pts.groupBy("label").agg(F.sum("w").alias("n")))
+
+
+def _scores(parts: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``label, w, s`` per point from partial distance sums and cluster sizes."""
     sums = parts.groupBy("vid", "own", "w", "other").agg(F.sum("sd").alias("sd"))
-    sizes = pts.groupBy("label").agg(F.sum("w").alias("n"))
     sums = sums.join(sizes, sums["other"] == sizes["label"])
     mine = F.col("own") == F.col("other")
     per = sums.groupBy("vid", "own", "w").agg(
@@ -84,6 +89,40 @@ def silhouette(df: DataFrame, features: list[str], label_col: str = "Cluster", m
                       F.when(F.col("k") > 1, F.col("v")).otherwise(F.lit(0.0)).alias("value"))
 
 
+def silhouette_sampled(df: DataFrame, features: list[str], label_col: str = "Cluster", key: str = "id", fraction: float = 0.1,
+                       seed: int = 0, block: int = B.BLOCK) -> DataFrame:
+    """M8 on a seeded sample of rows, each scored against all rows: one row (metric, value, standard_error, rows).
+
+    A row is in the sample if its key's place in the seeded order lies in the first ``fraction``, so the sample is the same in any
+    partitioning.  The standard error is that of a mean over rows drawn without replacement; at ``fraction`` 1 the value is the exact
+    one and the error 0.  Compute grows with sample times rows.
+    """
+    rows = B.complete_rows(df.where(F.col(label_col).isNotNull()), features, key, label_col).withColumnRenamed(label_col, "label")
+    pts = materialize(rows.groupBy("v", "label").agg(F.count(F.lit(1)).alias("w")).withColumn("vid", F.monotonically_increasing_id()), "silhouette-points")
+    drawn = F.conv(F.substring(seeded_order(key, seed), 1, 8), 16, 10).cast("double") < fraction * 2.0 ** 32
+    sample = rows.where(drawn).groupBy("v", "label").agg(F.count(F.lit(1)).alias("drawn"))
+    asks = materialize(pts.join(sample, ["v", "label"]), "silhouette-sample")
+    dealt = [f.withColumn("block", F.pmod(F.xxhash64("vid"), F.lit(max(1, math.ceil(f.count() / block))).cast("long"))) for f in (asks, pts)]
+
+    def work(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return _sums(left.assign(w=left["drawn"]), right, B.distances(B.matrix(left), B.matrix(right)))
+
+    kind = pts.schema["label"].dataType.simpleString()
+    wide = dealt[1].withColumn("drawn", F.lit(0).cast("long"))
+    parts = B.over_grid(dealt[0], wide, work, f"vid long, own {kind}, w long, other {kind}, sd double")
+    per = _scores(parts, pts.groupBy("label").agg(F.sum("w").alias("n")))
+    total = F.sum("w")
+    mean = F.sum(F.col("s") * F.col("w")) / total
+    square = F.sum(F.col("s") * F.col("s") * F.col("w")) / total - mean * mean
+    # of a population of N rows, n drawn: the variance of the mean is s2 / n * (1 - n / N)
+    left = F.greatest(1 - total / pts.agg(F.sum("w")).scalar(), F.lit(0.0))
+    error = F.sqrt(F.greatest(square, F.lit(0.0)) / F.greatest(total - 1, F.lit(1)) * left)
+    labels = pts.agg(F.count_distinct("label")).scalar()
+    some = (labels > 1) & (total > 0)
+    return per.agg(F.lit("silhouette_sampled").alias("metric"), F.when(some, mean).otherwise(0.0).alias("value"),
+                   F.when(some, error).otherwise(0.0).alias("standard_error"), F.coalesce(total, F.lit(0)).cast("long").alias("rows"))
+
+
 def silhouette_squared(df: DataFrame, features: list[str], label_col: str = "Cluster") -> DataFrame:
     """MLlib squared-Euclidean silhouette (O(n*k)); a different metric from the exact one."""
     from pyspark.ml.evaluation import ClusteringEvaluator

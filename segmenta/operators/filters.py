@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._util import present
@@ -72,10 +72,31 @@ def numeric_matrix(df: DataFrame, features: list[str], key: str | None = "id") -
     return df.select(*keep, *cols).dropna(subset=features)
 
 
-def scatter_series(df: DataFrame, features: list[str], cluster_col: str = "Cluster") -> DataFrame:
-    """(cluster, x, y) with x = first feature, y = second (0 if only one), nulls -> 0."""
+def seeded_order(key: str | Column, seed: int = 0) -> Column:
+    """A random-looking text per key, the same in every engine and partitioning."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), (F.col(key) if isinstance(key, str) else key).cast("string")).cast("binary"))
+
+
+def cap_per_group(df: DataFrame, group_col: str, key: str, cap: int, seed: int = 0) -> DataFrame:
+    """At most ``cap`` rows of each group: those whose key comes first in the seeded order (ties: the smallest key).
+
+    Each task keeps only ``cap`` rows per group before the shuffle.
+    """
+    if cap < 1:
+        raise ValueError("cap must be positive")
+    first = Window.partitionBy(group_col).orderBy(seeded_order(key, seed), key)
+    return df.withColumn("__rank", F.row_number().over(first)).where(F.col("__rank") <= cap).drop("__rank")
+
+
+def scatter_series(df: DataFrame, features: list[str], cluster_col: str = "Cluster", cap: int | None = None, key: str | None = None,
+                   seed: int = 0) -> DataFrame:
+    """(cluster, x, y) with x = first feature, y = second (0 if only one), nulls -> 0; with ``cap``, that many points per cluster at most."""
     if not features:
         raise ValueError("scatter_series: at least one feature is required")
+    if cap is not None:
+        if key is None:
+            raise ValueError("scatter_series: a cap needs the key that it draws by")
+        df = cap_per_group(df, cluster_col, key, cap, seed)
     x = F.coalesce(F.col(features[0]).cast("double"), F.lit(0.0))
     y = F.coalesce(F.col(features[1]).cast("double"), F.lit(0.0)) if len(features) > 1 else F.lit(0.0)
     return df.select(F.col(cluster_col).alias("cluster"), x.alias("x"), y.alias("y"))

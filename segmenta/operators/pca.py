@@ -15,7 +15,7 @@ from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import stack_rows
+from .moments import both_ways, pair_moments
 
 
 @dataclass
@@ -69,14 +69,7 @@ def pca(df: DataFrame, features: list[str], n_components: int = 3, keep: list[st
 
 
 def covariance_matrix(df: DataFrame, features: list[str]) -> DataFrame:
-    """Sample covariance of every ordered feature pair (the matrix PCA diagonalises)."""
-    aggs, rows = [], []
-    for i, a in enumerate(features):
-        for j, b in enumerate(features):
-            if j >= i:
-                aggs.append(F.covar_samp(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}_{j}"))
-    wide = df.dropna(subset=features).agg(*aggs)
-    for i, a in enumerate(features):
-        for j, b in enumerate(features):
-            rows.append({"col_a": F.lit(a), "col_b": F.lit(b), "cov": F.col(f"c{min(i, j)}_{max(i, j)}")})
-    return stack_rows(wide, rows)
+    """Sample covariance of every ordered feature pair over the complete rows (the matrix PCA diagonalises), in one pass."""
+    n = F.col("n")
+    cov = F.when(n > 1, (F.col("sxy") - F.col("sx") * F.col("sy") / n) / (n - 1))
+    return both_ways(pair_moments(df, features, complete=True).select("i", "j", cov.alias("cov")), features, "cov")

@@ -98,3 +98,87 @@ def quantiles_from_ranges(ranged: DataFrame, per_part: DataFrame, probs=(0.25, 0
                  F.max(F.when(F.col("side") == 1, F.col("value"))).alias("v1"))
             .select("column", "p", (F.col("v0") + (F.col("pos") - F.col("r0")) * (F.col("v1") - F.col("v0")))
                     .alias("value")))
+
+
+FEW = 4096  # values between two bounds from which a quantile is read off
+ACCURACY = 2000  # of the sketch: its ranks are off by at most this fraction of the values
+
+
+def bracketed_quantiles(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75)) -> DataFrame:
+    """(column, p, value) as :func:`quantiles_long`, without shuffling the values.
+
+    A mergeable rank sketch (one aggregate over all columns) brackets each quantile; a pass counts what lies below and
+    inside.  That is repeated inside the bracket until few values are left, or one value that occurs often, and these alone
+    are counted one by one.  Exact: a bracket that misses its ranks is not used.  Rows that reach the driver: bounds and counts
+    per quantile, and at most about ``FEW`` values of each.
+    """
+    from .stats import to_double
+
+    cols = present(df, cols)
+    num = df.select(*[to_double(df, c).alias(c) for c in cols])
+    sizes = num.agg(*[F.count(c).alias(f"{c}__n") for c in cols], *[F.count_if(F.isnan(c)).alias(f"{c}__nan") for c in cols]).first()
+    spots = []
+    for c in cols:
+        n, nans = sizes[f"{c}__n"], sizes[f"{c}__nan"]
+        for p in probs:
+            if n:
+                at = p * (n - 1)
+                r0 = int(at)
+                all_, none = (float("-inf"), float("inf")), (float("inf"), float("-inf"))
+                lo, hi = all_ if r0 < n - nans else none  # ranks past the numbers are those of NaN
+                spots.append({"column": c, "p": float(p), "at": at, "r0": r0, "r1": min(r0 + 1, n - 1), "numbers": n - nans,
+                              "lo": lo, "hi": hi, "below": 0, "inside": n - nans})
+    while True:
+        wide = [s for s in spots if s["inside"] > FEW and s["lo"] < s["hi"] and not s.get("stuck")]
+        if not wide:
+            break
+        _narrow(num, wide)
+    return _read_off(num, spots)
+
+
+def _inside(s: dict):
+    x = F.col(s["column"])
+    return ~F.isnan(x) & (x >= F.lit(s["lo"])) & (x <= F.lit(s["hi"]))
+
+
+def _narrow(num: DataFrame, spots: list[dict]) -> None:
+    aggs = []
+    for k, s in enumerate(spots):
+        ranks = [(s[r] - s["below"]) / s["inside"] + step * 2 / ACCURACY for r, step in (("r0", -1), ("r1", 1))]
+        bounds = F.array(*[F.lit(min(max(r, 0.0), 1.0)) for r in ranks])
+        aggs.append(F.percentile_approx(F.when(_inside(s), F.col(s["column"])), bounds, ACCURACY).alias(f"b{k}"))
+    row = num.agg(*aggs).first()
+    tries = [s | {"lo": row[f"b{k}"][0], "hi": row[f"b{k}"][1]} for k, s in enumerate(spots)]
+    counts = num.agg(*[F.count_if(~F.isnan(s["column"]) & (F.col(s["column"]) < F.lit(s["lo"]))).alias(f"below{k}") for k, s in enumerate(tries)],
+                     *[F.count_if(_inside(s)).alias(f"inside{k}") for k, s in enumerate(tries)]).first()
+    for k, (s, t) in enumerate(zip(spots, tries, strict=True)):
+        below, inside = counts[f"below{k}"], counts[f"inside{k}"]
+        holds = below <= s["r0"] and min(s["r1"], s["numbers"] - 1) < below + inside
+        if holds and inside < s["inside"]:
+            s |= {"lo": t["lo"], "hi": t["hi"], "below": below, "inside": inside}
+        else:
+            s["stuck"] = True  # values that occur often: few different ones are left
+
+
+def _read_off(num: DataFrame, spots: list[dict]) -> DataFrame:
+    schema = "column string, p double, value double"
+    if not spots:
+        return num.sparkSession.createDataFrame([], schema)
+    rows = F.array(*[F.struct(F.lit(k).alias("k"), F.when(_inside(s), F.col(s["column"])).alias("value")) for k, s in enumerate(spots)])
+    found = num.select(F.inline(rows)).where(F.col("value").isNotNull()).groupBy("k", "value").agg(F.count(F.lit(1)).alias("n"))
+    held: dict[int, list] = {}
+    for r in found.collect():
+        held.setdefault(r["k"], []).append((r["value"], r["n"]))
+    out = []
+    for k, s in enumerate(spots):
+        values = []
+        for rank in (s["r0"], s["r1"]):
+            run, value = s["below"], float("nan")
+            for v, n in sorted(held.get(k, [])):
+                run += n
+                if rank < run:
+                    value = v
+                    break
+            values.append(value)
+        out.append((s["column"], s["p"], values[0] + (s["at"] - s["r0"]) * (values[1] - values[0])))
+    return num.sparkSession.createDataFrame(out, schema)

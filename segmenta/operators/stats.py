@@ -284,9 +284,9 @@ def eda_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
         aggs += [F.count(c).alias(f"{c}__n"), F.avg(c).alias(f"{c}__mean"),
                  F.var_pop(c).alias(f"{c}__var"), F.stddev_pop(c).alias(f"{c}__sd"),
                  F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max")]
-    from .quantiles import quantiles_long
+    from .quantiles import bracketed_quantiles
 
-    med = quantiles_long(df, cols, (0.5,)).select("column", F.col("value").alias("median"))
+    med = bracketed_quantiles(df, cols, (0.5,)).select("column", F.col("value").alias("median"))
     moments = stack_rows(num.agg(*aggs), [
         {"column": F.lit(c), "n": F.col(f"{c}__n"), "mean": F.col(f"{c}__mean"),
          "variance": F.col(f"{c}__var"), "std_dev": F.col(f"{c}__sd"),
