@@ -19,6 +19,9 @@ from . import linkage as LK
 from .components import connected_components, dense_numbering
 
 
+TREE_BLOCK = 512  # smaller boxes, fewer pairs that are near enough
+
+
 def _labelled(rows: DataFrame, vec: DataFrame, edges: DataFrame, key: str, label_col: str) -> DataFrame:
     comps = connected_components(vec.select(F.col("vid").alias("id")), edges)
     numbers = dense_numbering(comps, "comp", "cl")
@@ -37,40 +40,103 @@ def single_linkage_cut(df: DataFrame, features: list[str], distance: float, key:
     return _labelled(rows, vec, edges, key, label_col)
 
 
-def _nearest_outside(left: pd.DataFrame, right: pd.DataFrame | None) -> pd.DataFrame:
-    """Each vector's nearest vector of another component in the partner block; ties to the smallest vid."""
-    def nearest(points: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        others = others.sort_values("vid")
-        gap = B.distances(B.matrix(points), B.matrix(others))
-        gap[points["comp"].to_numpy()[:, None] == others["comp"].to_numpy()[None, :]] = np.inf
-        best = gap.argmin(axis=1)
-        out = pd.DataFrame({"comp": points["comp"].to_numpy(), "distance": gap[np.arange(len(points)), best],
-                            "i": points["vid"].to_numpy(), "j": others["vid"].to_numpy()[best],
-                            "other": others["comp"].to_numpy()[best]})
-        return out[np.isfinite(out["distance"])]
+def _lightest(points: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+    """Of each component of ``points`` its lightest edge (distance, lo, hi) to another component in ``others``."""
+    others = others.sort_values("vid")
+    gap = B.distances(B.matrix(points), B.matrix(others))
+    gap[points["comp"].to_numpy()[:, None] == others["comp"].to_numpy()[None, :]] = np.inf
+    best = gap.argmin(axis=1)  # of equals the smallest vid
+    i, j = points["vid"].to_numpy(), others["vid"].to_numpy()[best]
+    out = pd.DataFrame({"comp": points["comp"].to_numpy(), "distance": gap[np.arange(len(points)), best], "lo": np.minimum(i, j), "hi": np.maximum(i, j),
+                        "other": others["comp"].to_numpy()[best]})
+    return out[np.isfinite(out["distance"])].sort_values(["comp", "distance", "lo", "hi"]).drop_duplicates("comp")
+
 
+def _edges_between(left: pd.DataFrame, right: pd.DataFrame | None) -> pd.DataFrame:
     if not len(left) or right is not None and not len(right):
         none = left["vid"].iloc[:0]
-        return pd.DataFrame({"comp": none, "distance": none.astype(float), "i": none, "j": none, "other": none})
-    if right is None:
-        return nearest(left, left)
-    return pd.concat([nearest(left, right), nearest(right, left)])
-
-
-def spanning_tree(vec: DataFrame) -> DataFrame:
+        return pd.DataFrame({"comp": none, "distance": none.astype(float), "lo": none, "hi": none, "other": none})
+    return _lightest(left, left) if right is None else pd.concat([_lightest(left, right), _lightest(right, left)])
+
+
+def _spanning_tree_of(vec: pd.DataFrame) -> pd.DataFrame:
+    """The whole tree of the vectors of one block, one vertex after the other; edges are ordered by (distance, lo, hi)."""
+    vec = vec.sort_values("vid")
+    x, vid = B.matrix(vec), vec["vid"].to_numpy()
+    n = len(vid)
+    outside = np.arange(1, n)
+    gap = B.distances(x[:1], x[1:])[0]
+    at = np.zeros(n - 1, int)
+    out = []
+    while len(outside):
+        lo, hi = np.minimum(at, outside), np.maximum(at, outside)
+        k = np.lexsort((hi, lo, gap))[0]
+        new = outside[k]
+        out.append((gap[k], vid[lo[k]], vid[hi[k]]))
+        outside, gap, at = (np.delete(z, k) for z in (outside, gap, at))
+        step = B.distances(x[[new]], x[outside])[0]
+        a_lo, a_hi = np.minimum(at, outside), np.maximum(at, outside)
+        b_lo, b_hi = np.minimum(new, outside), np.maximum(new, outside)
+        better = (step < gap) | (step == gap) & ((b_lo < a_lo) | (b_lo == a_lo) & (b_hi < a_hi))
+        gap, at = np.where(better, step, gap), np.where(better, new, at)
+    return pd.DataFrame(out, columns=["distance", "lo", "hi"])
+
+
+def _promising(state: DataFrame, inner: DataFrame, boxes: DataFrame, n_blocks: int) -> DataFrame:
+    """Pairs (a, b) of blocks that may hold a lighter edge of some component than those found inside blocks.
+
+    A component's lightest edge is no longer than the best one found inside a block (``inner``), nor than the farthest corners of
+    one of its blocks and a block of others.  A pair farther apart than the bounds of all components in either block is skipped,
+    and so is one that holds a single component.
+    """
+    infinite = F.lit(float("inf"))
+    bound = inner.groupBy("comp").agg(F.min("distance").alias("bound"))
+    held = state.select("block", "comp").distinct()
+    single = held.groupBy("block").agg(F.when(F.count(F.lit(1)) == 1, F.min("comp")).alias("single"))
+    known = boxes.join(single, "block")
+    b = known.select(*[F.col(c).alias(f"b_{c}") for c in known.columns])
+    a = known.select(*[F.col(c).alias(f"a_{c}") for c in known.columns], F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))).alias("b_block"))
+
+    def square(x):
+        return F.aggregate(x, F.lit(0.0), lambda acc, y: acc + y * y)
+
+    between = F.zip_with(F.zip_with("a_lo", "b_hi", lambda x, y: x - y), F.zip_with("b_lo", "a_hi", lambda x, y: x - y), lambda x, y: F.greatest(x, y, F.lit(0.0)))
+    across = F.zip_with(F.zip_with("a_hi", "b_lo", lambda x, y: x - y), F.zip_with("b_hi", "a_lo", lambda x, y: x - y), lambda x, y: F.greatest(x, y))
+    pairs = (a.join(b, "b_block").where((F.col("a_block") != F.col("b_block")) & (F.col("a_single").isNull() | ~F.col("a_single").eqNullSafe(F.col("b_single"))))
+             .select("a_block", "b_block", "a_single", F.sqrt(square(between)).alias("least"), F.sqrt(square(across)).alias("most")))
+    pairs = materialize(pairs, "block-distances")
+    corner = pairs.where(F.col("a_single").isNotNull()).groupBy(F.col("a_single").alias("comp")).agg(F.min("most").alias("corner"))
+    limits = (held.join(bound, "comp", "left").join(corner, "comp", "left")
+              .groupBy("block").agg(F.max(F.least(F.coalesce("bound", infinite), F.coalesce("corner", infinite))).alias("limit")))
+    # a hair wider, for rounding
+    near = pairs.join(limits, F.col("a_block") == F.col("block")).where(F.col("least") <= F.col("limit") * (1 + 1e-9))
+    return near.select(F.least("a_block", "b_block").alias("a"), F.greatest("a_block", "b_block").alias("b")).distinct()
+
+
+def spanning_tree(vec: DataFrame, block: int = TREE_BLOCK, local: int = B.BLOCK, report: list | None = None) -> DataFrame:
     """Minimum spanning tree (distance, lo, hi) of the distinct vectors, by Borůvka's rounds.
 
     In every round each component takes its lightest outgoing edge in the order (distance, lo, hi); at least half of the
-    components go.  Compute is quadratic in the distinct vectors per round; a round gives one row per vector and block.
+    components go.  Blocks are boxes of neighbouring vectors; a round looks inside each block and then only at pairs of blocks whose
+    boxes are near enough to matter.  A round gives at most one row per component and pair of blocks.  At most ``local`` vectors
+    are one block, whose tree one task makes.  ``report`` gets the pairs met and all pairs of each round.
     """
     kind = vec.schema["vid"].dataType.simpleString()
-    blocked, pairs = B.all_pairs(vec)
-    comps = vec.select("vid", F.col("vid").alias("comp"))
     tree = vec.select(F.lit(0.0).alias("distance"), F.col("vid").alias("lo"), F.col("vid").alias("hi")).limit(0)
+    if vec.limit(local + 1).count() <= local:
+        whole = vec.select("vid", "v").withColumn("together", F.lit(0)).groupBy("together")
+        return materialize(whole.applyInPandas(_spanning_tree_of, f"distance double, lo {kind}, hi {kind}"), "tree")
+    blocked, boxes, n_blocks = B.boxes(vec, block)
+    comps = vec.select("vid", F.col("vid").alias("comp"))
+    schema = f"comp {kind}, distance double, lo {kind}, hi {kind}, other {kind}"
     while True:
-        found = B.over_pairs(blocked.join(comps, "vid"), pairs, _nearest_outside,
-                             f"comp {kind}, distance double, i {kind}, j {kind}, other {kind}")
-        edge = F.struct("distance", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "other")
+        state = materialize(blocked.join(comps, "vid"), "tree-state")
+        inner = materialize(state.groupBy("block").applyInPandas(lambda points: _edges_between(points, None), schema), "tree-inner")
+        pairs, met = materialize(_promising(state, inner, boxes, n_blocks), "tree-pairs", [F.count(F.lit(1)).alias("n")])
+        if report is not None:
+            report.append({"met": met["n"], "all": n_blocks * (n_blocks - 1) // 2})
+        found = inner.unionByName(B.over_pairs(state, pairs, _edges_between, schema))
+        edge = F.struct("distance", "lo", "hi", "other")
         lightest, seen = materialize(found.groupBy("comp").agg(F.min(edge).alias("e")).select("comp", "e.*"),
                                      "tree-round", [F.count(F.lit(1)).alias("n")])
         if not seen["n"]:

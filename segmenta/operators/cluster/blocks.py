@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ...session import materialize
@@ -74,6 +74,59 @@ def tiles(vec: DataFrame, n_dims: int, eps: float, block: int = BLOCK) -> tuple[
     return materialize(placed, "blocked"), materialize(neighbours(blocks, names, own), "block-pairs")
 
 
+SAMPLE = 20_000  # vectors from which the boxes' borders are read
+
+
+def _splits(x: np.ndarray, leaves: int) -> list:
+    """A tree of halvings along the widest dimension: (dimension, border, left, right) or a leaf's number of leaves (0)."""
+    if leaves <= 1 or len(x) < 2:
+        return []
+    k = int(np.argmax(x.max(axis=0) - x.min(axis=0)))
+    border = float(np.median(x[:, k]))
+    low = x[:, k] < border
+    if low.all() or not low.any():
+        return []
+    return [k, border, _splits(x[low], leaves // 2), _splits(x[~low], leaves - leaves // 2)]
+
+
+def _leaf(x: np.ndarray, tree: list, at: np.ndarray, number: list, out: np.ndarray) -> None:
+    if not tree:
+        out[at] = number[0]
+        number[0] += 1
+        return
+    low = x[at, tree[0]] < tree[1]
+    _leaf(x, tree[2], at[low], number, out)
+    _leaf(x, tree[3], at[~low], number, out)
+
+
+def boxes(vec: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame, int]:
+    """``vec`` with its ``block`` (numbered from 0, about ``block`` neighbouring vectors each), the blocks' corners (block, lo, hi), and their number.
+
+    The borders come from a fixed sample of at most ``SAMPLE`` vectors; a box that turns out to hold many more is dealt over several blocks.
+    """
+    leaves = max(1, math.ceil(vec.count() / block))
+    sample = vec.select("v").orderBy(F.xxhash64("vid")).limit(SAMPLE).toPandas()
+    tree = _splits(matrix(sample), leaves)
+
+    def place(frames):
+        for f in frames:
+            x, out = matrix(f), np.zeros(len(f), np.int64)
+            _leaf(x, tree, np.arange(len(f)), [0], out)
+            yield f.assign(leaf=out)
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vec.schema.fields)
+    placed = materialize(vec.mapInPandas(place, f"{fields}, leaf long"), "boxed")
+    parts = placed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / F.lit(2 * block)).cast("long").alias("parts"))
+    before = F.sum("parts").over(Window.orderBy("leaf")) - F.col("parts")  # one row per leaf
+    parts = parts.select("leaf", "parts", before.alias("first"))
+    blocked = (placed.join(parts, "leaf").withColumn("block", F.col("first") + F.pmod(F.xxhash64("vid"), F.col("parts"))).drop("leaf", "parts", "first"))
+    blocked = materialize(blocked, "blocked")
+    n_dims = len(sample["v"].iat[0]) if len(sample) else 0
+    corners = [F.array(*[f(F.col("v")[k]) for k in range(n_dims)]).alias(c) for f, c in ((F.min, "lo"), (F.max, "hi"))]
+    found, seen = materialize(blocked.groupBy("block").agg(*corners), "boxes", [F.max("block").alias("last")])
+    return blocked, found, (seen["last"] if seen["last"] is not None else -1) + 1
+
+
 def all_pairs(vec: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """``vec`` with its ``block`` by hash, and every pair of blocks: for work in which each vector meets each other."""
     parts = max(1, math.ceil(vec.count() / block))

@@ -10,6 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 
 from .assign import assign_nearest
+from .lloyd import lloyd, seeded_starts, weighted_vectors
 
 FEATURES = "__features"
 
@@ -32,14 +33,15 @@ def check_enough_rows(df: DataFrame, k: int) -> None:
 
 @dataclass
 class KMeansResult:
-    model: KMeansModel
+    model: KMeansModel | None
     features: list[str]
     cost: float
     seed: int
+    centers: list[list[float]] | None = None  # of a fit without an MLlib model
 
     @property
     def centroids(self) -> list[list[float]]:
-        return [list(map(float, c)) for c in self.model.clusterCenters()]
+        return self.centers or [list(map(float, c)) for c in self.model.clusterCenters()]
 
     def transform(self, df: DataFrame, label_col: str = "Cluster") -> DataFrame:
         """Label rows with the nearest centre: a narrow expression (also on streams)."""
@@ -48,22 +50,23 @@ class KMeansResult:
 
 def kmeans_fit(df: DataFrame, features: list[str], k: int = 3, seed: int = 42, restarts: int = 1,
                max_iter: int = 300, tol: float = 1e-4, init_mode: str = "k-means||") -> KMeansResult:
-    """Fit ``restarts`` seeded runs over one persisted input and keep the lowest cost."""
+    """One MLlib fit, or with ``restarts`` the run of lowest cost of so many starts, all moved in the same scans (``lloyd``)."""
     if k < 1:
         raise ValueError("k must be >= 1")
+    if restarts > 1:
+        check_enough_rows(df.dropna(subset=features), k)
+        vec = weighted_vectors(df, features)
+        runs = lloyd(vec, seeded_starts(vec, k, restarts, seed), max_iter, tol)
+        best = min(range(restarts), key=lambda r: runs[r][1])
+        centers, cost, _ = runs[best]
+        return KMeansResult(None, list(features), cost, seed + best, centers.tolist())
     data = assemble(df.dropna(subset=features), features).select(FEATURES)
     check_enough_rows(data, k)
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        best = None
-        for r in range(max(1, restarts)):
-            s = seed + r
-            model = KMeans(k=k, seed=s, maxIter=max_iter, tol=tol, initMode=init_mode,
-                           featuresCol=FEATURES, predictionCol="__pred").fit(data)
-            cost = float(model.summary.trainingCost)
-            if best is None or cost < best.cost:
-                best = KMeansResult(model, list(features), cost, s)
-        return best
+        model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, initMode=init_mode,
+                       featuresCol=FEATURES, predictionCol="__pred").fit(data)
+        return KMeansResult(model, list(features), float(model.summary.trainingCost), seed)
     finally:
         data.unpersist()
 

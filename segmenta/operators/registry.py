@@ -86,7 +86,9 @@ def save_model(spark: SparkSession, model, algorithm: str, path: str, features:
                labels: DataFrame | None = None) -> str:
     """Write a model, its metadata and, where given, the ``labels`` of its training rows under ``path``."""
     meta = {"algorithm": algorithm, "features": features, "scaler": scaler.to_json() if scaler else None}
-    if algorithm == "kmeans":
+    if algorithm == "kmeans" and model.model is None:
+        meta["centroids"] = model.centroids
+    elif algorithm == "kmeans":
         model.model.write().overwrite().save(f"{path}/model")
     elif algorithm == "gmm":
         model.model.write().overwrite().save(f"{path}/model")
@@ -115,6 +117,8 @@ def load_model(spark: SparkSession, path: str):
         raise FileNotFoundError(f"no model at {path}") from e
     scaler = SC.model_from_json(meta["scaler"]) if meta.get("scaler") else None
     feats = meta["features"]
+    if "centroids" in meta:
+        return "kmeans", KM.KMeansResult(None, feats, float("nan"), -1, meta["centroids"]), feats, scaler
     if meta["algorithm"] == "kmeans":
         m = KMeansModel.load(f"{path}/model")
         return "kmeans", KM.KMeansResult(m, feats, float("nan"), -1), feats, scaler

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import LIKERT, OPEN, SURVEY_SCHEMA, validate_columns
+from .csv_split import parse_records, split_records
 
 CORRUPT = "_corrupt_record"
 #: Quoted cells may hold commas and doubled quotes.
@@ -28,14 +29,15 @@ def check_upload(path: str | None) -> None:
 
 
 def read_survey_csv(spark: SparkSession, path: str, schema: T.StructType = SURVEY_SCHEMA,
-                    validate: bool = True, multi_line: bool = True) -> DataFrame:
+                    validate: bool = True, multi_line: bool | str = True) -> DataFrame:
     """CSV with header, typed by ``schema``; malformed rows kept with ``_corrupt_record``.
 
-    ``multi_line``: quoted cells may hold line breaks, and each file is one task; without, Spark splits large files.
+    ``multi_line``: quoted cells may hold line breaks, and each file is one task; ``"split"``: they may, and large files are
+    split all the same (``csv_split``); False: they do not, and Spark splits large files.
     The header is validated against the survey contract (P1) before any data is read.
     """
     check_upload(path)
-    read = spark.read.options(**FORMAT, multiLine=multi_line, pathGlobFilter="*.csv")
+    read = spark.read.options(**FORMAT, multiLine=bool(multi_line), pathGlobFilter="*.csv")
     header = read.csv(path)
     if validate:
         ok, msg = validate_columns(header.columns)
@@ -46,29 +48,36 @@ def read_survey_csv(spark: SparkSession, path: str, schema: T.StructType = SURVE
     extra = [T.StructField(c, T.StringType()) for c in header.columns if c not in {f.name for f in fields}]
     by_name = {f.name: f for f in fields + extra}
     ordered = T.StructType([by_name[c] for c in header.columns] + [T.StructField(CORRUPT, T.StringType())])
+    if multi_line == "split":
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered.fields)
+        return parse_records(split_records(spark, path), ddl, FORMAT | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}, True)
     return read.schema(ordered).options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, enforceSchema=False).csv(path)
 
 
 def malformed_rows(df: DataFrame) -> DataFrame:
-    """Rows the CSV parser could not type, with their raw text (reads one data column along,
-    as Spark refuses a scan that needs only the corrupt-record column)."""
-    first = next(c for c in df.columns if c != CORRUPT)
-    return df.where(F.col(CORRUPT).isNotNull()).select(first, CORRUPT)
+    """Rows the CSV parser could not type, with their raw text.  The parser types the columns that are asked for, so all of them
+    are read: the second condition, which always holds, needs them."""
+    cells = [c for c in df.columns if c != CORRUPT]
+    return df.where(F.col(CORRUPT).isNotNull() & (F.xxhash64(*cells) % 2 < 2)).select(cells[0], CORRUPT)
 
 
 def malformed_count(df: DataFrame) -> int:
-    """Number of malformed rows, in one aggregate that also reads a data column."""
-    first = next(c for c in df.columns if c != CORRUPT)
-    return df.agg(F.count_if(F.col(CORRUPT).isNotNull()).alias("bad"), F.count(first).alias("_")).first()["bad"]
+    """Number of malformed rows, in one aggregate that reads all columns."""
+    cells = [c for c in df.columns if c != CORRUPT]
+    return df.agg(F.count_if(F.col(CORRUPT).isNotNull()).alias("bad"), *[F.count(c) for c in cells]).first()["bad"]
 
 
-def read_csv_strings(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_csv_strings(spark: SparkSession, path: str, multi_line: bool | str = True) -> DataFrame:
     """Every column as a string (no inference); parse later per value with ``try_cast``.
 
     ``multi_line``: as in ``read_survey_csv``.
     """
     check_upload(path)
-    return spark.read.options(**FORMAT, multiLine=multi_line, inferSchema=False).csv(path)
+    read = spark.read.options(**FORMAT, multiLine=bool(multi_line), inferSchema=False)
+    if multi_line == "split":
+        ddl = ", ".join(f"`{c}` string" for c in read.csv(path).columns)
+        return parse_records(split_records(spark, path), ddl, FORMAT, True)
+    return read.csv(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:

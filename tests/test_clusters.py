@@ -265,3 +265,17 @@ def test_a_crowd_is_linear(spark):
         assert blocked.where("crowded").count() == n * 9 // 10 and crowds.count() == 0
         sizes.append(pairs.count())
     assert sizes[1] <= 5 * sizes[0]
+
+
+def test_spanning_tree_meets_few_pairs_of_blocks(spark):
+    """Boxes far apart are skipped: the merges are those of one task, from under a tenth of the pairs."""
+    rng = np.random.default_rng(13)
+    X = np.vstack([rng.uniform(0, 10, (700, 2)), rng.normal(30, 0.5, (80, 2)), np.round(rng.uniform(0, 10, (60, 2)))])
+    df = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(X)], "id long, x double, y double")
+    vec = BL.distinct_vectors(BL.complete_rows(df, ["x", "y"], "id"), "id")
+    report = []
+    rounds = AG.spanning_tree(vec, block=8, local=10, report=report)
+    whole = AG.spanning_tree(vec, local=5000)
+    edges = [sorted((r["distance"], r["lo"], r["hi"]) for r in t.collect()) for t in (rounds, whole)]
+    assert edges[0] == edges[1] and len(edges[0]) == vec.count() - 1
+    assert all(r["met"] * 10 < r["all"] for r in report), report
