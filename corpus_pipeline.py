@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from segmenta.llm import language, packing, pii, suffix_dedup, text_dedup
 from segmenta.llm.queries import PIECES, WORD_BPE
-from segmenta.session import checkpoint_dir
+from segmenta.session import checkpoint_dir, remove_folder, scratch_scope
 from segmenta.tables import table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -59,10 +59,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows.  A stage's working tables, and the output of the stage before it, go once its own output is written."""
     docs = table(spark, sf_dir, "documents")
     folder = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for k, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{k}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove_folder(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

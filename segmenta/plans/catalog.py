@@ -181,27 +181,18 @@ def q_group_pair_counts(spark, d):
     return X.group_pair_counts(ev, "event_type", "user_bucket")
 
 
-@query("cluster_profile_long", """
-SELECT label AS cluster, feature, round(mean, 6) AS mean FROM (
-  SELECT label, avg(CAST(embedding[1] AS DOUBLE)) AS e0, avg(CAST(embedding[2] AS DOUBLE)) AS e1,
-         avg(CAST(embedding[3] AS DOUBLE)) AS e2, avg(CAST(embedding[4] AS DOUBLE)) AS e3,
-         avg(CAST(embedding[5] AS DOUBLE)) AS e4
-  FROM embeddings WHERE label IS NOT NULL GROUP BY label)
-UNPIVOT (mean FOR feature IN (e0, e1, e2, e3, e4))""")
-def q_cluster_profile_long(spark, d):
-    emb = table(spark, d, "embeddings").select(
-        F.col("label").alias("Cluster"), *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(5)])
-    return R6(X.cluster_profile_long(emb, [f"e{i}" for i in range(5)]))
-
-
 _COMPONENTS = [f"e{i}" for i in range(64)]  # all of an embedding
 
 
-@query("cluster_profile_long_all", f"""
+_PROFILE_SQL = f"""
 SELECT label AS cluster, feature, round(mean, 6) AS mean FROM (
   SELECT label, {_cols(f"avg(CAST(embedding[{i + 1}] AS DOUBLE)) AS {c}" for i, c in enumerate(_COMPONENTS))}
   FROM embeddings WHERE label IS NOT NULL GROUP BY label)
-UNPIVOT (mean FOR feature IN ({_cols(_COMPONENTS)}))""")
+UNPIVOT (mean FOR feature IN ({_cols(_COMPONENTS)}))"""
+
+
+@query("cluster_profile_long", _PROFILE_SQL)
+@query("cluster_profile_long_all", _PROFILE_SQL)
 def q_cluster_profile_long_all(spark, d):
     emb = table(spark, d, "embeddings").select(
         F.col("label").alias("Cluster"), *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(_COMPONENTS)])
@@ -829,7 +820,8 @@ def q_quality_table(spark, d):
     return quality_table(survey_view(spark, d), ["edad"] + LIKERT, OPEN)
 
 
-_SCRIPT_RE = r"(?s)<script>\s*var\s+(\w+)\s*=\s*(.*?);"
+# as SQL text: a value ends at the first semicolon outside quotes
+_SCRIPT_RE = r"""(?s)<script>\s*var\s+(\w+)\s*=\s*((?:[^;"''`]|"(?:[^"\\\n]|\\.)*"|''(?:[^''\\\n]|\\.)*''|`(?:[^`\\]|\\.)*`|["''`])*);"""
 
 
 @query("page_script_vars", f"""
@@ -839,9 +831,19 @@ def q_page_script_vars(spark, d):
     return PG.script_vars(table(spark, d, "pages"))
 
 
-@query("page_form_questions")
+_PARAGRAPH = r"""<p>([^<"\\\n\r\t]+)"""
+
+
+@query("page_form_questions", f"""
+SELECT page_id, CAST(position - 1 AS INTEGER) AS position, regexp_replace(texts[position], '[^\\x00-\\x7F]', '', 'g') AS title
+FROM (SELECT page_id, texts, unnest(range(1, len(texts) + 1)) AS position FROM (SELECT page_id, regexp_extract_all(html, '{_PARAGRAPH}', 1) AS texts FROM pages))""")
 def q_page_form_questions(spark, d):
-    return PG.form_questions(table(spark, d, "pages"))
+    """Each page with a form put in whose questions are the page's own paragraphs: the given pages hold no form variable."""
+    texts = F.regexp_extract_all("html", F.lit(_PARAGRAPH), F.lit(1))
+    asked = F.transform(texts, lambda t, i: F.concat(F.lit("["), i.cast("string"), F.lit(',"'), t, F.lit('",null,0]')))
+    form = F.concat(F.lit("<script>var FB_PUBLIC_LOAD_DATA_ = [null,[\"form\",["), F.array_join(asked, ","), F.lit("]]];</script></head>"))
+    pages = table(spark, d, "pages").select("page_id", F.replace("html", F.lit("</head>"), form).alias("html"))
+    return PG.form_questions(pages)
 
 
 _FORM_SQL = r"""'<html><script>var FB_PUBLIC_LOAD_DATA_ = [null,["Encuesta",[[11,"¿Qué página? ' || url || '",null,0],[12,"Tamaño; ' || """ \
@@ -902,27 +904,18 @@ def q_report_summary(spark, d):
     return RP.executive_summary(labelled, "kmeans", {"Inertia": inertia})
 
 
-@query("report_sign_by_cluster", with_survey(
-    "SELECT Cluster, signo, count(*) AS n FROM (" + _assign_sql(
-        "SELECT id, signo, " + ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0) AS {c}" for c in LIKERT[:3])
-        + " FROM survey_view", "id", LIKERT[:3], [(1.0, 1.0, 1.0), (3.0, 3.0, 3.0), (5.0, 5.0, 5.0)]).replace(
-        "SELECT id, p1, p2, p3,", "SELECT id, signo, p1, p2, p3,", 1)
-    + ") WHERE signo IS NOT NULL GROUP BY Cluster, signo"))
-def q_report_sign_by_cluster(spark, d):
-    sv = survey_view(spark, d).select("id", "signo", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
-                                                       for c in LIKERT[:3]])
-    labelled = AS.assign_nearest(sv, LIKERT[:3], [(1.0, 1.0, 1.0), (3.0, 3.0, 3.0), (5.0, 5.0, 5.0)])
-    return RP.chart_tables(labelled, LIKERT[:3])["sign_by_cluster"]
-
-
 _LEVELS = [(1.0,) * len(LIKERT), (3.0,) * len(LIKERT), (5.0,) * len(LIKERT)]
 
 
-@query("report_sign_by_cluster_all", with_survey(
+_SIGNS_SQL = with_survey(
     "SELECT Cluster, signo, count(*) AS n FROM (" + _assign_sql(
         f"SELECT id, signo, {_cols(f'coalesce(CAST({c} AS DOUBLE), 0.0) AS {c}' for c in LIKERT)} FROM survey_view",
         "id, signo", LIKERT, _LEVELS)
-    + ") WHERE signo IS NOT NULL GROUP BY Cluster, signo"))
+    + ") WHERE signo IS NOT NULL GROUP BY Cluster, signo")
+
+
+@query("report_sign_by_cluster", _SIGNS_SQL)
+@query("report_sign_by_cluster_all", _SIGNS_SQL)
 def q_report_sign_by_cluster_all(spark, d):
     sv = survey_view(spark, d).select("id", "signo", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in LIKERT])
     labelled = AS.assign_nearest(sv, LIKERT, _LEVELS)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -56,6 +58,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
+_SCOPES: list[list[str]] = []
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage, whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``materialize`` writes inside go when the block ends without an error: what was made of them has to be written by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    except BaseException:
+        _SCOPES.pop()
+        raise
+    for path in _SCOPES.pop():
+        remove_folder(spark, path)
+
+
 def materialize(df, name: str = "t", observe: list | None = None):
     """Cut lineage by writing ``df`` as Parquet under the session's checkpoint folder and reading it back.
 
@@ -67,6 +91,8 @@ def materialize(df, name: str = "t", observe: list | None = None):
 
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     if observe:
         from pyspark.sql import Observation
 
