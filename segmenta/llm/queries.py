@@ -16,6 +16,7 @@ from . import (
     licenses,
     packing,
     pii,
+    repair_sql,
     sampling,
     sharding,
     suffix_dedup,
@@ -104,6 +105,7 @@ QUERIES = {f.__name__: f for f in (op1_topk, op2_packing, op3_suffix_dedup, op4_
                                    op12_conversation_repair, op13_alignment)}
 
 ORACLE = {
+    "op12_conversation_repair": repair_sql.SQL,
     # the top five by integer inner product
     "op1_topk": """
 WITH q AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
