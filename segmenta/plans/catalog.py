@@ -874,7 +874,7 @@ def q_stream_scoring(spark, d):
     base = f"{checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
     q = ST.start_scoring(scored, f"{base}/out", f"{base}/chk", trigger_once=True)
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    return R6(spark.read.parquet(f"{base}/out"))
 
 
 # ============================================================ R1, R2

@@ -14,8 +14,9 @@ from ..operators.cluster import kmeans as KM
 from ..operators.cluster.assign import assign_nearest
 from ..operators.cluster.lloyd import lloyd, seeded_starts, weighted_vectors
 from ..session import materialize
-from .catalog import _CENTROIDS, _PART_MM_SQL, _PART_XY, _part_minmax, _survey_minmax
-from .registry import query
+from ..operators.stats import DEFAULT_THEMES
+from .catalog import _CENTROIDS, _PART_MM_SQL, _PART_XY, _POL_SQL, _assign_sql, _minmax_sql, _part_minmax, _row_mean_sql, _survey_minmax
+from .registry import ORACLE, query
 
 _STARTS = [_CENTROIDS, [(0.1, 0.9), (0.4, 0.4), (0.9, 0.6)]]
 
@@ -107,3 +108,9 @@ def q_gmm_equations(spark, d):
         (F.col("ll") - res.log_likelihood).between(-1e-6, abs(res.log_likelihood) * 0.01).alias("likelihood_holds"),
         F.lit(abs(res.bic - (free * np.log(n) - 2 * res.log_likelihood)) < 1e-6).alias("bic_holds"),
         F.lit(abs(res.aic - (2 * free - 2 * res.log_likelihood)) < 1e-6).alias("aic_holds"))
+
+
+#: the stream's records, scored as one batch
+ORACLE["stream_scoring"] = with_survey("SELECT v.id, CAST(a.Cluster AS INTEGER) AS \"Cluster\", round(" + _POL_SQL + ", 6) AS sentimiento_promedio, " + ", ".join(
+    f'{_row_mean_sql([f"v.{c}" for c in cols])} AS "{name}"' for name, cols in DEFAULT_THEMES.items()) + " FROM survey_view v JOIN ("
+    + _assign_sql(_minmax_sql("SELECT * FROM survey_view", ["id"], LIKERT), "id", LIKERT, [(x,) * len(LIKERT) for x in (0.25, 0.5, 0.75)]) + ") a ON a.id = v.id")
