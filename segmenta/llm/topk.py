@@ -26,6 +26,9 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 
+CELL_TASKS = 20_000  # tasks among which the cells of a search are dealt, at most
+
+
 def quantised(df: DataFrame, id_col: str, vector_col: str, factor: int = 256) -> DataFrame:
     """``id, v``: floor(factor * x) per component of every usable vector; distinct rows."""
     v = F.col(vector_col)
@@ -146,15 +149,19 @@ def build_index(vectors: DataFrame, block_rows: int = 16384) -> DataFrame:
     return materialize(keyed.groupBy("dim", "block").applyInPandas(build, schema), "bit-slices")
 
 
-def search(index: DataFrame, queries: DataFrame, k: int = 5, query_rows: int = 64) -> DataFrame:
-    """``query_id, rank, vec_id, score``: for every row of ``queries(id, v)`` its k best rows of the index."""
+def search(index: DataFrame, queries: DataFrame, k: int = 5, query_rows: int = 512) -> DataFrame:
+    """``query_id, rank, vec_id, score``: for every row of ``queries(id, v)`` its k best rows of the index.
+
+    A block is sent to one cell per sheet of ``query_rows`` queries, and every cell is dealt out by itself.
+    """
     # several vectors may bear one id: each is a query of its own, numbered so that results stay apart
     q = queries.withColumn("dim", F.size("v")).withColumn("twin", F.row_number().over(Window.partitionBy("id").orderBy("v")))
     per_dim = q.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / query_rows).alias("sheets"))
     sheets = (q.join(per_dim, "dim").withColumn("sheet", F.pmod(F.xxhash64("id", "twin"), F.col("sheets")))
               .groupBy("dim", "sheet").agg(F.collect_list(F.struct("id", "twin", "v")).alias("queries")))
-    cells = (index.select("dim", "block").join(sheets.select("dim", "sheet"), "dim")  # the grid: names of blocks only
-             .join(sheets, ["dim", "sheet"]).join(index, ["dim", "block"]))
+    sheets = materialize(sheets, "query-sheets")
+    names = materialize(index.select("dim", "block").join(sheets.select("dim", "sheet"), "dim"), "top-k-grid")  # names of blocks only
+    cells = names.join(sheets, ["dim", "sheet"]).join(index, ["dim", "block"]).repartition(min(max(names.count(), 1), CELL_TASKS), "dim", "block", "sheet")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
