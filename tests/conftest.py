@@ -16,6 +16,10 @@ def spark():
     scratch = tempfile.mkdtemp(prefix="segmenta-test-")
     s = (SparkSession.builder.master("local[*]").appName("segmenta-tests")
          .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.driver.memory", "6g")  # one JVM for all tests
+         .config("spark.sql.ui.retainedExecutions", "20")
+         .config("spark.ui.retainedJobs", "100")
+         .config("spark.ui.retainedStages", "200")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
