@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from segmenta.functions.lexicon import NEGATIVE_ES, POSITIVE_ES
 from segmenta.functions.text import polarity
+from segmenta.operators import lexicon as LX
 from segmenta.operators.lexicon import polarity_by_lexicon
 
 TEXTS = ["Soy muy creativo y apasionado", "La rutina me pone triste", "creativos y aburridos", "", None, "¡¡ !!", "alegre triste", "sin nada", "alegre triste",
@@ -59,3 +60,18 @@ def test_awkward_lexicons(spark):
     odd = lexicon(spark, ["bueno", "bueno", "", None, "malo"], ["malo"]).union(spark.createDataFrame([("buenos", 0)], "entry string, sign int"))
     assert found(polarity_by_lexicon(df, "text", odd)) == {0: pytest.approx(1 / 3), 1: 1.0}
     assert polarity_by_lexicon(df.where(F.lit(False)), "text", odd).count() == 0
+
+
+def test_words_are_looked_up_once_per_slice(spark, monkeypatch):
+    """A row per text and word went through three shuffles where the scored words are too many to be sent to all tasks."""
+    texts = TEXTS * 20
+    df = frame(spark, texts)
+    want = {r["id"]: r["p"] for r in df.select("id", polarity("text").alias("p")).collect()}
+    for size in (LX.SLICE_BYTES, 200):
+        monkeypatch.setattr(LX, "SLICE_BYTES", size)
+        out = polarity_by_lexicon(df, "text", lexicon(spark, POSITIVE_ES, NEGATIVE_ES), broadcast_bytes=0)
+        assert out.columns == df.columns and found(out) == pytest.approx(want)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "FlatMapCoGroupsInArrow" in plan and "Aggregate [text#" not in plan
+    got = found(polarity_by_lexicon(df.where("id > 5000"), "text", lexicon(spark, POSITIVE_ES, NEGATIVE_ES), broadcast_bytes=0))
+    assert got == {}
