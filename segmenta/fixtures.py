@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .tables import table
+from .tables import spread, table
 
 # The twelve sign names used by the survey fixture, in order.
 SIGNS = "Aries,Tauro,Geminis,Cancer,Leo,Virgo,Libra,Escorpio,Sagitario,Capricornio,Acuario,Piscis"
@@ -48,9 +48,10 @@ def survey_select_list() -> list[str]:
     return exprs
 
 
-def survey_view(spark: SparkSession, data_dir: str) -> DataFrame:
-    """34-column survey frame: id, edad, genero, signo, p1..p15, p1a..p15a."""
-    return table(spark, data_dir, "customer").selectExpr(*survey_select_list())
+def survey_view(spark: SparkSession, data_dir: str, dealt: bool = False) -> DataFrame:
+    """34-column survey frame: id, edad, genero, signo, p1..p15, p1a..p15a; ``dealt`` over all cores for work on its texts."""
+    rows = table(spark, data_dir, "customer")
+    return (spread(rows) if dealt else rows).selectExpr(*survey_select_list())
 
 
 def survey_view_sql() -> str:

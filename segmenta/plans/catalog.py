@@ -14,7 +14,7 @@ from ..operators import crosstabs as X
 from ..operators import filters as P
 from ..operators import stats as A
 from ..operators._util import round_doubles
-from ..tables import table
+from ..tables import spread, table
 from .registry import ORACLE, QUERIES, query  # noqa: F401
 
 R6 = round_doubles
@@ -418,7 +418,7 @@ def q_corpus_union(spark, d):
     + ", round((" + " + ".join(polarity_sql(c) for c in OPEN) + f") / {len(OPEN)}, 6) AS sentimiento_promedio "
     "FROM survey_view"))
 def q_sentiment_rows(spark, d):
-    return R6(N.sentiment_rows(survey_view(spark, d), OPEN, keep=["id"]))
+    return R6(N.sentiment_rows(survey_view(spark, d, dealt=True), OPEN, keep=["id"]))
 
 
 @query("sentiment_by_group", with_survey(
@@ -426,7 +426,7 @@ def q_sentiment_rows(spark, d):
     + " + ".join(polarity_sql(c) for c in OPEN) + f") / {len(OPEN)} AS s FROM survey_view) "
     "WHERE signo IS NOT NULL GROUP BY signo"))
 def q_sentiment_by_group(spark, d):
-    scored = N.sentiment_rows(survey_view(spark, d), OPEN, keep=["signo"])
+    scored = N.sentiment_rows(survey_view(spark, d, dealt=True), OPEN, keep=["signo"])
     return R6(N.sentiment_by_group(scored, "signo"))
 
 
@@ -467,7 +467,7 @@ SELECT term, round(sum(wn), 6) AS tfidf FROM wn GROUP BY term"""
 @query("tfidf_terms", with_survey(_tfidf_sql(
     f"SELECT id || ':' || field AS doc, text FROM survey_view UNPIVOT (text FOR field IN ({_OPEN}))")))
 def q_tfidf_terms(spark, d):
-    return R6(N.tfidf_terms(survey_view(spark, d), OPEN, ["id"], max_features=10))
+    return R6(N.tfidf_terms(survey_view(spark, d, dealt=True), OPEN, ["id"], max_features=10))
 
 
 @query("tfidf_documents", _tfidf_sql("SELECT CAST(doc_id AS VARCHAR) AS doc, text FROM documents "
@@ -779,7 +779,7 @@ _POL_SQL = "(" + " + ".join(polarity_sql(c) for c in OPEN) + f") / {len(OPEN)}"
 @query("qualitative_export", with_survey(
     f"SELECT id, genero, signo, {_OPEN}, round({_POL_SQL}, 6) AS Polaridad_Sentimiento_Promedio FROM survey_view"))
 def q_qualitative_export(spark, d):
-    sv = survey_view(spark, d)
+    sv = survey_view(spark, d, dealt=True)
     scored = N.sentiment_rows(sv, OPEN, keep=sv.columns).withColumnRenamed(
         "sentimiento_promedio", "Polaridad_Sentimiento_Promedio")
     return R6(FS.qualitative_export(scored))
@@ -869,7 +869,7 @@ def q_stream_scoring(spark, d):
     centroids = [[0.25] * len(LIKERT), [0.5] * len(LIKERT), [0.75] * len(LIKERT)]
     stream = (spark.readStream.schema(cust.schema).option("pathGlobFilter", "customer.parquet")
               .parquet(d.rstrip("/") + "/"))
-    scored = ST.score(stream.selectExpr(*survey_select_list()), LIKERT, centroids, scaler=mm, text_cols=OPEN,
+    scored = ST.score(spread(stream).selectExpr(*survey_select_list()), LIKERT, centroids, scaler=mm, text_cols=OPEN,
                       keep=["id"])
     base = f"{checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
     q = ST.start_scoring(scored, f"{base}/out", f"{base}/chk", trigger_once=True)
