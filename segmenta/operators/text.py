@@ -78,14 +78,14 @@ def tfidf_terms(df: DataFrame, text_cols: list[str], key_cols: list[str], max_fe
         return df.sparkSession.createDataFrame([], "term string, tfidf double")
     n_docs = top[0]["total"]
     idf = {r["term"]: math.log((1 + n_docs) / (1 + r["df"])) + 1.0 for r in top[1:]}
-    vocab = F.array(*[F.struct(F.lit(t).alias("term"), F.lit(w).alias("idf")) for t, w in idf.items()])
+    vocab = F.create_map(*[F.lit(x) for pair in idf.items() for x in pair])
 
     def weights(s):
-        return F.transform(vocab, lambda v: F.struct(
-            v["term"].alias("term"), (F.size(F.filter(s, lambda t: t == v["term"])) * v["idf"]).alias("w")))
+        return F.transform(F.array_distinct(s), lambda v: F.struct(
+            v.alias("term"), (F.size(F.filter(s, lambda t: t == v)) * F.element_at(vocab, v)).alias("w")))
 
     weighed = per_document(F.filter(tokens("text", min_token_len), lambda t: t.isin(list(idf))), weights)
     norm = F.sqrt(F.aggregate("found", F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"]))
-    return (weighed.select(norm.alias("norm"), F.inline("found")).where(F.col("w") > 0)
+    return (weighed.select(norm.alias("norm"), F.inline("found"))
             .groupBy("term").agg(F.sum(F.col("w") / F.col("norm")).alias("tfidf"))
             .orderBy(F.desc("tfidf"), "term"))
