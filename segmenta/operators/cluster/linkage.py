@@ -27,6 +27,7 @@ from . import blocks as B
 LINKAGES = ("ward", "average", "complete")
 LOCAL = 1024  # clusters whose merges one task finishes
 BLOCK = 2048
+STRIP = 64  # clusters of a block whose distances are held at once
 
 
 def rounded(gap: np.ndarray) -> np.ndarray:
@@ -52,8 +53,10 @@ def nearest_of(cids: np.ndarray, others: np.ndarray, gap: np.ndarray) -> pd.Data
 
 def _ward_cell(asks: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("cid")
-    gap = ward_gaps(B.matrix(asks), asks["n"].to_numpy(float), B.matrix(rows), rows["n"].to_numpy(float))
-    return nearest_of(asks["cid"].to_numpy(), rows["cid"].to_numpy(), gap).assign(whole=True, n=0.0)
+    x, nx, y, ny = B.matrix(asks), asks["n"].to_numpy(float), B.matrix(rows), rows["n"].to_numpy(float)
+    cids, others = asks["cid"].to_numpy(), rows["cid"].to_numpy()
+    strips = [slice(k, k + STRIP) for k in range(0, len(asks), STRIP)]
+    return pd.concat([nearest_of(cids[k], others, ward_gaps(x[k], nx[k], y, ny)) for k in strips]).assign(whole=True, n=0.0)
 
 
 def _member_gaps(kind: str, x: pd.DataFrame, y: pd.DataFrame):

@@ -1,10 +1,15 @@
 """Ward, average and complete linkage against merging the nearest pair over and over."""
 
+import tracemalloc
+
 import numpy as np
+import pandas as pd
 import pytest
 
 from segmenta.operators import registry as RG
 from segmenta.operators.cluster import agglomerative as AG
+from segmenta.operators.cluster import blocks as B
+from segmenta.operators.cluster import linkage as LK
 
 
 def digits(x):
@@ -89,3 +94,18 @@ def test_dispatch(spark):
         RG.train(frame(spark, points), ["x", "y"], "agglomerative", {"linkage": "median"})
     with pytest.raises(ValueError):
         RG.train(frame(spark, points), ["x", "y"], "agglomerative", {"linkage": "ward", "distance": 1.0})
+
+
+def test_ward_cells_hold_a_strip_of_distances_at_once():
+    """A cell of two blocks held some ten matrices of all its distances."""
+    rng = np.random.default_rng(3)
+    rows = pd.DataFrame({"cid": np.arange(1500), "n": 1, "v": list(rng.random((1500, 2)))})
+    tracemalloc.start()
+    got = LK._ward_cell(rows, rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * 1500 * 1500
+    x = B.matrix(rows)
+    one = np.ones(len(rows))
+    want = LK.nearest_of(rows["cid"].to_numpy(), rows["cid"].to_numpy(), LK.ward_gaps(x, one, x, one))
+    assert got[["cid", "gap", "other"]].reset_index(drop=True).equals(want.reset_index(drop=True))
