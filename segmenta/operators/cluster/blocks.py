@@ -77,16 +77,18 @@ def tiles(vec: DataFrame, n_dims: int, eps: float, block: int = BLOCK) -> tuple[
 SAMPLE = 20_000  # vectors from which the boxes' borders are read
 
 
-def _splits(x: np.ndarray, leaves: int) -> list:
-    """A tree of halvings along the widest dimension: (dimension, border, left, right) or a leaf's number of leaves (0)."""
+def splits(x: np.ndarray, leaves: int, share: float = 0.5) -> list:
+    """A tree of halvings along the widest dimension, ``share`` of the rows to the left: [dimension, border, left, right], or [] for a leaf."""
     if leaves <= 1 or len(x) < 2:
         return []
     k = int(np.argmax(x.max(axis=0) - x.min(axis=0)))
-    border = float(np.median(x[:, k]))
+    under = leaves // 2 if share == 0.5 else min(max(1, round(leaves * share)), leaves - 1)
+    border = float(np.quantile(x[:, k], share))
     low = x[:, k] < border
     if low.all() or not low.any():
         return []
-    return [k, border, _splits(x[low], leaves // 2), _splits(x[~low], leaves - leaves // 2)]
+    border = float((x[low, k].max() + x[~low, k].min()) / 2)  # between two places, on none
+    return [k, border, splits(x[low], under, share), splits(x[~low], leaves - under, share)]
 
 
 def _leaf(x: np.ndarray, tree: list, at: np.ndarray, number: list, out: np.ndarray) -> None:
@@ -99,20 +101,25 @@ def _leaf(x: np.ndarray, tree: list, at: np.ndarray, number: list, out: np.ndarr
     _leaf(x, tree[3], at[~low], number, out)
 
 
+def leaves(x: np.ndarray, tree: list) -> np.ndarray:
+    """The number of each row's leaf."""
+    out = np.zeros(len(x), np.int64)
+    _leaf(x, tree, np.arange(len(x)), [0], out)
+    return out
+
+
 def boxes(vec: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame, int]:
     """``vec`` with its ``block`` (numbered from 0, about ``block`` neighbouring vectors each), the blocks' corners (block, lo, hi), and their number.
 
     The borders come from a fixed sample of at most ``SAMPLE`` vectors; a box that turns out to hold many more is dealt over several blocks.
     """
-    leaves = max(1, math.ceil(vec.count() / block))
+    n_leaves = max(1, math.ceil(vec.count() / block))
     sample = vec.select("v").orderBy(F.xxhash64("vid")).limit(SAMPLE).toPandas()
-    tree = _splits(matrix(sample), leaves)
+    tree = splits(matrix(sample), n_leaves)
 
     def place(frames):
         for f in frames:
-            x, out = matrix(f), np.zeros(len(f), np.int64)
-            _leaf(x, tree, np.arange(len(f)), [0], out)
-            yield f.assign(leaf=out)
+            yield f.assign(leaf=leaves(matrix(f), tree))
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vec.schema.fields)
     placed = materialize(vec.mapInPandas(place, f"{fields}, leaf long"), "boxed")

@@ -109,3 +109,40 @@ def test_ward_cells_hold_a_strip_of_distances_at_once():
     one = np.ones(len(rows))
     want = LK.nearest_of(rows["cid"].to_numpy(), rows["cid"].to_numpy(), LK.ward_gaps(x, one, x, one))
     assert got[["cid", "gap", "other"]].reset_index(drop=True).equals(want.reset_index(drop=True))
+
+
+@pytest.mark.parametrize("linkage", ["ward", "average", "complete"])
+def test_boxes_spare_the_rounds_over_all_pairs(spark, linkage, monkeypatch):
+    """Points in the plane: every merge but the last few is made inside boxes; the tree is that of one task."""
+    rng = np.random.default_rng(6)
+    points = np.concatenate([rng.random((500, 2)), rng.integers(0, 9, (150, 2)) / 8, rng.normal(0.5, 0.01, (150, 2))])
+    whole = AG.merge_table(frame(spark, points), ["x", "y"], last=900, linkage=linkage).collect()
+
+    def rounds(*args):
+        raise AssertionError("all pairs of blocks meet")
+
+    monkeypatch.setattr(LK, "nearest_clusters", rounds)
+    got = AG.merge_table(frame(spark, points), ["x", "y"], last=900, linkage=linkage, block=96, local=120).collect()
+    assert by_place((r.distance, r.left, r.right, r["size"]) for r in got) == by_place((r.distance, r.left, r.right, r["size"]) for r in whole)
+
+
+@pytest.mark.parametrize("linkage", ["ward", "average", "complete"])
+def test_no_merge_across_a_border(linkage):
+    """Two near points merge unless something as near may lie beyond the border."""
+    rows = pd.DataFrame({"cid": [1, 2, 3, 4], "vid": [1, 2, 3, 4], "n": 1, "w": 1, "height": 0.0, "level": -1,
+                         "s": [[0.5, 0.5], [0.6, 0.5], [0.95, 0.5], [0.97, 0.9]]}).assign(v=lambda f: f["s"])
+    done, left, homes = LK.box_merges(linkage, rows, rows, np.array([0.0, -np.inf]), np.array([1.0, np.inf]))
+    assert [(r.lo, r.hi) for r in done.itertuples()] == [(1, 2)] and left["n"].tolist() == [2, 1, 1]
+    assert homes["home"].tolist() == [1, 1, 3, 4]
+    done, left, _ = LK.box_merges(linkage, rows, rows, np.full(2, -np.inf), np.full(2, np.inf))
+    assert len(done) == 3 and left["n"].tolist() == [4]
+
+
+@pytest.mark.parametrize("points", [grid(7, 300, 12), np.random.default_rng(8).normal(0, 1, (300, 2)), np.stack([np.arange(40), 2 * np.arange(40)], 1),
+                                    np.random.default_rng(9).random((50, 1)), np.random.default_rng(9).random((50, 3))])
+def test_corners_hold_the_farthest(points):
+    x = np.asarray(points, float)
+    places = np.random.default_rng(10).normal(0, 30, (200, x.shape[1]))
+    kept = x[LK.corners(x)]
+    assert np.array_equal(B.distances(places, kept).max(axis=1), B.distances(places, x).max(axis=1))
+    assert x.shape[1] > 2 or len(kept) < len(x)
