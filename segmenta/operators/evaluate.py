@@ -54,7 +54,10 @@ def _pair_sums(left: pd.DataFrame, right: pd.DataFrame | None) -> pd.DataFrame:
 def silhouette_points(df: DataFrame, features: list[str], label_col: str = "Cluster", exclude_label=None) -> DataFrame:
     """Per distinct (vector, label): silhouette ``s`` and weight ``w`` (exact, Euclidean)."""
     src = df if exclude_label is None else df.where(F.col(label_col) != F.lit(exclude_label))
-    pts = collapse(src, features, label_col)
+    return _point_scores(collapse(src, features, label_col))
+
+
+def _point_scores(pts: DataFrame) -> DataFrame:
     kind = pts.schema["label"].dataType.simpleString()
     blocked, pairs = B.all_pairs(pts)
     parts = B.over_pairs(blocked, pairs, _pair_sums, f"vid long, own {kind}, w long, other {kind}, sd double")
@@ -82,7 +85,11 @@ def silhouette(df: DataFrame, features: list[str], label_col: str = "Cluster", m
         return silhouette_squared(df, features, label_col)
     if mode != "exact":
         raise ValueError(f"unknown silhouette mode {mode!r}")
-    pts = silhouette_points(df, features, label_col, exclude_label)
+    src = df if exclude_label is None else df.where(F.col(label_col) != F.lit(exclude_label))
+    points = collapse(src, features, label_col)
+    if points.select("label").distinct().limit(2).count() < 2:  # no pairs to meet
+        return df.sparkSession.createDataFrame([("silhouette_exact", 0.0)], "metric string, value double")
+    pts = _point_scores(points)
     agg = pts.agg((F.sum(F.col("s") * F.col("w")) / F.sum("w")).alias("v"),
                   F.count_distinct("label").alias("k"))
     return agg.select(F.lit("silhouette_exact").alias("metric"),

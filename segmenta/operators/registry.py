@@ -24,6 +24,7 @@ from .cluster import kmeans as KM
 from .cluster.agglomerative import agglomerative, single_linkage_cut
 
 ALGORITHMS = ("kmeans", "dbscan", "gmm", "agglomerative")
+TASK_ROWS = 20_000  # rows of a batch that one task goes through in each iteration
 
 
 def train(df: DataFrame, features: list[str], algorithm: str = "kmeans", params: dict | None = None,
@@ -74,7 +75,7 @@ def _silhouette(labelled, feats, label_col, exclude_noise, mode):
     src = labelled.where(F.col(label_col).isNotNull())
     if exclude_noise:
         src = src.where(F.col(label_col) != -1)
-    if src.select(label_col).distinct().limit(2).count() < 2:
+    if mode != "exact" and src.select(label_col).distinct().limit(2).count() < 2:  # "exact" counts the labels of what it has written
         return "Silhouette Score", 0.0
     row = EV.silhouette(src, feats, label_col, mode).first()
     return {"exact": "Silhouette Score", "squared": "Silhouette (squared euclidean)"}[mode], float(row["value"])
@@ -162,9 +163,15 @@ def train_and_save(spark: SparkSession, df: DataFrame, features: list[str], n_cl
 
 
 # ----------------------------------------------------------------- batch
+def _dealt(rows: DataFrame, task_rows: int) -> DataFrame:
+    """``rows`` dealt evenly over tasks of about ``task_rows`` where they lie in fewer (one file may be one task), in an order of their own: seeded starts depend on it."""
+    parts = -(-rows.count() // task_rows)
+    return rows if rows.rdd.getNumPartitions() >= parts else rows.repartition(parts).sortWithinPartitions(*rows.columns)
+
+
 def train_batch(df: DataFrame, features: list[str], key: str = "id", jobs: list | None = None,
                 folder: str | None = None) -> DataFrame:
-    """Min-max the features once (persisted), then train each job in isolation.
+    """Min-max the features once (persisted, dealt over tasks of at most about ``TASK_ROWS`` rows), then train each job in isolation.
 
     With ``folder``, every trained model is saved there as ``{job number}-{algorithm}`` with its labels (key, Cluster)
     and listed in ``{folder}/registry``.  Result rows: (algorithm, metric, value, status)."""
@@ -173,7 +180,7 @@ def train_batch(df: DataFrame, features: list[str], key: str = "id", jobs: list
     jobs = jobs or [("kmeans", {"n_clusters": 4}), ("gmm", {"n_components": 4}),
                     ("dbscan", {"eps": 1.5, "min_samples": 5})]
     scaler = SC.minmax_fit(df.select(key, *feats), feats)
-    norm = scaler.transform(df.select(key, *feats)).persist()
+    norm = _dealt(scaler.transform(df.select(key, *feats)), TASK_ROWS).persist()
     rows = []
     try:
         for number, (algorithm, params) in enumerate(jobs):

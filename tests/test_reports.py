@@ -42,3 +42,29 @@ def test_train_and_save_and_batch(spark, scratch):
     assert any(r["algorithm"] == "kmeans" and r["status"] == "ok" and r["metric"] == "Inertia" for r in res)
     assert any(r["status"].startswith("ValueError") for r in res)          # k > n isolated, batch continues
     assert any(r["algorithm"] == "dbscan" and r["metric"] == "Noise points" and r["value"] == 0.0 for r in res)
+
+
+def test_batch_deals_its_rows_over_tasks(spark, monkeypatch):
+    """Rows of one file lay in one task, which each iteration of each fit went through alone."""
+    df = spark.createDataFrame([(i, float(i % 7), float(i // 50)) for i in range(100)], "id long, x double, y double").coalesce(1)
+    seen = []
+
+    def train(rows, *args, **kwargs):
+        sizes = rows.groupBy(F.spark_partition_id()).count().collect()
+        seen.append(([r["count"] for r in sizes], sorted(tuple(r) for r in rows.collect())))
+        return rows, None, {"n": 1.0}
+
+    monkeypatch.setattr(RG, "train", train)
+    RG.train_batch(df, ["x", "y"], key="id", jobs=[("kmeans", {})])
+    monkeypatch.setattr(RG, "TASK_ROWS", 10)
+    RG.train_batch(df, ["x", "y"], key="id", jobs=[("kmeans", {})])
+    assert seen[0][0] == [100] and sorted(seen[1][0]) == [10] * 10 and seen[0][1] == seen[1][1]
+
+
+def test_silhouette_of_one_cluster_meets_no_pairs(spark, monkeypatch):
+    from segmenta.operators import evaluate as EV
+
+    monkeypatch.setattr(EV.B, "over_pairs", lambda *a: pytest.fail("pairs of blocks meet"))
+    df = spark.createDataFrame([(0, 1.0), (0, 2.0), (None, 3.0)], "Cluster int, x double")
+    assert [tuple(r) for r in EV.silhouette(df, ["x"]).collect()] == [("silhouette_exact", 0.0)]
+    assert [tuple(r) for r in EV.silhouette(df.limit(0), ["x"]).collect()] == [("silhouette_exact", 0.0)]
